@@ -26,7 +26,7 @@ def missing_cell_counts(df: DataFrame, subset: list[str] | None = None) -> DataF
     """(column, filled) - how many cells ``fill_missing_zero`` would fill."""
     cols = subset or numeric_columns(df)
     wide = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
-    return wide.unpivot([], cols, "column", "filled")
+    return wide.unpivot([], cols, "column_name", "filled")
 
 
 def feature_subset(df: DataFrame, which: str = "reduced", keep: tuple[str, ...] = ("id_ciudad", "time")) -> DataFrame:
@@ -85,7 +85,7 @@ def unsigned_violations(df: DataFrame, cols: tuple[str, ...] = ("tmax", "tmin",
     """(column, n_null, n_negative) violation counters."""
     wide = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"{c}__null") for c in cols],
                   *[F.count_if(F.col(c) < 0).alias(f"{c}__neg") for c in cols])
-    rows = [F.struct(F.lit(c).alias("column"), F.col(f"{c}__null").cast("long").alias("n_null"),
+    rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"{c}__null").cast("long").alias("n_null"),
                      F.col(f"{c}__neg").cast("long").alias("n_negative")) for c in cols]
     return wide.select(F.inline(F.array(*rows)))
 

@@ -26,8 +26,8 @@ def season_day_climatology(df: DataFrame, by: tuple[str, ...] = ("id_ciudad",),
 def day_season_grid(spark) -> DataFrame:
     """The fixed 31 x 4 (day, season) domain (124 rows)."""
     seasons = F.array(*[F.lit(s) for s in SEASONS])
-    return spark.range(1).select(F.explode(F.sequence(F.lit(1), F.lit(31))).cast("int").alias("dia")) \
-        .select("dia", F.posexplode(seasons).alias("season_ord", "estacion")) \
+    return spark.range(1).select(F.explode(F.sequence(F.lit(1), F.lit(31))).alias("dia")) \
+        .select(F.col("dia").cast("int").alias("dia"), F.posexplode(seasons).alias("season_ord", "estacion")) \
         .withColumn("season_ord", F.col("season_ord").cast("int"))
 
 
@@ -40,8 +40,8 @@ def dense_grid_fill(agg: DataFrame, by: tuple[str, ...] = ("id_ciudad",)) -> Dat
     (station, day, season)."""
     seasons = F.array(*[F.lit(s) for s in SEASONS])
     stations = agg.select(*by).distinct()
-    grid = stations.select(*by, F.explode(F.sequence(F.lit(1), F.lit(31))).cast("int").alias("dia")) \
-        .select(*by, "dia", F.posexplode(seasons).alias("season_ord", "estacion")) \
+    grid = stations.select(*by, F.explode(F.sequence(F.lit(1), F.lit(31))).alias("dia")) \
+        .select(*by, F.col("dia").cast("int").alias("dia"), F.posexplode(seasons).alias("season_ord", "estacion")) \
         .withColumn("season_ord", F.col("season_ord").cast("int"))
     return grid.join(agg, [*by, "dia", "estacion"], "left")
 

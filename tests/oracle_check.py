@@ -77,9 +77,12 @@ def compare(spark, con, name: str, fn, sql: str, sf_dir: str) -> tuple[bool, str
     d_norm = sorted((tuple(_norm(r[i]) for i in di) for r in d_rows), key=_key)
     if len(s_norm) != len(d_norm):
         return False, f"{msg} row counts differ"
-    diffs = [(a, b) for a, b in zip(s_norm, d_norm) if a != b]
-    if diffs:
-        return False, f"{msg} {len(diffs)} rows differ; first: {diffs[0][0]} vs {diffs[0][1]} cols={order}"
+    from collections import Counter
+    cs, cd = Counter(s_norm), Counter(d_norm)
+    only_s, only_d = list((cs - cd).elements()), list((cd - cs).elements())
+    if only_s or only_d:
+        return False, (f"{msg} {len(only_s)} rows differ; spark-only: {sorted(only_s, key=_key)[:2]} "
+                       f"duck-only: {sorted(only_d, key=_key)[:2]} cols={order}")
     return True, msg
 
 
