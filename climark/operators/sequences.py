@@ -65,12 +65,14 @@ def rolling_arrays(idx: DataFrame, keys: list[str], payload: list[str], lo: int,
 
 def supervised_windows(df: DataFrame, features: list[str], targets: list[str], T: int,
                        keys: tuple[str, ...] = ("id_ciudad", "split"), time_col: str = "time",
-                       chunk: int = DEFAULT_CHUNK) -> DataFrame:
+                       chunk: int = DEFAULT_CHUNK, target_prefix: str = "") -> DataFrame:
     """X = rows i-T..i-1, y = row i, for i >= T within each series (windows
     never cross a key boundary, so the first T rows of every split get no
-    window and N = len - T)."""
-    cols = [F.col(c).cast("double").alias(c) for c in features]
-    base = df.select(*keys, time_col, *cols, *[F.col(t).cast("double").alias(f"y_{t}") for t in targets])
+    window and N = len - T).  Targets are read from ``target_prefix + t``
+    (e.g. unscaled copies kept next to scaled features)."""
+    cols = [F.col(f"`{c}`").cast("double").alias(c) for c in features]
+    base = df.select(*keys, time_col, *cols,
+                     *[F.col(f"{target_prefix}{t}").cast("double").alias(f"y_{t}") for t in targets])
     idx = sequence_index(base, list(keys), [time_col], month_bucket(time_col))
     win = rolling_arrays(idx, list(keys), [time_col, *features], -T, -1, chunk=chunk)
     return win.where(F.col("_i") >= T).select(
@@ -129,3 +131,16 @@ def catchup_windows(df: DataFrame, behind: DataFrame, features: list[str], T: in
     ends = win.where((F.col("_i") >= F.col("_n") - 1 - F.col("_d")) & (F.col("_i") >= T - 1))
     return ends.select(key, F.col(time_col).alias("window_end"),
                        (F.col(time_col) + F.expr("INTERVAL 1 DAY")).alias("forecast_time"), "seq")
+
+
+def serving_windows(df: DataFrame, features: list[str], T: int, key: str = "id_ciudad",
+                    time_col: str = "time", chunk: int = DEFAULT_CHUNK) -> DataFrame:
+    """The window ending at each station's last row (complete windows only);
+    it forecasts the following day."""
+    base = df.select(key, time_col, *[F.col(f"`{c}`").cast("double").alias(c) for c in features])
+    idx = sequence_index(base, [key], [time_col], month_bucket(time_col), total="_n")
+    win = rolling_arrays(idx.where(F.col("_i") >= F.col("_n") - T), [key], [time_col, *features],
+                         -(T - 1), 0, chunk=chunk)
+    ends = win.where((F.col("_i") == F.col("_n") - 1) & (F.size("seq") == T))
+    return ends.select(key, F.col(time_col).alias("window_end"),
+                       (F.col(time_col) + F.expr("INTERVAL 1 DAY")).alias("forecast_time"), "seq")

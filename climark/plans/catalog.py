@@ -38,4 +38,4 @@ def register(name: str, survey_id: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from climark.plans import queries_core, queries_seq  # noqa: F401
+    from climark.plans import queries_core, queries_ml, queries_seq, queries_stream  # noqa: F401
