@@ -15,7 +15,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from climark.functions.numeric import r6, safe_corr
+from climark.functions.numeric import r6
 from climark.functions.sizing import bounded_broadcast
 from climark.operators.cleaning import numeric_columns
 
@@ -86,26 +86,39 @@ def correlation_matrix(df: DataFrame, cols: list[str], by: tuple[str, ...] = ("i
                        digits: int = 2) -> DataFrame:
     """Pearson correlation of every column pair per group, rounded; a
     constant column gives null instead of a division error.  Timestamps are
-    used as epoch microseconds."""
+    used as epoch microseconds.
+
+    Two passes, numerically stable: (1) per-group means and population
+    stds; (2) each row's centred values are multiplied pairwise - a fixed
+    array of (a, b) index pairs is exploded inside the map stage and summed
+    per (group, a, b) with partial aggregation, so only groups x pairs
+    partial sums are shuffled and the expression tree stays small."""
     num = {}
     for c in cols:
         dt = df.schema[c].dataType.simpleString()
-        num[c] = F.unix_micros(F.col(c).cast("timestamp")).cast("double") if dt.startswith("timestamp") \
-            else F.col(c).cast("double")
-    base = df.select(*by, *[num[c].alias(c) for c in cols])
-    aggs, names = [], []
-    for i, a in enumerate(cols):
-        for b in cols[i:]:
-            aggs.append(safe_corr(a, b).alias(f"{a}__{b}"))
-            names.append((a, b))
-    wide = base.groupBy(*by).agg(*aggs)
-    rows = []
-    for a, b in names:
-        v = F.round(F.col(f"`{a}__{b}`"), digits) + F.lit(0.0)  # -0.0 -> 0.0
-        rows.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), v.alias("corr")))
-        if a != b:
-            rows.append(F.struct(F.lit(b).alias("col_a"), F.lit(a).alias("col_b"), v.alias("corr")))
-    return wide.select(*by, F.inline(F.array(*rows)))
+        num[c] = F.unix_micros(F.col(f"`{c}`").cast("timestamp")).cast("double") if dt.startswith("timestamp") \
+            else F.col(f"`{c}`").cast("double")
+    k = len(cols)
+    base = df.select(*by, F.array(*[num[c] for c in cols]).alias("_x"))
+    stats = base.groupBy(*by).agg(
+        F.array(*[F.avg(F.col("_x")[i]) for i in range(k)]).alias("_m"),
+        F.array(*[F.stddev_pop(F.col("_x")[i]) for i in range(k)]).alias("_s"),
+        F.count(F.lit(1)).alias("_n"))
+    stats = bounded_broadcast(stats)
+    z = F.zip_with("_x", "_m", lambda x, m: x - m)
+    pairs = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in range(k) for b in range(a, k)])
+    ex = base.join(stats.select(*by, "_m"), list(by)).select(*by, z.alias("_z"), F.explode(pairs).alias("_p"))
+    sums = ex.groupBy(*by, F.col("_p.a").alias("a"), F.col("_p.b").alias("b")).agg(
+        F.sum(F.col("_z")[F.col("_p.a")] * F.col("_z")[F.col("_p.b")]).alias("_sp"))
+    names = F.array(*[F.lit(c) for c in cols])
+    j = sums.join(stats.select(*by, "_s", "_n"), list(by))
+    den = F.col("_s")[F.col("a")] * F.col("_s")[F.col("b")]
+    corr = F.round(F.when(den > 0, F.col("_sp") / F.col("_n") / den), digits) + F.lit(0.0)  # -0.0 -> 0.0
+    both = F.array(F.struct(names[F.col("a")].alias("col_a"), names[F.col("b")].alias("col_b")),
+                   F.struct(names[F.col("b")].alias("col_a"), names[F.col("a")].alias("col_b")))
+    out = j.select(*by, corr.alias("corr"), F.when(F.col("a") == F.col("b"), F.slice(both, 1, 1))
+                   .otherwise(both).alias("_ab"))
+    return out.select(*by, F.inline("_ab"), "corr")
 
 
 def boxplot_stats(df: DataFrame, cols: list[str], by: tuple[str, ...] = ("id_ciudad",),
