@@ -20,6 +20,17 @@ from climark.functions.sizing import bounded_broadcast
 from climark.operators.cleaning import numeric_columns
 
 QUARTILES = [0.25, 0.5, 0.75]
+# Above this many rows in the largest group, exact percentiles (a value->count
+# map merged in one reducer per group) give way to percentile_approx.
+EXACT_MAX_GROUP_ROWS = 5_000_000
+
+
+def use_approx(df: DataFrame, by, approx) -> bool:
+    """``approx="auto"``: measure the largest group (one small aggregate)."""
+    if approx != "auto":
+        return bool(approx)
+    biggest = df.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
+    return biggest > EXACT_MAX_GROUP_ROWS
 
 
 def _percentiles(c: str, ps: list[float], approx: bool):
@@ -35,8 +46,9 @@ def _long(wide: DataFrame, by: list[str], cols: list[str], fields: dict[str, cal
 
 
 def describe_numeric(df: DataFrame, cols: list[str], by: tuple[str, ...] = ("id_ciudad",),
-                     approx: bool = False) -> DataFrame:
+                     approx="auto") -> DataFrame:
     """count, mean, sample std, min, quartiles, max per group and column."""
+    approx = use_approx(df, by, approx)
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
@@ -73,9 +85,10 @@ def profile_columns(df: DataFrame) -> DataFrame:
 
 
 def mean_abs_dev_median(df: DataFrame, cols: list[str], by: tuple[str, ...] = ("id_ciudad",),
-                        approx: bool = False) -> DataFrame:
+                        approx="auto") -> DataFrame:
     """mean(|x - median(x)|) per group and column (two passes: medians, then
     the deviation aggregate against the broadcast per-group medians)."""
+    approx = use_approx(df, by, approx)
     med = df.groupBy(*by).agg(*[_percentiles(c, [0.5], approx)[0].alias(f"{c}__med") for c in cols])
     j = df.join(bounded_broadcast(med), list(by))
     wide = j.groupBy(*by).agg(*[F.avg(F.abs(F.col(c) - F.col(f"{c}__med"))).alias(c) for c in cols])
@@ -122,10 +135,11 @@ def correlation_matrix(df: DataFrame, cols: list[str], by: tuple[str, ...] = ("i
 
 
 def boxplot_stats(df: DataFrame, cols: list[str], by: tuple[str, ...] = ("id_ciudad",),
-                  whis: float = 1.5, approx: bool = False) -> DataFrame:
+                  whis: float = 1.5, approx="auto") -> DataFrame:
     """Quartiles, whiskers (most extreme values inside the 1.5 IQR fences) and
     outlier counts.  Pass 1: quartiles per group; pass 2: conditional min/max/
     count against the broadcast quartiles."""
+    approx = use_approx(df, by, approx)
     q = df.groupBy(*by).agg(*[_percentiles(c, QUARTILES, approx).alias(f"{c}__q") for c in cols])
     j = df.join(bounded_broadcast(q), list(by))
     aggs = []

@@ -94,7 +94,9 @@ class Tables:
     @cached_property
     def clima(self) -> DataFrame:
         from climark.operators.cleaning import fill_missing_zero
-        return fill_missing_zero(self.landing)
+        from climark.schemas import MEASURES
+        # keys are never filled, so filters on them still reach the scans
+        return fill_missing_zero(self.landing, MEASURES)
 
     @cached_property
     def ciudades(self) -> DataFrame:
