@@ -183,6 +183,36 @@ def histogram_fixed_bins(df: DataFrame, value: str, by: tuple[str, ...], bins: i
         F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"))
 
 
+def histogram_auto_bins(df: DataFrame, cols: list[str], by: tuple[str, ...] = ("id_ciudad",),
+                        approx="auto") -> DataFrame:
+    """Histogram per group and column with numpy's 'auto' bin count (the
+    larger of Sturges and Freedman-Diaconis), last bin closed.  Bin counts
+    differ per (group, column), so the bin grid is generated per group from
+    its own count (explode of a bounded sequence)."""
+    approx = use_approx(df, by, approx)
+    long = df.select(*by, F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"),
+                                                      F.col(c).cast("double").alias("value")) for c in cols])))
+    g = [*by, "column_name"]
+    st = long.groupBy(*g).agg(F.count("value").alias("_n"), F.min("value").alias("_mn"),
+                              F.max("value").alias("_mx"), _percentiles("value", [0.25, 0.75], approx).alias("_q"))
+    st = st.select(*g, "_n",
+                   F.when(F.col("_mx") > F.col("_mn"), F.col("_mn")).otherwise(F.col("_mn") - 0.5).alias("_lo"),
+                   F.when(F.col("_mx") > F.col("_mn"), F.col("_mx")).otherwise(F.col("_mx") + 0.5).alias("_hi"),
+                   (F.col("_q")[1] - F.col("_q")[0]).alias("_iqr"))
+    st = st.withColumn("_nb", auto_bin_count(F.col("_n"), F.col("_iqr"), F.col("_hi") - F.col("_lo")))
+    st = bounded_broadcast(st)
+    b = F.least(F.floor((F.col("value") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * F.col("_nb")),
+                F.col("_nb") - 1).cast("int")
+    counts = long.join(st, g).groupBy(*g, b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    grid = st.select(*g, "_lo", "_hi", "_nb", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)).alias("bin"))
+    width = (F.col("_hi") - F.col("_lo")) / F.col("_nb")
+    return grid.join(counts, [*g, "bin"], "left").select(
+        *g, F.col("_nb").alias("n_bins"), F.col("bin").cast("int").alias("bin"),
+        r6(F.col("_lo") + F.col("bin") * width).alias("bin_lo"),
+        r6(F.col("_lo") + (F.col("bin") + 1) * width).alias("bin_hi"),
+        F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"))
+
+
 def auto_bin_count(n, iqr, span):
     """numpy 'auto' rule: the larger of Sturges and Freedman-Diaconis counts."""
     sturges = F.ceil(F.log2(n.cast("double")) + 1)
@@ -222,5 +252,5 @@ def scatter_series(df: DataFrame, cols: list[str], keys: tuple[str, ...] = ("id_
 
 
 __all__ = ["describe_numeric", "profile_columns", "mean_abs_dev_median", "correlation_matrix",
-           "boxplot_stats", "histogram_fixed_bins", "kde_curve", "scatter_series", "numeric_columns",
+           "boxplot_stats", "histogram_fixed_bins", "histogram_auto_bins", "kde_curve", "scatter_series", "numeric_columns",
            "auto_bin_count"]

@@ -570,6 +570,35 @@ def q_histogram_fixed_bins(t: Tables):
     return pf.histogram_fixed_bins(forecast_pairs(t), "error", ("target",), BINS)
 
 
+def _auto_hist_sql(cols):
+    long = " UNION ALL ".join(f"SELECT id_ciudad, '{c}' AS column_name, CAST({c} AS DOUBLE) AS value FROM clima"
+                              for c in cols)
+    return f""", long AS ({long}),
+st0 AS (SELECT id_ciudad, column_name, count(value) AS n, min(value) AS mn, max(value) AS mx,
+               quantile_cont(value, 0.75) - quantile_cont(value, 0.25) AS iqr FROM long GROUP BY 1, 2),
+st1 AS (SELECT id_ciudad, column_name, n, iqr, CASE WHEN mx > mn THEN mn ELSE mn - 0.5 END AS lo,
+               CASE WHEN mx > mn THEN mx ELSE mx + 0.5 END AS hi FROM st0),
+st AS (SELECT *, CAST(greatest(ceil(log2(CAST(n AS DOUBLE)) + 1),
+                      coalesce(CASE WHEN 2.0 * iqr * pow(CAST(n AS DOUBLE), -1.0 / 3.0) > 0
+                                    THEN ceil((hi - lo) / (2.0 * iqr * pow(CAST(n AS DOUBLE), -1.0 / 3.0))) END,
+                               ceil(log2(CAST(n AS DOUBLE)) + 1))) AS INTEGER) AS nb FROM st1),
+cnt AS (SELECT l.id_ciudad, l.column_name,
+               CAST(least(floor((l.value - s.lo) / (s.hi - s.lo) * s.nb), s.nb - 1) AS INTEGER) AS bin,
+               count(*) AS n FROM long l JOIN st s ON l.id_ciudad = s.id_ciudad AND l.column_name = s.column_name
+        GROUP BY 1, 2, 3)
+SELECT s.id_ciudad, s.column_name, s.nb AS n_bins, CAST(b.bin AS INTEGER) AS bin,
+       round(s.lo + b.bin * ((s.hi - s.lo) / s.nb), 6) AS bin_lo,
+       round(s.lo + (b.bin + 1) * ((s.hi - s.lo) / s.nb), 6) AS bin_hi, coalesce(c.n, 0) AS n
+FROM st s, LATERAL (SELECT unnest(range(0, s.nb)) AS bin) b
+LEFT JOIN cnt c ON c.id_ciudad = s.id_ciudad AND c.column_name = s.column_name AND c.bin = b.bin"""
+
+
+@register("histogram_auto_bins", "D11", _auto_hist_sql(PROFILED))
+def q_histogram_auto_bins(t: Tables):
+    """Per-station histograms of tmax/tmin/tavg/pres with numpy 'auto' bins."""
+    return pf.histogram_auto_bins(t.clima, PROFILED)
+
+
 @register("kde_curve", "D12", f""", {FVA_SQL},
 st AS (SELECT target, count(error) AS n, stddev_samp(error) * pow(CAST(count(error) AS DOUBLE), -0.2) AS bw,
               min(error) AS mn, max(error) AS mx FROM fva GROUP BY target),
