@@ -17,8 +17,3 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS)
     n = df.count()
     return F.broadcast(df) if n <= max_rows else df
 
-
-def bounded_by_construction(df: DataFrame) -> DataFrame:
-    """Broadcast a frame whose size is bounded by construction (one row per
-    group of an aggregate over a bounded key set, a fixed grid, ...)."""
-    return F.broadcast(df)

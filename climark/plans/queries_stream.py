@@ -21,9 +21,7 @@ from climark.streaming.ingest import stream_daily_forecast, stream_ingest_observ
 
 def _land(df: DataFrame, folder: str, period) -> None:
     """Write ``df`` as one delivery per value of ``period`` (time order)."""
-    d = df.withColumn("_p", period)
-    for (p,) in d.select("_p").distinct().orderBy("_p").collect():  # bounded: delivery periods
-        d.where(F.col("_p") == p).drop("_p").write.mode("append").parquet(folder)
+    _land_with(df.withColumn("_d", period), folder)
 
 
 @register("stream_ingest_observations", "I01")
@@ -32,7 +30,7 @@ def q_stream_ingest(t: Tables):
     into the observation table with watermark dedup + insert_new."""
     spark = t.spark
     base = scratch_path(spark, "stream-ingest")
-    resent = t.landing.where(F.month("time") == 12)
+    resent = t.landing.where(F.month("time") == 12)  # each December is delivered again next year
     deliveries = t.landing.withColumn("_d", F.year("time")) \
         .unionByName(resent.withColumn("_d", F.year("time") + 1))
     _land_with(deliveries, f"{base}/landing")

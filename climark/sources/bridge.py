@@ -58,12 +58,13 @@ class Tables:
     def supplier_station(self) -> DataFrame:
         nat = self.raw("nation").select("n_nationkey", "n_regionkey")
         reg = self.raw("region").select("r_regionkey")
-        # nation/region are dimension tables of fixed size (25 / 5 rows).
-        geo = nat.join(F.broadcast(reg), nat.n_regionkey == reg.r_regionkey)
+        # plain dimension scans: Spark's size-based auto-broadcast applies
+        geo = nat.join(reg, nat.n_regionkey == reg.r_regionkey)
         key = (F.col("r_regionkey") if self.level == "region" else F.col("n_nationkey")) + 1
         geo = geo.select("n_nationkey", key.cast("int").alias("id_ciudad"))
         sup = self.raw("supplier").select("s_suppkey", "s_nationkey")
-        m = sup.join(F.broadcast(geo), sup.s_nationkey == geo.n_nationkey).select("s_suppkey", "id_ciudad")
+        m = sup.join(geo, sup.s_nationkey == geo.n_nationkey).select("s_suppkey", "id_ciudad")
+        # a derived frame has no reliable size estimate: measure it
         return bounded_broadcast(m)
 
     @cached_property

@@ -70,10 +70,3 @@ def stream_daily_forecast(spark: SparkSession, source_dir: str, tables_base: str
     stream_ingest_observations(spark, source_dir, tables_base, checkpoint, watermark, files_per_trigger,
                                on_batch=after)
 
-
-def write_deliveries(df: DataFrame, folder: str, by: str = "year") -> None:
-    """Land a frame as a sequence of deliveries (one write per period, in
-    time order) - a test harness for the file source."""
-    periods = [r[0] for r in df.select(F.year("time").alias("p")).distinct().orderBy("p").collect()]
-    for p in periods:  # one write per delivery period (bounded: years of data)
-        df.where(F.year("time") == p).write.mode("append").parquet(folder)
