@@ -14,11 +14,16 @@ from climark.schemas import MONTH_COLUMNS, SEASON_COLUMNS, SEASON_MONTHS, SEASON
 
 def parse_time(df: DataFrame, src: str, dst: str | None = None, fmt: str = "yyyy-MM-dd",
                strict: bool = True) -> DataFrame:
-    """String -> timestamp.  ``strict`` raises on bad input (ANSI), otherwise null."""
-    fn = F.to_timestamp_ntz if strict else F.try_to_timestamp
-    out = fn(F.col(src), F.lit(fmt))
-    if not strict:
-        out = out.cast("timestamp_ntz")
+    """String -> wall-clock timestamp (timestamp_ntz, no session-time-zone
+    shift).  ``strict`` raises on bad input (ANSI); otherwise a bad string
+    becomes null.  The coercing path parses the day (``try_to_date``) and the
+    time of day separately, so no instant is ever resolved in a zone (a
+    midnight skipped by a DST change stays midnight)."""
+    if strict:
+        out = F.to_timestamp_ntz(F.col(src), F.lit(fmt))
+    else:
+        d = F.try_to_date(F.col(src), fmt)
+        out = F.when(d.isNotNull(), F.to_timestamp_ntz(F.col(src), F.lit(fmt)))
     return df.withColumn(dst or src, out)
 
 

@@ -109,7 +109,9 @@ def correlation_matrix(df: DataFrame, cols: list[str], by: tuple[str, ...] = ("i
     num = {}
     for c in cols:
         dt = df.schema[c].dataType.simpleString()
-        num[c] = F.unix_micros(F.col(f"`{c}`").cast("timestamp")).cast("double") if dt.startswith("timestamp") \
+        # epoch microseconds of the wall-clock value, independent of the session time zone
+        num[c] = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', "
+                        f"CAST(`{c}` AS TIMESTAMP_NTZ))").cast("double") if dt.startswith("timestamp") \
             else F.col(f"`{c}`").cast("double")
     k = len(cols)
     base = df.select(*by, F.array(*[num[c] for c in cols]).alias("_x"))
