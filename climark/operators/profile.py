@@ -120,13 +120,13 @@ def correlation_matrix(df: DataFrame, cols: list[str], by: tuple[str, ...] = ("i
         F.array(*[F.stddev_pop(F.col("_x")[i]) for i in range(k)]).alias("_s"),
         F.count(F.lit(1)).alias("_n"))
     stats = bounded_broadcast(stats)
-    z = F.zip_with("_x", "_m", lambda x, m: x - m)
+    z = F.array(*[F.col("_x")[i] - F.col("_m")[i] for i in range(k)])  # plain codegen, no lambda
     pairs = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in range(k) for b in range(a, k)])
-    ex = base.join(stats.select(*by, "_m"), list(by)).select(*by, z.alias("_z"), F.explode(pairs).alias("_p"))
+    ex = base.join(stats, list(by)).select(*by, z.alias("_z")).select(*by, "_z", F.explode(pairs).alias("_p"))
     sums = ex.groupBy(*by, F.col("_p.a").alias("a"), F.col("_p.b").alias("b")).agg(
         F.sum(F.col("_z")[F.col("_p.a")] * F.col("_z")[F.col("_p.b")]).alias("_sp"))
     names = F.array(*[F.lit(c) for c in cols])
-    j = sums.join(stats.select(*by, "_s", "_n"), list(by))
+    j = sums.join(stats, list(by))
     den = F.col("_s")[F.col("a")] * F.col("_s")[F.col("b")]
     corr = F.round(F.when(den > 0, F.col("_sp") / F.col("_n") / den), digits) + F.lit(0.0)  # -0.0 -> 0.0
     both = F.array(F.struct(names[F.col("a")].alias("col_a"), names[F.col("b")].alias("col_b")),

@@ -46,10 +46,14 @@ def _dec_sum(c: str):
 class Tables:
     """Lazily built DataFrames over one scale-factor directory."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, level: str = "region"):
+    def __init__(self, spark: SparkSession, sf_dir: str, level: str = "region", materialize: bool = True):
         if level not in ("region", "nation"):
             raise ValueError("level must be 'region' or 'nation'")
         self.spark, self.sf_dir, self.level = spark, sf_dir.rstrip("/"), level
+        self.materialize = materialize
+        if materialize:
+            from climark.session import ensure_checkpoint_dir
+            ensure_checkpoint_dir(spark)
 
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -82,7 +86,7 @@ class Tables:
             _dec_sum("l_tax").alias("_tax"),
             _dec_sum("l_extendedprice").alias("_price"),
         )
-        return agg.select(
+        out = agg.select(
             "id_ciudad", "time", "tmax", "tmin", "tavg", "prcp",
             null.alias("snow"),
             F.col("_n").cast("int").alias("wdir"),
@@ -91,6 +95,14 @@ class Tables:
             (F.col("_price") / F.col("_n")).alias("pres"),
             null.alias("tsun"),
         )
+        if self.materialize:
+            # The daily table is stations x days rows - tiny next to lineitem.
+            # Multi-pass operators (quantiles then fences, means then
+            # deviations, ML fits) would otherwise re-run the lineitem join
+            # per pass; a reliable checkpoint in the shared checkpoint dir
+            # also cuts the lineage.
+            out = out.checkpoint(eager=True)
+        return out
 
     @cached_property
     def clima(self) -> DataFrame:
