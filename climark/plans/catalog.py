@@ -21,11 +21,15 @@ ORACLE: dict[str, str] = {}
 SURVEY_ID: dict[str, str] = {}
 
 
-def register(name: str, survey_id: str, sql: str | None = None):
-    """Register ``fn(tables) -> DataFrame`` under ``name``."""
+def register(name: str, survey_id: str, sql: str | None = None, materialize: bool = False):
+    """Register ``fn(tables) -> DataFrame`` under ``name``.
+
+    ``materialize``: multi-pass queries checkpoint the bridged daily table
+    once (stations x days rows) instead of re-running the lineitem join per
+    pass; single-pass queries stay fully lazy so filters reach the scans."""
     def deco(fn: Callable[[Tables], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(Tables(spark, sf_dir))
+            return fn(Tables(spark, sf_dir, materialize=materialize))
         run.__name__ = name
         run.__doc__ = fn.__doc__
         QUERIES[name] = run

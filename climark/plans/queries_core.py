@@ -294,7 +294,7 @@ def q_fill_missing_zero(t: Tables):
 , m AS (SELECT id_ciudad, avg({OUTLIER[0]}) AS mu FROM clima GROUP BY id_ciudad)
 SELECT c.id_ciudad, c.time, round(c.{OUTLIER[0]}, 6) AS {OUTLIER[0]}_raw,
        round(CASE WHEN c.{OUTLIER[0]} < {OUTLIER[1]} THEN m.mu ELSE c.{OUTLIER[0]} END, 6) AS {OUTLIER[0]}
-FROM clima c JOIN m ON c.id_ciudad = m.id_ciudad""")
+FROM clima c JOIN m ON c.id_ciudad = m.id_ciudad""", materialize=True)
 def q_replace_low_outlier(t: Tables):
     """Values below the bound replaced by the station mean of the raw column."""
     col, lower = OUTLIER
@@ -477,7 +477,7 @@ def _describe_sql(cols):
     return " UNION ALL ".join(parts)
 
 
-@register("describe_numeric", "D06", _describe_sql(MEASURES))
+@register("describe_numeric", "D06", _describe_sql(MEASURES), materialize=True)
 def q_describe_numeric(t: Tables):
     return pf.describe_numeric(t.clima, MEASURES)
 
@@ -500,7 +500,7 @@ def _mad_sql(cols):
     return f", med AS (SELECT id_ciudad, {meds} FROM clima GROUP BY id_ciudad) " + " UNION ALL ".join(parts)
 
 
-@register("mean_abs_dev_median", "D08", _mad_sql(MEASURES))
+@register("mean_abs_dev_median", "D08", _mad_sql(MEASURES), materialize=True)
 def q_mean_abs_dev_median(t: Tables):
     return pf.mean_abs_dev_median(t.clima, MEASURES)
 
@@ -524,7 +524,7 @@ def _corr_sql(cols):
     return f", w AS (SELECT id_ciudad, {', '.join(sel)} FROM feat GROUP BY id_ciudad) " + " UNION ALL ".join(unions)
 
 
-@register("correlation_matrix", "D09", _corr_sql(ZERO_KEPT))
+@register("correlation_matrix", "D09", _corr_sql(ZERO_KEPT), materialize=True)
 def q_correlation_matrix(t: Tables):
     """Pearson matrix (2 dp) of the columns left after dropping all-zero ones,
     time included as epoch; per station."""
@@ -550,7 +550,7 @@ def _box_sql(cols):
     return f", q AS (SELECT id_ciudad, {qs} FROM clima GROUP BY id_ciudad) " + " UNION ALL ".join(parts)
 
 
-@register("boxplot_stats", "D10", _box_sql(PROFILED))
+@register("boxplot_stats", "D10", _box_sql(PROFILED), materialize=True)
 def q_boxplot_stats(t: Tables):
     return pf.boxplot_stats(t.clima, PROFILED)
 
@@ -564,7 +564,7 @@ cnt AS (SELECT f.target, CAST(least(floor((f.error - r.lo) / (r.hi - r.lo) * {fl
 SELECT r.target, CAST(b.bin AS INTEGER) AS bin, round(r.lo + b.bin * ((r.hi - r.lo) / {float(BINS)}), 6) AS bin_lo,
        round(r.lo + (b.bin + 1) * ((r.hi - r.lo) / {float(BINS)}), 6) AS bin_hi, coalesce(c.n, 0) AS n
 FROM rng r CROSS JOIN (SELECT range AS bin FROM range(0, {BINS})) b
-LEFT JOIN cnt c ON c.target = r.target AND c.bin = b.bin""")
+LEFT JOIN cnt c ON c.target = r.target AND c.bin = b.bin""", materialize=True)
 def q_histogram_fixed_bins(t: Tables):
     """20-bin histogram of forecast errors per target."""
     return pf.histogram_fixed_bins(forecast_pairs(t), "error", ("target",), BINS)
@@ -593,7 +593,7 @@ FROM st s, LATERAL (SELECT unnest(range(0, s.nb)) AS bin) b
 LEFT JOIN cnt c ON c.id_ciudad = s.id_ciudad AND c.column_name = s.column_name AND c.bin = b.bin"""
 
 
-@register("histogram_auto_bins", "D11", _auto_hist_sql(PROFILED))
+@register("histogram_auto_bins", "D11", _auto_hist_sql(PROFILED), materialize=True)
 def q_histogram_auto_bins(t: Tables):
     """Per-station histograms of tmax/tmin/tavg/pres with numpy 'auto' bins."""
     return pf.histogram_auto_bins(t.clima, PROFILED)
@@ -608,7 +608,7 @@ g AS (SELECT range AS g FROM range(0, 200))
 SELECT s.target, CAST(g.g AS INTEGER) AS g, round(any_value(s.lo + g.g * s.step), 6) AS x,
        round(sum(vc.c * exp(-0.5 * ((s.lo + g.g * s.step - vc.v) / s.bw) * ((s.lo + g.g * s.step - vc.v) / s.bw)))
              / (any_value(s.n) * any_value(s.bw) * sqrt(2 * pi())), 6) AS density
-FROM st2 s JOIN vc ON vc.target = s.target CROSS JOIN g GROUP BY s.target, g.g""")
+FROM st2 s JOIN vc ON vc.target = s.target CROSS JOIN g GROUP BY s.target, g.g""", materialize=True)
 def q_kde_curve(t: Tables):
     """Gaussian KDE of forecast errors per target (Scott bandwidth, 200 points)."""
     return pf.kde_curve(forecast_pairs(t), "error", ("target",))
@@ -644,7 +644,7 @@ def q_temperature_band(t: Tables):
 
 @register("regression_line", "D16", f""", {FVA_SQL}
 SELECT target, round(regr_slope(pred, real), 6) AS slope, round(regr_intercept(pred, real), 6) AS intercept,
-       min(real) AS real_min, max(real) AS real_max FROM fva GROUP BY target""")
+       min(real) AS real_min, max(real) AS real_max FROM fva GROUP BY target""", materialize=True)
 def q_regression_line(t: Tables):
     """OLS line of forecast on observation per target, plus the identity range."""
     return forecast_pairs(t).groupBy("target").agg(

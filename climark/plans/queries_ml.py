@@ -66,37 +66,37 @@ def _terms(t: Tables, rows, value: str) -> DataFrame:
     return t.spark.createDataFrame(rows, f"target string, term string, {value} double")
 
 
-@register("fit_linear", "L03")
+@register("fit_linear", "L03", materialize=True)
 def q_fit_linear(t: Tables):
     """Ordinary least squares per target: (target, term, coefficient)."""
     return _terms(t, coefficients_long(MLData(t).fit("Linear Regression"), TERM_NAMES), "coefficient")
 
 
-@register("fit_elastic_net", "L03")
+@register("fit_elastic_net", "L03", materialize=True)
 def q_fit_elastic_net(t: Tables):
     """Elastic net (alpha 0.1, l1 ratio 0.5) per target: coefficients."""
     return _terms(t, coefficients_long(MLData(t).fit("Elastic Net"), TERM_NAMES), "coefficient")
 
 
-@register("fit_decision_tree", "L04")
+@register("fit_decision_tree", "L04", materialize=True)
 def q_fit_decision_tree(t: Tables):
     """Depth-5 regression trees per target: feature importances."""
     return _terms(t, importances_long(MLData(t).fit("Decision Tree"), TERM_NAMES), "importance")
 
 
-@register("fit_random_forest", "L04")
+@register("fit_random_forest", "L04", materialize=True)
 def q_fit_random_forest(t: Tables):
     """100-tree forests per target: feature importances."""
     return _terms(t, importances_long(MLData(t).fit("Random Forest"), TERM_NAMES), "importance")
 
 
-@register("fit_gradient_boosting", "L05")
+@register("fit_gradient_boosting", "L05", materialize=True)
 def q_fit_gradient_boosting(t: Tables):
     """50-round depth-3 boosting per target: feature importances."""
     return _terms(t, importances_long(MLData(t).fit("Gradient Boosting"), TERM_NAMES), "importance")
 
 
-@register("multi_output", "L06")
+@register("multi_output", "L06", materialize=True)
 def q_multi_output(t: Tables):
     """Three regressors on one window vector, outputs side by side."""
     d = MLData(t)
@@ -104,13 +104,13 @@ def q_multi_output(t: Tables):
                                                         *[f"pred_{x}" for x in TARGETS])
 
 
-@register("predict_splits", "L07")
+@register("predict_splits", "L07", materialize=True)
 def q_predict_splits(t: Tables):
     """Long predictions (model, split, station, day, target, real, pred)."""
     return predictions(MLData(t), SERVING_MODEL)
 
 
-@register("model_comparison_ml", "L10")
+@register("model_comparison_ml", "L10", materialize=True)
 def q_model_comparison_ml(t: Tables):
     """The comparison table for the Spark ML candidates, serving model first."""
     d = MLData(t)
@@ -132,7 +132,7 @@ def score_windows(d: MLData, mt: MultiTarget, win: DataFrame) -> DataFrame:
     return cl.unsigned_guard(rows)
 
 
-@register("forecast_next_day", "L08")
+@register("forecast_next_day", "L08", materialize=True)
 def q_forecast_next_day(t: Tables):
     """Every station's forecast for the day after its last observation."""
     d = MLData(t)
@@ -141,7 +141,7 @@ def q_forecast_next_day(t: Tables):
     return score_windows(d, mt, win)
 
 
-@register("permutation_importance", "L11")
+@register("permutation_importance", "L11", materialize=True)
 def q_permutation_importance(t: Tables):
     """Importance of each feature (whole window permuted) on val windows."""
     d = MLData(t)
@@ -150,7 +150,7 @@ def q_permutation_importance(t: Tables):
     return permutation_importance(val, mt, REDUCED_FEATURES, ["id_ciudad", "target_time"], TARGETS)
 
 
-@register("sort_importance", "F05")
+@register("sort_importance", "F05", materialize=True)
 def q_sort_importance(t: Tables):
     """Importances in descending order with their rank (one row per feature)."""
     imp = q_permutation_importance(t)
@@ -163,28 +163,28 @@ def history(t: Tables) -> DataFrame:
     return training_history(t.spark, mt, d.split("train"), d.split("val"))
 
 
-@register("training_history", "L13")
+@register("training_history", "L13", materialize=True)
 def q_training_history(t: Tables):
     """Per-iteration train/val loss, MAE, RMSE, R^2 of the boosted models."""
     return history(t)
 
 
-@register("best_iteration", "F03")
+@register("best_iteration", "F03", materialize=True)
 def q_best_iteration(t: Tables):
     return ev.best_iteration(history(t))
 
 
-@register("final_iteration", "F04")
+@register("final_iteration", "F04", materialize=True)
 def q_final_iteration(t: Tables):
     return ev.final_iteration(history(t))
 
 
-@register("history_slice", "F07")
+@register("history_slice", "F07", materialize=True)
 def q_history_slice(t: Tables):
     return ev.history_slice(history(t), *HISTORY_SLICE)
 
 
-@register("progress_every_k", "L14")
+@register("progress_every_k", "L14", materialize=True)
 def q_progress_every_k(t: Tables):
     return ev.progress_every_k(history(t), PROGRESS_EVERY)
 
@@ -198,7 +198,7 @@ def catchup_forecasts(t: Tables, d: MLData, mt: MultiTarget, observations: DataF
     return new.join(t.predic.select("id", "time"), ["id", "time"], "left_anti")
 
 
-@register("process_forecasts", "K03")
+@register("process_forecasts", "K03", materialize=True)
 def q_process_forecasts(t: Tables):
     """All missed days of all stations scored in one job and de-duplicated
     against the forecast table."""
@@ -206,7 +206,7 @@ def q_process_forecasts(t: Tables):
     return catchup_forecasts(t, d, d.fit(SERVING_MODEL), t.clima)
 
 
-@register("run_daily", "K02")
+@register("run_daily", "K02", materialize=True)
 def q_run_daily(t: Tables):
     """Daily run: update observations, then forecast every missed day."""
     d = MLData(t)

@@ -55,7 +55,7 @@ idx AS (SELECT *, row_number() OVER (PARTITION BY id_ciudad, split ORDER BY time
 SELECT t.id_ciudad, t.split, t.time AS target_time, CAST(s.i - t.i + {T} AS INTEGER) AS step, s.time AS time,
        {fcols('s.', 6)}, round(t.tmax, 6) AS y_tmax, round(t.tmin, 6) AS y_tmin, round(t.tavg, 6) AS y_tavg
 FROM idx t JOIN idx s ON s.id_ciudad = t.id_ciudad AND s.split = t.split AND s.i >= t.i - {T} AND s.i < t.i
-WHERE t.i >= {T}""")
+WHERE t.i >= {T}""", materialize=True)
 def q_supervised_windows(t: Tables):
     """T-row windows -> next-row targets within each (station, split), long form."""
     win = windows(t)
@@ -68,7 +68,7 @@ def q_supervised_windows(t: Tables):
 @register("last_window", "E02", f"""
 , idx AS (SELECT *, row_number() OVER (PARTITION BY id_ciudad ORDER BY time) - 1 AS i,
                  count(*) OVER (PARTITION BY id_ciudad) AS n FROM feat)
-SELECT id_ciudad, CAST(i - (n - {T}) AS INTEGER) AS step, time, {fcols()} FROM idx WHERE i >= n - {T}""")
+SELECT id_ciudad, CAST(i - (n - {T}) AS INTEGER) AS step, time, {fcols()} FROM idx WHERE i >= n - {T}""", materialize=True)
 def q_last_window(t: Tables):
     """Last T rows of every station (serving input)."""
     return sq.last_window(feat(t), REDUCED_FEATURES, T)
@@ -95,7 +95,7 @@ ends AS (SELECT idx.id_ciudad, idx.i AS e, idx.time AS window_end FROM idx JOIN
          WHERE beh.days_behind >= 0 AND idx.i >= idx.n - 1 - beh.days_behind AND idx.i >= {T - 1})
 SELECT e.id_ciudad, e.window_end, e.window_end + INTERVAL 1 DAY AS forecast_time,
        CAST(s.i - (e.e - {T - 1}) AS INTEGER) AS step, s.time, {fcols('s.')}
-FROM ends e JOIN idx s ON s.id_ciudad = e.id_ciudad AND s.i BETWEEN e.e - {T - 1} AND e.e""")
+FROM ends e JOIN idx s ON s.id_ciudad = e.id_ciudad AND s.i BETWEEN e.e - {T - 1} AND e.e""", materialize=True)
 def q_catchup_windows(t: Tables):
     """The d+1 windows for the d days each station's forecasts are behind."""
     behind = sq.days_behind(t.clima, t.predic, t.ciudades)
@@ -144,7 +144,7 @@ def fitted_scaler(t: Tables) -> DataFrame:
     return sc.fit_scaler(training_frame(t), REDUCED_FEATURES, F.col("split") == "train")
 
 
-@register("fit_scaler", "L01", _scaler_sql())
+@register("fit_scaler", "L01", _scaler_sql(), materialize=True)
 def q_fit_scaler(t: Tables):
     """Mean and population std per feature on train rows (std 0 -> 1)."""
     return fitted_scaler(t).select("idx", "feature", r6("mean").alias("mean"), r6("std").alias("std"))
@@ -160,7 +160,7 @@ def _apply_sql():
             f"SELECT tf.id_ciudad, tf.time, tf.split, {sel} FROM tf, sc")
 
 
-@register("apply_scaler", "L02", _apply_sql())
+@register("apply_scaler", "L02", _apply_sql(), materialize=True)
 def q_apply_scaler(t: Tables):
     """Every split scaled with the train-fitted parameters (one projection)."""
     params = sc.scaler_params(fitted_scaler(t))
@@ -187,7 +187,7 @@ SELECT round(sqrt(avg(e * e)), 6) AS rmse, round(avg(abs(e)), 6) AS mae, max(abs
        round(stddev_pop(e), 6) AS error_std,
        (SELECT round(avg(r2), 6) FROM (SELECT 1.0 - sum(e * e) / (var_pop(real) * count(real)) AS r2
                                        FROM e GROUP BY target)) AS r2
-FROM e""")
+FROM e""", materialize=True)
 def q_overall_metrics(t: Tables):
     """All-cell RMSE/MAE/max/std and the mean per-target R^2."""
     return ev.overall_metrics(forecast_pairs(t))
@@ -232,13 +232,13 @@ SELECT *, CAST(row_number() OVER (ORDER BY CASE WHEN "Modelo" = '{PINNED}' THEN
 COMPARISON_SQL = _comparison_sql()
 
 
-@register("model_comparison", "L10", COMPARISON_SQL)
+@register("model_comparison", "L10", COMPARISON_SQL, materialize=True)
 def q_model_comparison(t: Tables):
     """5 metrics x 3 splits per deterministic forecaster, 3 dp, pinned first."""
     return ev.model_comparison(baseline_preds(t), MODELS, PINNED)
 
 
-@register("pin_first", "F06", COMPARISON_SQL.replace('SELECT *, CAST(row_number()', 'SELECT "Modelo", CAST(row_number()'))
+@register("pin_first", "F06", COMPARISON_SQL.replace('SELECT *, CAST(row_number()', 'SELECT "Modelo", CAST(row_number()'), materialize=True)
 def q_pin_first(t: Tables):
     """Display order of the comparison: pinned model first, then list order."""
     return ev.model_comparison(baseline_preds(t), MODELS, PINNED).select("Modelo", "rank")

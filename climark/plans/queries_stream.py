@@ -24,7 +24,7 @@ def _land(df: DataFrame, folder: str, period) -> None:
     _land_with(df.withColumn("_d", period), folder)
 
 
-@register("stream_ingest_observations", "I01")
+@register("stream_ingest_observations", "I01", materialize=True)
 def q_stream_ingest(t: Tables):
     """Yearly deliveries (each December re-sent with the next year) drained
     into the observation table with watermark dedup + insert_new."""
@@ -45,7 +45,7 @@ def _land_with(deliveries: DataFrame, folder: str) -> None:
         deliveries.where(F.col("_d") == p).drop("_d").write.mode("append").parquet(folder)
 
 
-@register("stream_daily_forecast", "I02")
+@register("stream_daily_forecast", "I02", materialize=True)
 def q_stream_daily_forecast(t: Tables):
     """Monthly deliveries after the stored period; each micro-batch is
     appended, then its stations' missed days are forecast and appended."""

@@ -46,7 +46,7 @@ def _dec_sum(c: str):
 class Tables:
     """Lazily built DataFrames over one scale-factor directory."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, level: str = "region", materialize: bool = True):
+    def __init__(self, spark: SparkSession, sf_dir: str, level: str = "region", materialize: bool = False):
         if level not in ("region", "nation"):
             raise ValueError("level must be 'region' or 'nation'")
         self.spark, self.sf_dir, self.level = spark, sf_dir.rstrip("/"), level
