@@ -54,10 +54,11 @@ def rolling_arrays(idx: DataFrame, keys: list[str], payload: list[str], lo: int,
     if halo >= chunk:
         raise ValueError("chunk must exceed the window length")
     ch = F.floor(F.col(index) / chunk)
-    own = idx.withColumn("_ch", ch).withColumn("_own", F.lit(True))
-    copy = idx.where(F.pmod(F.col(index), F.lit(chunk)) >= chunk - halo) \
-        .withColumn("_ch", ch + 1).withColumn("_own", F.lit(False))
-    u = own.unionByName(copy)
+    # one pass: every row goes to its chunk; the last ``halo`` rows of a
+    # chunk are also copied into the next one (no union, no second scan)
+    targets = F.when(F.pmod(F.col(index), F.lit(chunk)) >= chunk - halo, F.array(ch, ch + 1)) \
+        .otherwise(F.array(ch))
+    u = idx.withColumn("_ch", F.explode(targets)).withColumn("_own", F.col("_ch") == ch)
     w = Window.partitionBy(*keys, "_ch").orderBy(index).rowsBetween(lo, hi)
     item = F.struct(*[F.col(c) for c in payload])
     return u.withColumn(out, F.collect_list(item).over(w)).where("_own").drop("_ch", "_own")
