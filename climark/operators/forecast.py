@@ -7,6 +7,8 @@ predictions are chained ``transform`` calls that each add a
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressionModel, GBTRegressor, LinearRegression,
                                    LinearRegressionModel, RandomForestRegressor)
 from pyspark.sql import DataFrame, SparkSession
@@ -41,12 +43,16 @@ class MultiTarget:
     @classmethod
     def fit(cls, train: DataFrame, estimator_factory, targets=TARGETS, features_col: str = "features",
             label_prefix: str = "y_") -> MultiTarget:
-        models = {}
-        for t in targets:
+        def fit_one(t):
             est = estimator_factory().setFeaturesCol(features_col).setLabelCol(f"{label_prefix}{t}") \
                 .setPredictionCol(f"pred_{t}")
-            models[t] = est.fit(train)
-        return cls(models)
+            return t, est.fit(train)
+
+        # the targets' fits are independent Spark jobs: submit them together
+        # so their stages share the cluster instead of running back to back
+        with ThreadPoolExecutor(max_workers=len(targets)) as pool:
+            models = dict(pool.map(fit_one, targets))
+        return cls({t: models[t] for t in targets})
 
     def transform(self, df: DataFrame) -> DataFrame:
         for t, m in self.models.items():
