@@ -66,3 +66,36 @@ def test_stream_ingest_dedups_and_is_idempotent(spark):
     # restarting from the same checkpoint appends nothing
     stream_ingest_observations(spark, f"{base}/landing", f"{base}/tables", f"{base}/_ck")
     assert tb.read_table(spark, f"{base}/tables", "clima").count() == 10
+
+
+def test_permuted_join_is_a_bijection_per_feature(spark):
+    from climark.operators.importance import permuted_join
+    win = windows(spark, n=300)
+    pj = permuted_join(win, FEATS, ["id_ciudad", "target_time"], seed=7, block_rows=40).collect()
+    for f in FEATS:
+        rows = [r for r in pj if r.feature == f]
+        orig = sorted(tuple(s[f] for s in r.seq) for r in rows)
+        perm = sorted(tuple(s[f] for s in r.perm_seq) for r in rows)
+        assert orig == perm  # every window's values are used exactly once
+        other = [c for c in FEATS if c != f]
+        assert all([s[c] for s in r.seq for c in other] == [s[c] for s in r.perm_seq for c in other] for r in rows)
+
+
+def test_stream_daily_forecast_appends_for_touched_stations(spark):
+    from climark.streaming.ingest import stream_daily_forecast
+    base = scratch_path(spark, "stream-fc-test")
+    schema = tb.TABLES["clima"]
+    rows = [(s, dt.datetime(2020, 1, d), 30.0, 20.0, 25.0, 0.0, 0.0, 10, 1.0, 0.0, 1000.0, 0.0)
+            for s in (1, 2) for d in range(1, 6)]
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{base}/landing")  # one delivery
+    tb.bootstrap_tables(spark, f"{base}/tables")
+
+    def persistence(obs, fc, touched):  # next day = last observation, 1 dp
+        last = obs.groupBy("id_ciudad").agg(F.max_by(F.struct("time", "tmax", "tmin", "tavg"), "time").alias("r"))
+        return last.select(F.col("id_ciudad").alias("id"), (F.col("r.time") + F.expr("INTERVAL 1 DAY")).alias("time"),
+                           F.col("r.tmax").alias("tmax"), F.col("r.tmin").alias("tmin"), F.col("r.tavg").alias("tavg"))
+
+    stream_daily_forecast(spark, f"{base}/landing", f"{base}/tables", f"{base}/_ck", persistence)
+    fc = tb.read_table(spark, f"{base}/tables", "predic").collect()
+    got = sorted((r.id, r.time) for r in fc)
+    assert got == [(1, dt.datetime(2020, 1, 6)), (2, dt.datetime(2020, 1, 6))], got
