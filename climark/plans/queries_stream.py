@@ -24,7 +24,7 @@ def _land(df: DataFrame, folder: str, period) -> None:
     _land_with(df.withColumn("_d", period), folder)
 
 
-@register("stream_ingest_observations", "I01", materialize=True)
+@register("stream_ingest_observations", "I01", "SELECT * FROM clima", materialize=True)
 def q_stream_ingest(t: Tables):
     """Yearly deliveries (each December re-sent with the next year) drained
     into the observation table with watermark dedup + insert_new."""
@@ -42,7 +42,8 @@ def q_stream_ingest(t: Tables):
 
 def _land_with(deliveries: DataFrame, folder: str) -> None:
     for (p,) in deliveries.select("_d").distinct().orderBy("_d").collect():  # bounded: delivery periods
-        deliveries.where(F.col("_d") == p).drop("_d").write.mode("append").parquet(folder)
+        # one file per delivery (a landing drop), consumed as one micro-batch
+        deliveries.where(F.col("_d") == p).drop("_d").coalesce(1).write.mode("append").parquet(folder)
 
 
 @register("stream_daily_forecast", "I02", materialize=True)

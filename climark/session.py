@@ -46,12 +46,16 @@ def build_session(master: str | None = None, app: str = "climark",
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a private one only if unset."""
-    path = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY, None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - e.g. a remote (Connect) session
+        sc = None
+    path = spark.conf.get(CHECKPOINT_KEY, None) or (sc.getConf().get(CHECKPOINT_KEY, None) if sc else None)
     if not path:
-        path = tempfile.mkdtemp(prefix="climark-ckpt-")
+        path = tempfile.mkdtemp(prefix="climark-ckpt-")  # only when the cluster names none (tests)
         spark.conf.set(CHECKPOINT_KEY, path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path
 
 
