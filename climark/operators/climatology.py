@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from climark.functions.calendar import season_order_expr
 from climark.functions.numeric import r6
 from climark.schemas import SEASONS, TARGETS
 
@@ -77,4 +76,4 @@ def temperature_band(feat: DataFrame, by: tuple[str, ...] = ("id_ciudad",)) -> D
 
 
 __all__ = ["monthly_climatology", "season_day_climatology", "day_season_grid", "dense_grid_fill",
-           "forward_fill", "season_day_profile", "temperature_band", "season_order_expr"]
+           "forward_fill", "season_day_profile", "temperature_band"]

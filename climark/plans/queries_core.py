@@ -3,8 +3,6 @@ integrity checks, aggregations, ordering and set operations."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -717,4 +715,4 @@ def q_show_next_forecast(t: Tables):
     return latest_rows(caught_up_forecasts(t))
 
 
-__all__ = ["forecast_pairs", "feat", "sfeat", "stored", "reduce"]
+__all__ = ["forecast_pairs", "feat", "sfeat", "stored"]

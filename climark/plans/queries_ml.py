@@ -18,7 +18,7 @@ from climark.operators import sequences as sq
 from climark.operators.forecast import REGRESSORS, MultiTarget, coefficients_long, importances_long, training_history
 from climark.operators.importance import permutation_importance
 from climark.plans.catalog import register
-from climark.plans.queries_core import feat, stored
+from climark.plans.queries_core import feat
 from climark.plans.queries_seq import T, fitted_scaler, q_update_observations, training_frame
 from climark.schemas import REDUCED_FEATURES, TARGETS
 from climark.sources.bridge import Tables
@@ -214,4 +214,4 @@ def q_run_daily(t: Tables):
     return catchup_forecasts(t, d, d.fit(SERVING_MODEL), obs)
 
 
-__all__ = ["MLData", "stored"]
+__all__ = ["MLData", "score_windows"]

@@ -7,7 +7,7 @@ files, so a failed job leaves the table as it was (single writer per table).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from climark.functions.sizing import bounded_broadcast
@@ -141,4 +141,4 @@ def latest_by_station(df: DataFrame, key: str) -> DataFrame:
 
 __all__ = ["bootstrap_tables", "read_table", "scan_station", "append_rows", "seed_dimension", "seed_rows",
            "station_coverage", "register_stations", "ensure_coordinates", "update_range", "landing_fetch",
-           "latest_by_station", "Window"]
+           "latest_by_station"]
