@@ -15,10 +15,13 @@ from climark.schemas import MAX_NAME_LENGTH
 def _time_bounded(old: DataFrame, new: DataFrame, time_col: str) -> DataFrame:
     """Restrict the stored side to the batch's time range (a 1-row aggregate),
     so the filter is pushed into the stored table's scan."""
-    lo, hi = new.agg(F.min(time_col), F.max(time_col)).first()
+    # bounds travel as strings and are cast back to the column's own type,
+    # so no session/process time zone can shift them
+    lo, hi = new.agg(F.min(time_col).cast("string"), F.max(time_col).cast("string")).first()
     if lo is None:
         return old.limit(0)
-    return old.where(F.col(time_col).between(F.lit(lo), F.lit(hi)))
+    dt = new.schema[time_col].dataType
+    return old.where(F.col(time_col).between(F.lit(lo).cast(dt), F.lit(hi).cast(dt)))
 
 
 def _all_column_match(new: DataFrame, old: DataFrame, ignore: str | None, how: str,

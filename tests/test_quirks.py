@@ -198,3 +198,24 @@ def test_box_whiskers_inside_fences(spark, n):
     df = spark.createDataFrame([(1, v) for v in vals], "id_ciudad int, x double")
     r = pf.boxplot_stats(df, ["x"]).first()
     assert r.whisker_high == 4.0 and r.n_outliers == n
+
+
+def test_percentiles_exact_for_small_groups_and_approx_on_request(spark):
+    df = spark.createDataFrame([(1, float(x)) for x in range(101)], "id_ciudad int, x double")
+    assert pf.use_approx(df, ("id_ciudad",), "auto") is False
+    exact = pf.describe_numeric(df, ["x"], approx=False).first()
+    approx = pf.describe_numeric(df, ["x"], approx=True).first()
+    assert (exact.q25, exact.q50, exact.q75) == (25.0, 50.0, 75.0)
+    assert abs(approx.q50 - 50.0) <= 1.0
+
+
+def test_duplicate_range_bounds_ignore_session_time_zone(spark):
+    schema = "id_ciudad int, time timestamp_ntz, tmax double"
+    old = spark.createDataFrame([(1, day(2001, 11, 4), 30.0), (1, day(2001, 11, 1), 31.0)], schema)
+    new = spark.createDataFrame([(1, day(2001, 11, 1), 31.0), (1, day(2001, 11, 4), 30.0)], schema)
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+        assert ig.find_duplicates(new, old).count() == 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
