@@ -68,6 +68,28 @@ def describe_numeric(df: DataFrame, cols: list[str], by: tuple[str, ...] = ("id_
     })
 
 
+def describe_time(df: DataFrame, col: str = "time", by: tuple[str, ...] = ("id_ciudad",),
+                  approx="auto") -> DataFrame:
+    """count, mean, min, quartiles, max of a timestamp column per group.
+
+    Statistics are taken on epoch days (exact for day-resolution values) and
+    turned back into wall-clock timestamps, floored to the microsecond."""
+    approx = use_approx(df, by, approx)
+    days = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', "
+                  f"CAST(`{col}` AS TIMESTAMP_NTZ))").cast("double") / F.lit(86400000000.0)
+    base = df.select(*by, days.alias("_d"), F.col(col).alias("_t"))
+    st = base.groupBy(*by).agg(F.count("_t").alias("n"), F.avg("_d").alias("_mean"), F.min("_t").alias("vmin"),
+                               F.max("_t").alias("vmax"), _percentiles("_d", QUARTILES, approx).alias("_q"))
+
+    def back(x):
+        micros = F.floor(x * F.lit(86400000000.0)).cast("long")
+        return F.timestamp_add("MICROSECOND", micros, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+
+    return st.select(*by, F.col("n").cast("long").alias("n"), back(F.col("_mean")).alias("mean"), "vmin",
+                     back(F.col("_q")[0]).alias("q25"), back(F.col("_q")[1]).alias("q50"),
+                     back(F.col("_q")[2]).alias("q75"), "vmax")
+
+
 PANDAS_DTYPE = {"IntegerType": "int32", "LongType": "int64", "DoubleType": "float64",
                 "FloatType": "float32", "StringType": "object", "TimestampNTZType": "datetime64[ns]",
                 "TimestampType": "datetime64[ns, UTC]", "DateType": "object", "BooleanType": "bool"}
@@ -253,6 +275,6 @@ def scatter_series(df: DataFrame, cols: list[str], keys: tuple[str, ...] = ("id_
         .unpivot(list(keys), cols, "measure", "value")
 
 
-__all__ = ["describe_numeric", "profile_columns", "mean_abs_dev_median", "correlation_matrix",
+__all__ = ["describe_numeric", "describe_time", "profile_columns", "mean_abs_dev_median", "correlation_matrix",
            "boxplot_stats", "histogram_fixed_bins", "histogram_auto_bins", "kde_curve", "scatter_series", "numeric_columns",
            "auto_bin_count"]

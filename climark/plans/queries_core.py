@@ -480,6 +480,20 @@ def q_describe_numeric(t: Tables):
     return pf.describe_numeric(t.clima, MEASURES)
 
 
+@register("describe_time", "D06", """
+, d AS (SELECT id_ciudad, time, CAST(epoch_us(time) AS DOUBLE) / 86400000000.0 AS dd FROM clima),
+s AS (SELECT id_ciudad, count(time) AS n, avg(dd) AS m, min(time) AS vmin, max(time) AS vmax,
+             quantile_cont(dd, 0.25) AS a, quantile_cont(dd, 0.5) AS b, quantile_cont(dd, 0.75) AS c
+      FROM d GROUP BY id_ciudad)
+SELECT id_ciudad, n, make_timestamp(CAST(floor(m * 86400000000.0) AS BIGINT)) AS mean, vmin,
+       make_timestamp(CAST(floor(a * 86400000000.0) AS BIGINT)) AS q25,
+       make_timestamp(CAST(floor(b * 86400000000.0) AS BIGINT)) AS q50,
+       make_timestamp(CAST(floor(c * 86400000000.0) AS BIGINT)) AS q75, vmax FROM s""", materialize=True)
+def q_describe_time(t: Tables):
+    """The datetime part of describe(): count, mean, min, quartiles, max of ``time``."""
+    return pf.describe_time(t.clima)
+
+
 LANDING_TYPES = [("id_ciudad", "int32"), ("time", "datetime64[ns]")] + \
     [(c, "int32" if c == "wdir" else "float64") for c in MEASURES]
 
