@@ -7,6 +7,7 @@ skew-join splitting handles hot keys.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +15,13 @@ DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``df`` if it has at most ``max_rows`` rows.  The measured
+    frame is kept (it is small when broadcast), so the join does not
+    recompute it; a frame over the bound is released and joined by shuffle."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    if n <= max_rows:
+        return F.broadcast(df)
+    df.unpersist()
+    return df
 
