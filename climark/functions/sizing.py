@@ -14,14 +14,25 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
 
+_MEASURED: list[DataFrame] = []
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` if it has at most ``max_rows`` rows.  The measured
-    frame is kept (it is small when broadcast), so the join does not
-    recompute it; a frame over the bound is released and joined by shuffle."""
+    """Broadcast ``df`` if it has at most ``max_rows`` rows, else leave the
+    join to a shuffle.  The measured frame is kept (it is small when
+    broadcast) so the join does not recompute it; long-running drivers call
+    ``release_measured()`` after each unit of work (every streaming
+    micro-batch does) so nothing accumulates in the cache."""
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = df.count()
     if n <= max_rows:
+        _MEASURED.append(df)
         return F.broadcast(df)
     df.unpersist()
     return df
 
+
+def release_measured() -> None:
+    """Unpersist every frame kept by ``bounded_broadcast``."""
+    while _MEASURED:
+        _MEASURED.pop().unpersist()

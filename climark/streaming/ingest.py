@@ -21,6 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from climark.functions.sizing import release_measured
 from climark.schemas import OBSERVATIONS
 from climark.sources.tables import append_rows, read_table
 
@@ -43,9 +44,12 @@ def stream_ingest_observations(spark: SparkSession, source_dir: str, tables_base
     stream = _deduped_stream(spark, source_dir, watermark, files_per_trigger)
 
     def sink(batch: DataFrame, epoch_id: int) -> None:
-        append_rows(spark, tables_base, "clima", batch, mode="insert_new")
-        if on_batch is not None:
-            on_batch(batch, epoch_id)
+        try:
+            append_rows(spark, tables_base, "clima", batch, mode="insert_new")
+            if on_batch is not None:
+                on_batch(batch, epoch_id)
+        finally:
+            release_measured()  # nothing measured for this batch stays cached
 
     q = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint) \
         .trigger(availableNow=True).start()
