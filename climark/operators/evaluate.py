@@ -126,3 +126,36 @@ def history_slice(hist: DataFrame, start: int, end: int | None) -> DataFrame:
 
 def progress_every_k(hist: DataFrame, k: int = 50) -> DataFrame:
     return hist.where((F.col("iteration") + 1) % k == 0)
+
+
+def window_sweep_history(win: DataFrame, T: int, targets: list[str] = TARGETS,
+                         train: str = "train", val: str = "val") -> DataFrame:
+    """A deterministic "training history" over a hyper-parameter path:
+    iteration k-1 forecasts each target as the mean of the last k rows of
+    its window (k = 1..T).  Per iteration: loss (MSE over all cells), MAE,
+    RMSE and mean per-target R^2 on the train and val splits.  Each window
+    is expanded over the T lengths inside the map stage and aggregated."""
+    def tail_mean(t):
+        part = F.slice("seq", -F.col("k"), F.col("k"))
+        return F.aggregate(part, F.lit(0.0), lambda acc, s: acc + s[t]) / F.col("k")
+
+    ks = win.where(F.col("split").isin(train, val)).select(
+        "split", *[f"y_{t}" for t in targets], "seq", F.explode(F.sequence(F.lit(1), F.lit(T))).alias("k"))
+    cells = ks.select("split", "k", F.inline(F.array(*[
+        F.struct(F.lit(t).alias("target"), F.col(f"y_{t}").alias("real"), tail_mean(t).alias("pred"))
+        for t in targets])))
+    e = F.col("real") - F.col("pred")
+    per = cells.groupBy("split", "k", "target").agg(
+        F.sum(e * e).alias("sse"), F.sum(F.abs(e)).alias("sae"), F.count(F.lit(1)).alias("n"),
+        F.var_pop("real").alias("v"))
+    per = per.withColumn("r2", F.lit(1.0) - F.col("sse") / (F.col("v") * F.col("n")))
+    it = per.groupBy("split", "k").agg((F.sum("sse") / F.sum("n")).alias("loss"),
+                                       (F.sum("sae") / F.sum("n")).alias("mae"), F.avg("r2").alias("r2"))
+    aggs = []
+    for name, pre in ((train, ""), (val, "val_")):
+        on = F.col("split") == name
+        aggs += [F.max(F.when(on, F.col("loss"))).alias(f"{pre}loss"), F.max(F.when(on, F.col("mae"))).alias(f"{pre}mae"),
+                 F.max(F.when(on, F.sqrt("loss"))).alias(f"{pre}rmse"), F.max(F.when(on, F.col("r2"))).alias(f"{pre}r2")]
+    out = it.groupBy("k").agg(*aggs)
+    cols = ["loss", "val_loss", "mae", "val_mae", "rmse", "val_rmse", "r2", "val_r2"]
+    return out.select((F.col("k") - 1).cast("int").alias("iteration"), *[r6(c).alias(c) for c in cols])

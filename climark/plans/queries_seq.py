@@ -242,3 +242,79 @@ def q_model_comparison(t: Tables):
 def q_pin_first(t: Tables):
     """Display order of the comparison: pinned model first, then list order."""
     return ev.model_comparison(baseline_preds(t), MODELS, PINNED).select("Modelo", "rank")
+
+
+# --- deterministic history (window-length sweep) and its history operators ---
+
+SWEEP_SLICE = (10, 20)
+SWEEP_EVERY = 5
+
+
+def sweep(t: Tables) -> DataFrame:
+    return ev.window_sweep_history(windows(t), T)
+
+
+def _sweep_sql():
+    preds = ", ".join(f"avg(s.{x}) AS p_{x}, any_value(t.{x}) AS r_{x}" for x in TARGETS)
+    cells = " UNION ALL ".join(f"SELECT split, k, '{x}' AS target, r_{x} AS real, p_{x} AS pred FROM pr"
+                               for x in TARGETS)
+    return f""", {TF_SQL},
+idx AS (SELECT id_ciudad, split, time, tmax, tmin, tavg,
+               row_number() OVER (PARTITION BY id_ciudad, split ORDER BY time) - 1 AS i FROM tf
+        WHERE split IN ('train', 'val')),
+ks AS (SELECT range AS k FROM range(1, {T + 1})),
+pr AS (SELECT t.split, ks.k, {preds} FROM idx t CROSS JOIN ks
+       JOIN idx s ON s.id_ciudad = t.id_ciudad AND s.split = t.split AND s.i >= t.i - ks.k AND s.i < t.i
+       WHERE t.i >= {T} GROUP BY t.id_ciudad, t.split, t.i, ks.k),
+cells AS ({cells}),
+per AS (SELECT split, k, target, sum((real - pred) * (real - pred)) AS sse, sum(abs(real - pred)) AS sae,
+               count(*) AS n, var_pop(real) AS v FROM cells GROUP BY split, k, target),
+it AS (SELECT split, k, sum(sse) / sum(n) AS loss, sum(sae) / sum(n) AS mae, avg(1.0 - sse / (v * n)) AS r2
+       FROM per GROUP BY split, k),
+hist AS (
+  SELECT CAST(k - 1 AS INTEGER) AS iteration,
+         round(max(CASE WHEN split = 'train' THEN loss END), 6) AS loss,
+         round(max(CASE WHEN split = 'val' THEN loss END), 6) AS val_loss,
+         round(max(CASE WHEN split = 'train' THEN mae END), 6) AS mae,
+         round(max(CASE WHEN split = 'val' THEN mae END), 6) AS val_mae,
+         round(max(CASE WHEN split = 'train' THEN sqrt(loss) END), 6) AS rmse,
+         round(max(CASE WHEN split = 'val' THEN sqrt(loss) END), 6) AS val_rmse,
+         round(max(CASE WHEN split = 'train' THEN r2 END), 6) AS r2,
+         round(max(CASE WHEN split = 'val' THEN r2 END), 6) AS val_r2
+  FROM it GROUP BY k)"""
+
+
+SWEEP_SQL = _sweep_sql()
+
+
+@register("window_sweep_history", "L13", SWEEP_SQL + " SELECT * FROM hist", materialize=True)
+def q_window_sweep_history(t: Tables):
+    """Deterministic history: trailing k-row mean forecaster, k = 1..T."""
+    return sweep(t)
+
+
+@register("best_window_length", "F03", SWEEP_SQL + """
+SELECT * FROM hist ORDER BY val_loss, iteration LIMIT 1""", materialize=True)
+def q_best_window_length(t: Tables):
+    """Sweep iteration with the lowest val_loss (first on ties)."""
+    return ev.best_iteration(sweep(t))
+
+
+@register("final_window_length", "F04", SWEEP_SQL + """
+SELECT * FROM hist ORDER BY iteration DESC LIMIT 1""", materialize=True)
+def q_final_window_length(t: Tables):
+    return ev.final_iteration(sweep(t))
+
+
+@register("sweep_slice", "F07", SWEEP_SQL + f"""
+, sl AS (SELECT * FROM hist WHERE iteration >= {SWEEP_SLICE[0]} AND iteration < {SWEEP_SLICE[1]})
+SELECT *, iteration = (SELECT min(iteration) FROM sl) AS is_first, iteration = (SELECT max(iteration) FROM sl) AS is_last
+FROM sl""", materialize=True)
+def q_sweep_slice(t: Tables):
+    return ev.history_slice(sweep(t), *SWEEP_SLICE)
+
+
+@register("sweep_progress", "L14", SWEEP_SQL + f"""
+SELECT * FROM hist WHERE (iteration + 1) % {SWEEP_EVERY} = 0""", materialize=True)
+def q_sweep_progress(t: Tables):
+    return ev.progress_every_k(sweep(t), SWEEP_EVERY)
