@@ -80,3 +80,14 @@ def prepare_features(df: DataFrame, months: bool = True, seasons: bool = True,
 def next_day(col: str | Column) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     return c + F.expr("INTERVAL 1 DAY")
+
+
+def epoch_micros(col: str | Column) -> Column:
+    """Microseconds since 1970-01-01 of a wall-clock (timestamp_ntz) value,
+    computed from its date and time-of-day fields, so no session time zone
+    applies (``timestampdiff`` resolves a midnight skipped by a DST change
+    through the zone)."""
+    c = F.col(col) if isinstance(col, str) else col
+    days = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("double")
+    secs = (F.hour(c) * 3600 + F.minute(c) * 60).cast("double") + F.date_part(F.lit("SECOND"), c).cast("double")
+    return days * F.lit(86400000000.0) + secs * F.lit(1000000.0)

@@ -15,6 +15,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from climark.functions.calendar import epoch_micros
 from climark.functions.numeric import r6
 from climark.functions.sizing import bounded_broadcast
 from climark.operators.cleaning import numeric_columns
@@ -75,8 +76,7 @@ def describe_time(df: DataFrame, col: str = "time", by: tuple[str, ...] = ("id_c
     Statistics are taken on epoch days (exact for day-resolution values) and
     turned back into wall-clock timestamps, floored to the microsecond."""
     approx = use_approx(df, by, approx)
-    days = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', "
-                  f"CAST(`{col}` AS TIMESTAMP_NTZ))").cast("double") / F.lit(86400000000.0)
+    days = epoch_micros(F.col(f"`{col}`").cast("timestamp_ntz")) / F.lit(86400000000.0)
     base = df.select(*by, days.alias("_d"), F.col(col).alias("_t"))
     st = base.groupBy(*by).agg(F.count("_t").alias("n"), F.avg("_d").alias("_mean"), F.min("_t").alias("vmin"),
                                F.max("_t").alias("vmax"), _percentiles("_d", QUARTILES, approx).alias("_q"))
@@ -132,8 +132,7 @@ def correlation_matrix(df: DataFrame, cols: list[str], by: tuple[str, ...] = ("i
     for c in cols:
         dt = df.schema[c].dataType.simpleString()
         # epoch microseconds of the wall-clock value, independent of the session time zone
-        num[c] = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', "
-                        f"CAST(`{c}` AS TIMESTAMP_NTZ))").cast("double") if dt.startswith("timestamp") \
+        num[c] = epoch_micros(F.col(f"`{c}`").cast("timestamp_ntz")) if dt.startswith("timestamp") \
             else F.col(f"`{c}`").cast("double")
     k = len(cols)
     base = df.select(*by, F.array(*[num[c] for c in cols]).alias("_x"))
