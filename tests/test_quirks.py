@@ -219,3 +219,16 @@ def test_duplicate_range_bounds_ignore_session_time_zone(spark):
         assert ig.find_duplicates(new, old).count() == 2
     finally:
         spark.conf.set("spark.sql.session.timeZone", prev)
+
+
+def test_epoch_micros_ignores_dst_gaps(spark):
+    from climark.functions.calendar import epoch_micros
+    df = spark.createDataFrame([(day(1995, 10, 15),), (dt.datetime(1999, 1, 15, 10, 11, 12, 345678),)],
+                               "t timestamp_ntz")
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")  # 1995-10-15 00:00 is a DST gap
+        got = [r.e for r in df.select(epoch_micros("t").alias("e")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
+    assert got == [813715200000000.0, 916395072345678.0]
