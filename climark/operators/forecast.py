@@ -93,14 +93,18 @@ def training_history(spark: SparkSession, mt: MultiTarget, train: DataFrame, val
     for name, df in (("train", train), ("val", val)):
         v = df.agg(*[F.var_pop(f"{label_prefix}{t}").alias(t) for t in mt.models]).first()
         var[name] = {t: v[t] for t in mt.models}
-    per = {}
-    for t, m in mt.models.items():
-        per[t] = {
-            "train_sq": m.evaluateEachIteration(train, "squared"),
-            "train_abs": m.evaluateEachIteration(train, "absolute"),
-            "val_sq": m.evaluateEachIteration(val, "squared"),
-            "val_abs": m.evaluateEachIteration(val, "absolute"),
-        }
+    jobs = [(t, f"{name}_{short}", df, loss) for t in mt.models
+            for name, df in (("train", train), ("val", val))
+            for short, loss in (("sq", "squared"), ("abs", "absolute"))]
+
+    def evaluate(job):
+        t, key, df, loss = job
+        return t, key, mt.models[t].evaluateEachIteration(df, loss)
+
+    per = {t: {} for t in mt.models}
+    with ThreadPoolExecutor(max_workers=4) as pool:  # independent evaluation passes
+        for t, key, values in pool.map(evaluate, jobs):
+            per[t][key] = values
     n_it = min(len(v["train_sq"]) for v in per.values())
     ts = list(mt.models)
     rows = []
