@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from climark.llm.common import table
 from climark.llm.quality_rules import clean_lines
+from climark.llm.secret_scan import scan_secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -24,3 +25,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return clean_lines(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                                     "n_repeat_words", "base_failed", "kept")
+
+
+@query
+def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return scan_secrets(docs).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_entropy")
