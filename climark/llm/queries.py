@@ -5,12 +5,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from climark.llm.common import table
 from climark.llm.quality_rules import clean_lines
 from climark.llm.secret_scan import scan_secrets
+from climark.llm.token_files import read_token_files, write_token_files
+from climark.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -31,3 +34,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return scan_secrets(docs).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_entropy")
+
+
+@query
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token_files")
+    write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return read_token_files(spark, path)
