@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from climark.llm.common import table
+from climark.llm.decontaminate import find_hits
 from climark.llm.quality_rules import clean_lines
 from climark.llm.secret_scan import scan_secrets
 from climark.llm.token_files import read_token_files, write_token_files
@@ -41,3 +42,8 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token_files")
     write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
     return read_token_files(spark, path)
+
+
+@query
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
