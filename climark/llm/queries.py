@@ -9,8 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from climark.llm.common import table
+from climark.llm.common import held_out, table
 from climark.llm.decontaminate import find_hits
+from climark.llm.language_id import identify, learn
 from climark.llm.quality_rules import clean_lines
 from climark.llm.secret_scan import scan_secrets
 from climark.llm.token_files import read_token_files, write_token_files
@@ -47,3 +48,10 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
+
+
+@query
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return identify(docs.select("doc_id", "text"), learn(docs)).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
