@@ -119,7 +119,8 @@ def text_vector(text: str | None) -> np.ndarray | None:
     keys, counts = trigrams(text)
     if not len(keys):
         return None
-    bundle = counts.astype(np.float32) @ _VECTORS.of(keys).astype(np.float32)
+    # einsum: a plain loop, where a matrix library would start threads in every task
+    bundle = np.einsum("i,ij->j", counts.astype(np.float32), _VECTORS.of(keys).astype(np.float32))
     length = float(np.sqrt((bundle.astype(np.float64) ** 2).sum()))
     return bundle / np.float32(length) if length else bundle
 
@@ -204,6 +205,6 @@ def identify(docs: DataFrame, prototypes: Prototypes, text_col: str = "text") ->
 def keep_identified(docs: DataFrame, prototypes: Prototypes, text_col: str = "text",
                     min_score: float = MIN_SCORE) -> DataFrame:
     """``docs`` without the texts that are ``und`` or score below ``min_score``."""
-    judged = identify(docs, prototypes, text_col)
-    kept = judged.filter((F.col("lang_pred") != UNDECIDED) & (F.col("score") >= min_score))
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("_text"))
+    judged = identify(rows, prototypes, "_text")
+    return judged.filter((F.col("lang_pred") != UNDECIDED) & (F.col("score") >= min_score)).select("row.*")
