@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from climark.llm.common import held_out, table
 from climark.llm.decontaminate import find_hits
 from climark.llm.language_id import identify, learn
+from climark.llm.pack_sequences import pack_documents
 from climark.llm.quality_rules import clean_lines
 from climark.llm.secret_scan import scan_secrets
 from climark.llm.token_files import read_token_files, write_token_files
@@ -55,3 +56,8 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return identify(docs.select("doc_id", "text"), learn(docs)).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
