@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from climark.llm.common import held_out, table
 from climark.llm.decontaminate import find_hits
 from climark.llm.language_id import identify, learn
+from climark.llm.ngram_jaccard import jaccard_components
 from climark.llm.pack_sequences import pack_documents
 from climark.llm.quality_rules import clean_lines
 from climark.llm.secret_scan import scan_secrets
@@ -61,3 +62,8 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
