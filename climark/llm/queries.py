@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from climark.llm import quality_model
 from climark.llm.common import held_out, table
 from climark.llm.decontaminate import find_hits
 from climark.llm.language_id import identify, learn
@@ -66,4 +67,13 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(table(spark, sf_dir, "documents"))
+    return jaccard_components(table(spark, sf_dir, "documents")).drop("text_hash", "stays")
+
+
+@query
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_model.learn(docs, table(spark, sf_dir, "labels"))
+    return quality_model.score(docs, model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
