@@ -17,6 +17,7 @@ from climark.llm.ngram_jaccard import jaccard_components
 from climark.llm.pack_sequences import pack_documents
 from climark.llm.quality_rules import clean_lines
 from climark.llm.secret_scan import scan_secrets
+from climark.llm.token_counts import section_counts
 from climark.llm.token_files import read_token_files, write_token_files
 from climark.session import scratch_path
 
@@ -77,3 +78,8 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.score(docs, model).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return section_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
