@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from climark.llm import quality_model
-from climark.llm.common import held_out, table
+from climark.llm import chat_format, quality_model
+from climark.llm.common import held_out, stored, table
 from climark.llm.decontaminate import find_hits
 from climark.llm.language_id import identify, learn
 from climark.llm.ngram_jaccard import jaccard_components
@@ -83,3 +83,10 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return section_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    transcripts = stored(chat_format.transcripts_of(table(spark, sf_dir, "conversations")), "transcripts")
+    model = chat_format.learn(transcripts.filter(~held_out(F.col("conv_id"))))
+    return chat_format.format_chats(transcripts, model).select("conv_id", "part", "n_turns", "roles", "chat")
