@@ -1,38 +1,33 @@
 """Size-checked broadcast.
 
-A side is hinted for broadcast only after its row count has been measured
-below a bound; otherwise the join is left to a shuffle join, where AQE's
-skew-join splitting handles hot keys.
+A side is broadcast only after it has been measured below a bound in bytes;
+otherwise the join is left to a shuffle join, where AQE's skew-join splitting
+handles hot keys.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+MAX_BROADCAST_BYTES = 8 << 20
+STRING_BYTES = 64  # counted for a string, array or struct cell
 
 
-_MEASURED: list[DataFrame] = []
+def row_bytes(df: DataFrame) -> int:
+    """Bytes of a row as the bound counts them."""
+    fixed = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "float": 4, "date": 4}
+    kinds = [f.dataType.simpleString() for f in df.schema.fields]
+    return 8 + sum(fixed.get(k, STRING_BYTES if k == "string" or "<" in k else 8) for k in kinds)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` if it has at most ``max_rows`` rows, else leave the
-    join to a shuffle.  The measured frame is kept (it is small when
-    broadcast) so the join does not recompute it; long-running drivers call
-    ``release_measured()`` after each unit of work (every streaming
-    micro-batch does) so nothing accumulates in the cache."""
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = df.count()
-    if n <= max_rows:
-        _MEASURED.append(df)
-        return F.broadcast(df)
-    df.unpersist()
-    return df
-
-
-def release_measured() -> None:
-    """Unpersist every frame kept by ``bounded_broadcast``."""
-    while _MEASURED:
-        _MEASURED.pop().unpersist()
+def bounded_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``df`` as a broadcast side if it has at most ``max_bytes``, else ``df``
+    itself, left to a shuffle join.  The rows that decide this (no more than the
+    bound allows) are kept as a literal relation: they are not computed again
+    and nothing stays in the cache."""
+    most = max(1, max_bytes // row_bytes(df))
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))

@@ -9,27 +9,38 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressionModel, GBTRegressor, LinearRegression,
-                                   LinearRegressionModel, RandomForestRegressor)
+from pyspark.ml.regression import (DecisionTreeRegressionModel, DecisionTreeRegressor, GBTRegressionModel, GBTRegressor,
+                                   LinearRegression, LinearRegressionModel, RandomForestRegressionModel,
+                                   RandomForestRegressor)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from climark.schemas import TARGETS
 
-# Unlimited depth is not available (Spark caps trees at 30) and 100 trees of
-# depth 30 over T*D = 450-wide window vectors are impractical in Spark's
-# level-wise learner; the forest is capped at this depth instead.
-RF_MAX_DEPTH = 12
+# Spark's deepest tree; a caller with less time passes a smaller depth.
+FOREST_DEPTH = 30
+
+
+def elastic_net(alpha: float, l1_ratio: float, label_std: float) -> LinearRegression:
+    """Minimises 1/(2n) |y - Xw|^2 + alpha l1_ratio |w|_1 + alpha (1 - l1_ratio)/2 |w|^2.
+
+    Without standardization Spark divides the L2 part (only) by the label's
+    sample deviation, so that part is multiplied by it beforehand."""
+    l1, l2 = alpha * l1_ratio, alpha * (1 - l1_ratio) * label_std
+    return LinearRegression(regParam=l1 + l2, elasticNetParam=l1 / (l1 + l2), standardization=False,
+                            maxIter=500, tol=1e-9)
+
 
 # --- fixed values: candidate hyper-parameters (as in the reference) -------
+# each entry builds an estimator from the label's sample standard deviation
 REGRESSORS = {
-    "Linear Regression": lambda: LinearRegression(regParam=0.0, standardization=False),
-    "Elastic Net": lambda: LinearRegression(regParam=0.1, elasticNetParam=0.5, standardization=False),
-    "Decision Tree": lambda: DecisionTreeRegressor(maxDepth=5, minInstancesPerNode=3, seed=123),
-    "Random Forest": lambda: RandomForestRegressor(numTrees=100, maxDepth=RF_MAX_DEPTH, minInstancesPerNode=3,
-                                                   featureSubsetStrategy="all", seed=123,
-                                                   maxMemoryInMB=512, cacheNodeIds=True),
-    "Gradient Boosting": lambda: GBTRegressor(stepSize=0.1, maxDepth=3, maxIter=50, seed=123),
+    "Linear Regression": lambda std: LinearRegression(regParam=0.0, standardization=False),
+    "Elastic Net": lambda std: elastic_net(0.1, 0.5, std),
+    "Decision Tree": lambda std: DecisionTreeRegressor(maxDepth=5, minInstancesPerNode=3, seed=123),
+    "Random Forest": lambda std, depth=FOREST_DEPTH: RandomForestRegressor(
+        numTrees=100, maxDepth=depth, minInstancesPerNode=3, featureSubsetStrategy="all", seed=123,
+        maxMemoryInMB=512, cacheNodeIds=True),
+    "Gradient Boosting": lambda std: GBTRegressor(stepSize=0.1, maxDepth=3, maxIter=50, seed=123),
 }
 # ---------------------------------------------------------------------------
 
@@ -43,8 +54,10 @@ class MultiTarget:
     @classmethod
     def fit(cls, train: DataFrame, estimator_factory, targets=TARGETS, features_col: str = "features",
             label_prefix: str = "y_") -> MultiTarget:
+        stds = train.agg(*[F.coalesce(F.stddev_samp(f"{label_prefix}{t}"), F.lit(0.0)).alias(t) for t in targets]).first()
+
         def fit_one(t):
-            est = estimator_factory().setFeaturesCol(features_col).setLabelCol(f"{label_prefix}{t}") \
+            est = estimator_factory(stds[t] or 1.0).setFeaturesCol(features_col).setLabelCol(f"{label_prefix}{t}") \
                 .setPredictionCol(f"pred_{t}")
             return t, est.fit(train)
 
@@ -84,6 +97,13 @@ def importances_long(mt: MultiTarget, names: list[str]) -> list[tuple[str, str,
     return rows
 
 
+def mean_r2(parts: list[tuple[float, float | None]]) -> float | None:
+    """Mean of 1 - mse / variance; null if a split is empty or a target constant."""
+    if any(not v for _, v in parts):
+        return None
+    return sum(1 - e / v for e, v in parts) / len(parts)
+
+
 def training_history(spark: SparkSession, mt: MultiTarget, train: DataFrame, val: DataFrame,
                      label_prefix: str = "y_") -> DataFrame:
     """Per boosting iteration: loss (MSE) / MAE / RMSE / R^2 on train and val,
@@ -113,8 +133,7 @@ def training_history(spark: SparkSession, mt: MultiTarget, train: DataFrame, val
         vloss = sum(per[t]["val_sq"][i] for t in ts) / len(ts)
         mae = sum(per[t]["train_abs"][i] for t in ts) / len(ts)
         vmae = sum(per[t]["val_abs"][i] for t in ts) / len(ts)
-        r2 = sum(1 - per[t]["train_sq"][i] / var["train"][t] for t in ts) / len(ts)
-        vr2 = sum(1 - per[t]["val_sq"][i] / var["val"][t] for t in ts) / len(ts)
+        r2, vr2 = (mean_r2([(per[t][f"{n}_sq"][i], var[n][t]) for t in ts]) for n in ("train", "val"))
         rows.append((i, loss, vloss, mae, vmae, loss ** 0.5, vloss ** 0.5, r2, vr2))
     schema = ("iteration int, loss double, val_loss double, mae double, val_mae double, rmse double, "
               "val_rmse double, r2 double, val_r2 double")
@@ -122,4 +141,5 @@ def training_history(spark: SparkSession, mt: MultiTarget, train: DataFrame, val
 
 
 MODEL_CLASSES = {"Linear Regression": LinearRegressionModel, "Elastic Net": LinearRegressionModel,
+                 "Decision Tree": DecisionTreeRegressionModel, "Random Forest": RandomForestRegressionModel,
                  "Gradient Boosting": GBTRegressionModel}

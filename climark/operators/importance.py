@@ -4,13 +4,12 @@ For every feature, each sample takes that feature's whole window (all T
 steps) from another sample; importance is the mean absolute change of the
 predictions, normalised to sum 1.
 
-The permutation is a seeded shuffle inside random blocks: a sample goes to
-block ``hash(seed, feature, key) mod B`` (B sized from the sample count, so
-blocks stay ~``block_rows``), and within a block the donor is the sample
-holding the same position in a second hashed order.  This is an exact
-bijection per block - an equi-join on (feature, block, position) - with no
-global sort and no single-task group.  All features are scored in one
-distributed frame (features x samples rows).
+The permutation is one seeded shuffle of all samples, at every size: a sample's
+place in one hashed order receives from the sample of the same place in another.
+Places come from ``sequence_index`` over ranges of the hash, so no task holds a
+whole feature.  Only keys are permuted; a donor ships the T values of its one
+feature, the unpermuted prediction is made once per sample, and the permuted
+vectors are built and scored inside the map stage.
 """
 
 from __future__ import annotations
@@ -19,51 +18,60 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from climark.operators.sequences import sequence_index
 
-def permuted_join(win: DataFrame, features: list[str], key: list[str], seed: int = 123,
-                  block_rows: int = 50_000) -> DataFrame:
-    """(feature, keys..., seq, perm_seq): ``seq`` with ``feature`` swapped in
-    from the donor sample, for every feature."""
-    n = win.count()
-    blocks = max(1, -(-n // block_rows))
-    feats = win.select(F.explode(F.array(*[F.lit(f) for f in features])).alias("feature"), *key, "seq")
-    kh = F.xxhash64(F.lit(seed), "feature", *key)
-    b = F.pmod(kh, F.lit(blocks))
-    feats = feats.withColumn("_b", b)
-    w1 = Window.partitionBy("feature", "_b").orderBy(F.xxhash64(F.lit(seed + 1), "feature", *key), *key)
-    w2 = Window.partitionBy("feature", "_b").orderBy(F.xxhash64(F.lit(seed + 2), "feature", *key), *key)
-    recv = feats.withColumn("_p", F.row_number().over(w1))
-    donor = feats.withColumn("_p", F.row_number().over(w2)).select(
-        "feature", "_b", "_p", F.col("seq").alias("_dseq"))
-    j = recv.join(donor, ["feature", "_b", "_p"])
-    # replace the feature's value at every step with the donor's value
-    fields = [x.name for x in win.schema["seq"].dataType.elementType.fields]
-
-    def swap(f):
-        # rebuild the step struct with ``f`` taken from the donor's same step
-        return F.transform("seq", lambda s, i: F.struct(
-            *[(F.col("_dseq")[i][c] if c == f else s[c]).alias(c) for c in fields]))
-
-    cases = None
-    for f in features:
-        expr = swap(f)
-        cases = F.when(F.col("feature") == f, expr) if cases is None else cases.when(F.col("feature") == f, expr)
-    return j.select("feature", *key, "seq", cases.alias("perm_seq"))
-
-
-def _flat(col: str, features: list[str]):
-    return array_to_vector(F.flatten(F.transform(col, lambda s: F.array(*[s[c] for c in features]))))
+
+def donor_keys(win: DataFrame, features: list[str], key: list[str], seed: int = 123) -> DataFrame:
+    """(feature, key..., _d_<key>...): for every feature a bijection of the samples."""
+    feats = win.select(F.explode(F.array(*[F.lit(f) for f in features])).alias("feature"), *key)
+
+    def placed(salt: int) -> DataFrame:
+        hashed = feats.withColumn("_h", F.xxhash64(F.lit(seed + salt), "feature", *key))
+        return sequence_index(hashed, ["feature"], ["_h", *key], F.shiftright("_h", 54), name="_p")
+
+    donors = placed(2).select("feature", "_p", *[F.col(k).alias(f"_d_{k}") for k in key])
+    return placed(1).select("feature", "_p", *key).join(donors, ["feature", "_p"]).drop("_p")
+
+
+def _values(win: DataFrame, features: list[str], key: list[str]) -> DataFrame:
+    """(feature, _d_<key>..., vals): the window of one feature of each sample."""
+    return win.select(*[F.col(k).alias(f"_d_{k}") for k in key], F.inline(F.array(*[
+        F.struct(F.lit(f).alias("feature"), F.lit(d).alias("place"), _column("seq", f).alias("vals"))
+        for d, f in enumerate(features)])))
+
+
+def _column(seq: str, feature: str):
+    return F.transform(seq, lambda s: s[feature])
+
+
+def _swapped(width: int):
+    """The flat window ``x`` with place ``place`` of every step taken from ``vals``."""
+    return F.transform("x", lambda v, i: F.when(i % width == F.col("place"), F.get(
+        F.col("vals"), F.floor(i / width).cast("int"))).otherwise(v))
+
+
+def permuted_join(win: DataFrame, features: list[str], key: list[str], seed: int = 123) -> DataFrame:
+    """(feature, keys..., x, perm_x): each sample's flat window and the same with
+    ``feature`` taken from its donor."""
+    given = donor_keys(win, features, key, seed).join(
+        _values(win, features, key), ["feature", *[f"_d_{k}" for k in key]])
+    x = win.select(*key, F.flatten(F.transform("seq", lambda s: F.array(*[s[c] for c in features]))).alias("x"))
+    return given.join(x, key).select("feature", *key, "x", _swapped(len(features)).alias("perm_x"))
 
 
 def permutation_importance(win: DataFrame, model, features: list[str], key: list[str], targets: list[str],
                            seed: int = 123) -> DataFrame:
-    """(Variable, Importancia) sorted descending; ``model`` is a MultiTarget."""
-    pj = permuted_join(win, features, key, seed)
-    base = model.transform(pj.withColumn("features", _flat("seq", features)))
-    base = base.select("feature", *key, "perm_seq", *[F.col(f"pred_{t}").alias(f"orig_{t}") for t in targets])
-    pert = model.transform(base.withColumn("features", _flat("perm_seq", features)))
+    """(Variable, Importancia) per feature; ``model`` is a MultiTarget."""
+    flat = F.flatten(F.transform("seq", lambda s: F.array(*[s[c] for c in features])))
+    once = model.transform(win.select(*key, flat.alias("x")).withColumn("features", array_to_vector("x"))).select(
+        *key, "x", *[F.col(f"pred_{t}").alias(f"orig_{t}") for t in targets])
+    # all of a sample's donations meet its window once
+    given = donor_keys(win, features, key, seed).join(
+        _values(win, features, key), ["feature", *[f"_d_{k}" for k in key]])
+    gifts = given.groupBy(*key).agg(F.collect_list(F.struct("feature", "place", "vals")).alias("gifts"))
+    pairs = once.join(gifts, key).select("x", *[f"orig_{t}" for t in targets], F.inline("gifts"))
+    scored = model.transform(pairs.withColumn("features", array_to_vector(_swapped(len(features)))))
     delta = sum(F.abs(F.col(f"pred_{t}") - F.col(f"orig_{t}")) for t in targets) / len(targets)
-    per = pert.groupBy("feature").agg(F.avg(delta).alias("_d"))
-    total = per.agg(F.sum("_d").alias("_tot"))
-    return per.withColumn("_k", F.lit(1)).join(total.withColumn("_k", F.lit(1)), "_k").select(
-        F.col("feature").alias("Variable"), (F.col("_d") / F.col("_tot")).alias("Importancia"))
+    per = scored.groupBy("feature").agg(F.avg(delta).alias("_d"))   # one row per feature
+    return per.select(F.col("feature").alias("Variable"),
+                      (F.col("_d") / F.sum("_d").over(Window.partitionBy())).alias("Importancia"))

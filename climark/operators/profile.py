@@ -2,17 +2,18 @@
 
 Wide single-pass aggregates are preferred over unpivot-then-aggregate: every
 statistic of every column is one aggregate expression, partially aggregated
-map-side, and the (small) per-group result is unpivoted afterwards.  Exact
-percentiles buffer a value->count map per group, so memory follows the number
-of distinct values, not rows; ``approx=True`` switches to
-``percentile_approx`` for high-cardinality columns.
+map-side, and the (small) per-group result is unpivoted afterwards.
+Percentiles are exact at every size: values are counted, the counts are summed
+over value ranges, and only the ranges that hold a wanted order statistic are
+ordered, so no task holds a whole group.  ``approx=True`` asks for
+``percentile_approx`` instead.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from climark.functions.calendar import epoch_micros
@@ -21,23 +22,50 @@ from climark.functions.sizing import bounded_broadcast
 from climark.operators.cleaning import numeric_columns
 
 QUARTILES = [0.25, 0.5, 0.75]
-# Above this many rows in the largest group, exact percentiles (a value->count
-# map merged in one reducer per group) give way to percentile_approx.
-EXACT_MAX_GROUP_ROWS = 5_000_000
+RANGES = 1024  # value ranges of a group whose counts are summed before any ordering
 
 
-def use_approx(df: DataFrame, by, approx) -> bool:
-    """``approx="auto"``: measure the largest group (one small aggregate)."""
-    if approx != "auto":
-        return bool(approx)
-    biggest = df.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
-    return biggest > EXACT_MAX_GROUP_ROWS
-
-
-def _percentiles(c: str, ps: list[float], approx: bool):
+def exact_quantiles(df: DataFrame, cols: list[str], by: list[str], ps: list[float]) -> DataFrame:
+    """(by..., column_name, q): linear-interpolated quantiles of the non-null
+    values of each group and column."""
+    g = [*by, "column_name"]
+    long = df.select(*by, F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"),
+                                                      F.col(c).cast("double").alias("_v")) for c in cols])))
+    vc = long.where(F.col("_v").isNotNull()).groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    span = vc.groupBy(*g).agg(F.sum("_c").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    bucket = F.when(F.col("_hi") > F.col("_lo"), F.floor(
+        (F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * F.lit(float(RANGES)))).otherwise(F.lit(0))
+    vb = vc.join(span, g).withColumn("_b", bucket.cast("long"))
+    w = Window.partitionBy(*g).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = vb.groupBy(*g, "_b").agg(F.sum("_c").alias("_bc")).withColumn(
+        "_off", F.coalesce(F.sum("_bc").over(w), F.lit(0)))
+    pos = {k: F.lit(p) * (F.col("_n") - 1) for k, p in enumerate(ps)}
+
+    def holds(rank, first, n):
+        return (rank >= first) & (rank < first + n)
+
+    wanted = ranges.join(span.select(*g, "_n"), g)
+    hit = F.lit(False)
+    for x in pos.values():
+        hit = hit | holds(F.floor(x), F.col("_off"), F.col("_bc")) | holds(F.ceil(x), F.col("_off"), F.col("_bc"))
+    inside = vb.join(wanted.where(hit).select(*g, "_b", "_off"), [*g, "_b"])
+    order = Window.partitionBy(*g, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    inside = inside.withColumn("_first", F.col("_off") + F.coalesce(F.sum("_c").over(order), F.lit(0)))
+    picked = inside.groupBy(*g).agg(F.first("_n").alias("_n"), *[
+        F.max(F.when(holds(f(x), F.col("_first"), F.col("_c")), F.col("_v"))).alias(f"_{n}{k}")
+        for k, x in pos.items() for n, f in (("f", F.floor), ("e", F.ceil))])
+    q = [F.when(F.floor(x) == F.ceil(x), F.col(f"_f{k}")).otherwise(
+        (F.ceil(x) - x) * F.col(f"_f{k}") + (x - F.floor(x)) * F.col(f"_e{k}")) for k, x in pos.items()]
+    return picked.select(*g, F.array(*q).alias("q"))
+
+
+def quantiles(df: DataFrame, cols: list[str], by: list[str], ps: list[float], approx: bool) -> DataFrame:
+    """(by..., <column>__q for each column): arrays of quantiles, one row per group."""
     if approx:
-        return F.percentile_approx(F.col(c).cast("double"), ps, 100000)
-    return F.percentile(F.col(c).cast("double"), F.array(*[F.lit(p) for p in ps]))
+        return df.groupBy(*by).agg(*[
+            F.percentile_approx(F.col(c).cast("double"), ps, 100000).alias(f"{c}__q") for c in cols])
+    return exact_quantiles(df, cols, by, ps).groupBy(*by).agg(*[
+        F.max(F.when(F.col("column_name") == c, F.col("q"))).alias(f"{c}__q") for c in cols])
 
 
 def _long(wide: DataFrame, by: list[str], cols: list[str], fields: dict[str, callable]) -> DataFrame:
@@ -47,16 +75,15 @@ def _long(wide: DataFrame, by: list[str], cols: list[str], fields: dict[str, cal
 
 
 def describe_numeric(df: DataFrame, cols: list[str], by: tuple[str, ...] = ("id_ciudad",),
-                     approx="auto") -> DataFrame:
+                     approx: bool = False) -> DataFrame:
     """count, mean, sample std, min, quartiles, max per group and column."""
-    approx = use_approx(df, by, approx)
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                 F.max(x).alias(f"{c}__max"), _percentiles(c, QUARTILES, approx).alias(f"{c}__q")]
-    wide = df.groupBy(*by).agg(*aggs)
+                 F.max(x).alias(f"{c}__max")]
+    wide = df.groupBy(*by).agg(*aggs).join(quantiles(df, cols, list(by), QUARTILES, approx), list(by), "left")
     return _long(wide, list(by), cols, {
         "n": lambda c: F.col(f"{c}__count").cast("long"),
         "mean": lambda c: r6(f"{c}__mean"),
@@ -70,16 +97,16 @@ def describe_numeric(df: DataFrame, cols: list[str], by: tuple[str, ...] = ("id_
 
 
 def describe_time(df: DataFrame, col: str = "time", by: tuple[str, ...] = ("id_ciudad",),
-                  approx="auto") -> DataFrame:
+                  approx: bool = False) -> DataFrame:
     """count, mean, min, quartiles, max of a timestamp column per group.
 
     Statistics are taken on epoch days (exact for day-resolution values) and
     turned back into wall-clock timestamps, floored to the microsecond."""
-    approx = use_approx(df, by, approx)
     days = epoch_micros(F.col(f"`{col}`").cast("timestamp_ntz")) / F.lit(86400000000.0)
     base = df.select(*by, days.alias("_d"), F.col(col).alias("_t"))
     st = base.groupBy(*by).agg(F.count("_t").alias("n"), F.avg("_d").alias("_mean"), F.min("_t").alias("vmin"),
-                               F.max("_t").alias("vmax"), _percentiles("_d", QUARTILES, approx).alias("_q"))
+                               F.max("_t").alias("vmax"))
+    st = st.join(quantiles(base, ["_d"], list(by), QUARTILES, approx).withColumnRenamed("_d__q", "_q"), list(by), "left")
 
     def back(x):
         micros = F.floor(x * F.lit(86400000000.0)).cast("long")
@@ -107,11 +134,11 @@ def profile_columns(df: DataFrame) -> DataFrame:
 
 
 def mean_abs_dev_median(df: DataFrame, cols: list[str], by: tuple[str, ...] = ("id_ciudad",),
-                        approx="auto") -> DataFrame:
+                        approx: bool = False) -> DataFrame:
     """mean(|x - median(x)|) per group and column (two passes: medians, then
     the deviation aggregate against the broadcast per-group medians)."""
-    approx = use_approx(df, by, approx)
-    med = df.groupBy(*by).agg(*[_percentiles(c, [0.5], approx)[0].alias(f"{c}__med") for c in cols])
+    med = quantiles(df, cols, list(by), [0.5], approx).select(
+        *by, *[F.col(f"{c}__q")[0].alias(f"{c}__med") for c in cols])
     j = df.join(bounded_broadcast(med), list(by))
     wide = j.groupBy(*by).agg(*[F.avg(F.abs(F.col(c) - F.col(f"{c}__med"))).alias(c) for c in cols])
     return _long(wide, list(by), cols, {"mad": lambda c: r6(c)})
@@ -124,10 +151,9 @@ def correlation_matrix(df: DataFrame, cols: list[str], by: tuple[str, ...] = ("i
     used as epoch microseconds.
 
     Two passes, numerically stable: (1) per-group means and population
-    stds; (2) each row's centred values are multiplied pairwise - a fixed
-    array of (a, b) index pairs is exploded inside the map stage and summed
-    per (group, a, b) with partial aggregation, so only groups x pairs
-    partial sums are shuffled and the expression tree stays small."""
+    stds; (2) each row is exploded by its first index only, and the products
+    with all columns are summed per (group, first index) with partial
+    aggregation, so only groups x columns rows of sums are shuffled."""
     num = {}
     for c in cols:
         dt = df.schema[c].dataType.simpleString()
@@ -142,10 +168,10 @@ def correlation_matrix(df: DataFrame, cols: list[str], by: tuple[str, ...] = ("i
         F.count(F.lit(1)).alias("_n"))
     stats = bounded_broadcast(stats)
     z = F.array(*[F.col("_x")[i] - F.col("_m")[i] for i in range(k)])  # plain codegen, no lambda
-    pairs = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in range(k) for b in range(a, k)])
-    ex = base.join(stats, list(by)).select(*by, z.alias("_z")).select(*by, "_z", F.explode(pairs).alias("_p"))
-    sums = ex.groupBy(*by, F.col("_p.a").alias("a"), F.col("_p.b").alias("b")).agg(
-        F.sum(F.col("_z")[F.col("_p.a")] * F.col("_z")[F.col("_p.b")]).alias("_sp"))
+    ex = base.join(stats, list(by)).select(*by, z.alias("_z")).select(*by, "_z", F.posexplode("_z").alias("a", "_za"))
+    wide = ex.groupBy(*by, "a").agg(*[F.sum(F.col("_za") * F.col("_z")[b]).alias(f"_s{b}") for b in range(k)])
+    sums = wide.select(*by, "a", F.inline(F.array(*[F.struct(F.lit(b).alias("b"), F.col(f"_s{b}").alias("_sp"))
+                                                    for b in range(k)]))).where(F.col("b") >= F.col("a"))
     names = F.array(*[F.lit(c) for c in cols])
     j = sums.join(stats, list(by))
     den = F.col("_s")[F.col("a")] * F.col("_s")[F.col("b")]
@@ -158,12 +184,11 @@ def correlation_matrix(df: DataFrame, cols: list[str], by: tuple[str, ...] = ("i
 
 
 def boxplot_stats(df: DataFrame, cols: list[str], by: tuple[str, ...] = ("id_ciudad",),
-                  whis: float = 1.5, approx="auto") -> DataFrame:
+                  whis: float = 1.5, approx: bool = False) -> DataFrame:
     """Quartiles, whiskers (most extreme values inside the 1.5 IQR fences) and
     outlier counts.  Pass 1: quartiles per group; pass 2: conditional min/max/
     count against the broadcast quartiles."""
-    approx = use_approx(df, by, approx)
-    q = df.groupBy(*by).agg(*[_percentiles(c, QUARTILES, approx).alias(f"{c}__q") for c in cols])
+    q = quantiles(df, cols, list(by), QUARTILES, approx)
     j = df.join(bounded_broadcast(q), list(by))
     aggs = []
     for c in cols:
@@ -207,17 +232,18 @@ def histogram_fixed_bins(df: DataFrame, value: str, by: tuple[str, ...], bins: i
 
 
 def histogram_auto_bins(df: DataFrame, cols: list[str], by: tuple[str, ...] = ("id_ciudad",),
-                        approx="auto") -> DataFrame:
+                        approx: bool = False) -> DataFrame:
     """Histogram per group and column with numpy's 'auto' bin count (the
     larger of Sturges and Freedman-Diaconis), last bin closed.  Bin counts
     differ per (group, column), so the bin grid is generated per group from
     its own count (explode of a bounded sequence)."""
-    approx = use_approx(df, by, approx)
     long = df.select(*by, F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"),
                                                       F.col(c).cast("double").alias("value")) for c in cols])))
     g = [*by, "column_name"]
     st = long.groupBy(*g).agg(F.count("value").alias("_n"), F.min("value").alias("_mn"),
-                              F.max("value").alias("_mx"), _percentiles("value", [0.25, 0.75], approx).alias("_q"))
+                              F.max("value").alias("_mx"))
+    q = quantiles(long.withColumnRenamed("column_name", "_measure"), ["value"], [*by, "_measure"], [0.25, 0.75], approx)
+    st = st.join(q.withColumnRenamed("_measure", "column_name").withColumnRenamed("value__q", "_q"), g, "left")
     st = st.select(*g, "_n",
                    F.when(F.col("_mx") > F.col("_mn"), F.col("_mn")).otherwise(F.col("_mn") - 0.5).alias("_lo"),
                    F.when(F.col("_mx") > F.col("_mn"), F.col("_mx")).otherwise(F.col("_mx") + 0.5).alias("_hi"),

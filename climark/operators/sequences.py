@@ -127,7 +127,8 @@ def catchup_windows(df: DataFrame, behind: DataFrame, features: list[str], T: in
     idx = sequence_index(base, [key], [time_col], month_bucket(time_col), total="_n")
     d = bounded_broadcast(behind.select(F.col("id").alias(key), F.col("days_behind").alias("_d"))
                           .where(F.col("_d") >= 0))
-    idx = idx.join(d, key)
+    # only a station's last T + d rows can be in a window: the rest goes before any window is built
+    idx = idx.join(d, key).where(F.col("_i") >= F.col("_n") - T - F.col("_d"))
     win = rolling_arrays(idx, [key], [time_col, *features], -(T - 1), 0, chunk=chunk)
     ends = win.where((F.col("_i") >= F.col("_n") - 1 - F.col("_d")) & (F.col("_i") >= T - 1))
     return ends.select(key, F.col(time_col).alias("window_end"),

@@ -505,16 +505,30 @@ def q_profile_columns(t: Tables):
     return pf.profile_columns(t.landing)
 
 
+def corrected(t: Tables):
+    """Stored observations after the low-outlier fix (6 dp, as engines sum means
+    in different orders)."""
+    return cl.replace_low_outlier(t.clima, *OUTLIER).withColumn(OUTLIER[0], r6(OUTLIER[0]))
+
+
+FIXED_SQL = f"""mu0 AS (SELECT id_ciudad AS mid, avg({OUTLIER[0]}) AS mu FROM clima GROUP BY id_ciudad),
+fixed AS (SELECT * EXCLUDE (mid, mu) REPLACE (round(CASE WHEN {OUTLIER[0]} < {OUTLIER[1]} THEN mu ELSE {OUTLIER[0]} END, 6)
+                                              AS {OUTLIER[0]}) FROM clima JOIN mu0 ON id_ciudad = mid)"""
+
+
 def _mad_sql(cols):
     meds = ", ".join(f"quantile_cont({c}, 0.5) AS m_{c}" for c in cols)
     parts = [f"SELECT c.id_ciudad, '{c}' AS column_name, round(avg(abs(c.{c} - m.m_{c})), 6) AS mad "
-             f"FROM clima c JOIN med m ON c.id_ciudad = m.id_ciudad GROUP BY c.id_ciudad" for c in cols]
-    return f", med AS (SELECT id_ciudad, {meds} FROM clima GROUP BY id_ciudad) " + " UNION ALL ".join(parts)
+             f"FROM fixed c JOIN med m ON c.id_ciudad = m.id_ciudad GROUP BY c.id_ciudad" for c in cols]
+    return f", {FIXED_SQL}, med AS (SELECT id_ciudad, {meds} FROM fixed GROUP BY id_ciudad) " + " UNION ALL ".join(parts)
 
 
 @register("mean_abs_dev_median", "D08", _mad_sql(MEASURES), materialize=True)
 def q_mean_abs_dev_median(t: Tables):
-    return pf.mean_abs_dev_median(t.clima, MEASURES)
+    return pf.mean_abs_dev_median(corrected(t), MEASURES)
+
+
+FIXED_FEAT_SQL = FIXED_SQL.replace("FROM clima JOIN mu0", "FROM feat JOIN mu0")
 
 
 def _corr_sql(cols):
@@ -533,14 +547,14 @@ def _corr_sql(cols):
         if a != b:
             unions.append(f"SELECT id_ciudad, '{b}' AS col_a, '{a}' AS col_b, "
                           f"round(\"{a}__{b}\", 2) + 0.0::DOUBLE AS corr FROM w")
-    return f", w AS (SELECT id_ciudad, {', '.join(sel)} FROM feat GROUP BY id_ciudad) " + " UNION ALL ".join(unions)
+    return f", {FIXED_FEAT_SQL}, w AS (SELECT id_ciudad, {', '.join(sel)} FROM fixed GROUP BY id_ciudad) " + " UNION ALL ".join(unions)
 
 
 @register("correlation_matrix", "D09", _corr_sql(ZERO_KEPT), materialize=True)
 def q_correlation_matrix(t: Tables):
     """Pearson matrix (2 dp) of the columns left after dropping all-zero ones,
     time included as epoch; per station."""
-    f = feat(t)
+    f = cl.replace_low_outlier(feat(t), *OUTLIER).withColumn(OUTLIER[0], r6(OUTLIER[0]))
     kept = cl.drop_all_zero_columns(f).columns
     return pf.correlation_matrix(f, kept)
 
@@ -583,9 +597,9 @@ def q_histogram_fixed_bins(t: Tables):
 
 
 def _auto_hist_sql(cols):
-    long = " UNION ALL ".join(f"SELECT id_ciudad, '{c}' AS column_name, CAST({c} AS DOUBLE) AS value FROM clima"
+    long = " UNION ALL ".join(f"SELECT id_ciudad, '{c}' AS column_name, CAST({c} AS DOUBLE) AS value FROM fixed"
                               for c in cols)
-    return f""", long AS ({long}),
+    return f""", {FIXED_SQL}, long AS ({long}),
 st0 AS (SELECT id_ciudad, column_name, count(value) AS n, min(value) AS mn, max(value) AS mx,
                quantile_cont(value, 0.75) - quantile_cont(value, 0.25) AS iqr FROM long GROUP BY 1, 2),
 st1 AS (SELECT id_ciudad, column_name, n, iqr, CASE WHEN mx > mn THEN mn ELSE mn - 0.5 END AS lo,
@@ -608,7 +622,7 @@ LEFT JOIN cnt c ON c.id_ciudad = s.id_ciudad AND c.column_name = s.column_name A
 @register("histogram_auto_bins", "D11", _auto_hist_sql(PROFILED), materialize=True)
 def q_histogram_auto_bins(t: Tables):
     """Per-station histograms of tmax/tmin/tavg/pres with numpy 'auto' bins."""
-    return pf.histogram_auto_bins(t.clima, PROFILED)
+    return pf.histogram_auto_bins(corrected(t), PROFILED)
 
 
 @register("kde_curve", "D12", f""", {FVA_SQL},

@@ -7,11 +7,10 @@ tests."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from climark.operators import cleaning as cl
+from climark.functions.numeric import round_half_even
 from climark.operators import evaluate as ev
 from climark.operators import scaling as sc
 from climark.operators import sequences as sq
@@ -20,7 +19,7 @@ from climark.operators.importance import permutation_importance
 from climark.plans.catalog import register
 from climark.plans.queries_core import feat
 from climark.plans.queries_seq import T, fitted_scaler, q_update_observations, training_frame
-from climark.schemas import REDUCED_FEATURES, TARGETS
+from climark.schemas import FULL_FEATURES, REDUCED_FEATURES, TARGETS
 from climark.sources.bridge import Tables
 
 KEYS = ["split", "id_ciudad", "target_time"]
@@ -30,21 +29,27 @@ ML_MODELS = [m for m in REGRESSORS if m != "Random Forest"]
 SERVING_MODEL = "Elastic Net"
 HISTORY_SLICE = (40, 50)
 PROGRESS_EVERY = 10
-TERM_NAMES = [f"{f}@t{s}" for s in range(T) for f in REDUCED_FEATURES]
+
+
+def term_names(features: list[str]) -> list[str]:
+    return [f"{f}@t{s}" for s in range(T) for f in features]
 
 
 class MLData:
-    """Scaled, windowed, flattened training data of one ``Tables``; the
-    vector frame is persisted because every target's fit re-reads it."""
-
-    def __init__(self, t: Tables):
-        self.t = t
-        self.params = sc.scaler_params(fitted_scaler(t))
-        tf = training_frame(t).withColumns({f"__y_{x}": F.col(x) for x in TARGETS})
-        win = sq.supervised_windows(sc.apply_scaler(tf, self.params), REDUCED_FEATURES, TARGETS, T,
-                                    target_prefix="__y_")
+    """Scaled, windowed, flattened training data of one ``Tables``.
+
+    The candidates use all 25 features; the serving model uses the 18 of the
+    reduced set.  The vector frame is checkpointed, because every target's fit
+    reads it again; nothing stays in the cache."""
+
+    def __init__(self, t: Tables, features: list[str] = FULL_FEATURES):
+        self.t, self.features = t, features
+        frame = training_frame(t)
+        self.params = sc.scaler_params(fitted_scaler(t, features, frame))
+        tf = frame.withColumns({f"__y_{x}": F.col(x) for x in TARGETS})
+        win = sq.supervised_windows(sc.apply_scaler(tf, self.params), features, TARGETS, T, target_prefix="__y_")
         self.windows = win
-        self.vec = sq.flatten_window(win, REDUCED_FEATURES).drop("seq").persist(StorageLevel.MEMORY_AND_DISK)
+        self.vec = sq.flatten_window(win, features).drop("seq").checkpoint(eager=True)
 
     def split(self, name: str) -> DataFrame:
         return self.vec.where(F.col("split") == name)
@@ -69,37 +74,37 @@ def _terms(t: Tables, rows, value: str) -> DataFrame:
 @register("fit_linear", "L03", materialize=True)
 def q_fit_linear(t: Tables):
     """Ordinary least squares per target: (target, term, coefficient)."""
-    return _terms(t, coefficients_long(MLData(t).fit("Linear Regression"), TERM_NAMES), "coefficient")
+    return _terms(t, coefficients_long(MLData(t).fit("Linear Regression"), term_names(FULL_FEATURES)), "coefficient")
 
 
 @register("fit_elastic_net", "L03", materialize=True)
 def q_fit_elastic_net(t: Tables):
     """Elastic net (alpha 0.1, l1 ratio 0.5) per target: coefficients."""
-    return _terms(t, coefficients_long(MLData(t).fit("Elastic Net"), TERM_NAMES), "coefficient")
+    return _terms(t, coefficients_long(MLData(t).fit("Elastic Net"), term_names(FULL_FEATURES)), "coefficient")
 
 
 @register("fit_decision_tree", "L04", materialize=True)
 def q_fit_decision_tree(t: Tables):
     """Depth-5 regression trees per target: feature importances."""
-    return _terms(t, importances_long(MLData(t).fit("Decision Tree"), TERM_NAMES), "importance")
+    return _terms(t, importances_long(MLData(t).fit("Decision Tree"), term_names(FULL_FEATURES)), "importance")
 
 
 @register("fit_random_forest", "L04", materialize=True)
 def q_fit_random_forest(t: Tables):
     """100-tree forests per target: feature importances."""
-    return _terms(t, importances_long(MLData(t).fit("Random Forest"), TERM_NAMES), "importance")
+    return _terms(t, importances_long(MLData(t).fit("Random Forest"), term_names(FULL_FEATURES)), "importance")
 
 
 @register("fit_gradient_boosting", "L05", materialize=True)
 def q_fit_gradient_boosting(t: Tables):
     """50-round depth-3 boosting per target: feature importances."""
-    return _terms(t, importances_long(MLData(t).fit("Gradient Boosting"), TERM_NAMES), "importance")
+    return _terms(t, importances_long(MLData(t).fit("Gradient Boosting"), term_names(FULL_FEATURES)), "importance")
 
 
 @register("multi_output", "L06", materialize=True)
 def q_multi_output(t: Tables):
     """Three regressors on one window vector, outputs side by side."""
-    d = MLData(t)
+    d = MLData(t, REDUCED_FEATURES)
     return d.fit(SERVING_MODEL).transform(d.vec).select(*KEYS, *[f"y_{x}" for x in TARGETS],
                                                         *[f"pred_{x}" for x in TARGETS])
 
@@ -107,7 +112,7 @@ def q_multi_output(t: Tables):
 @register("predict_splits", "L07", materialize=True)
 def q_predict_splits(t: Tables):
     """Long predictions (model, split, station, day, target, real, pred)."""
-    return predictions(MLData(t), SERVING_MODEL)
+    return predictions(MLData(t, REDUCED_FEATURES), SERVING_MODEL)
 
 
 @register("model_comparison_ml", "L10", materialize=True)
@@ -120,22 +125,19 @@ def q_model_comparison_ml(t: Tables):
 
 
 def score_windows(d: MLData, mt: MultiTarget, win: DataFrame) -> DataFrame:
-    """Forecast rows (id, time, tmax, tmin, tavg) from windows, 1 dp,
-    keeping only rows that satisfy the forecast table's constraints."""
-    # Cut lineage (reliable checkpoint in the shared checkpoint dir): the
-    # guard filter below would otherwise be pushed, with the model UDF it
-    # references, beneath the filter that keeps only complete windows.
-    win = win.checkpoint(eager=True)
+    """Forecast rows (id, time, tmax, tmin, tavg) from windows, 1 dp, halves to
+    even.  Every forecast is kept; ``cleaning.unsigned_violations`` reports those
+    that a store of unsigned values would refuse."""
     out = mt.transform(sq.flatten_window(win, REDUCED_FEATURES))
     rows = out.select(F.col("id_ciudad").cast("int").alias("id"), F.col("forecast_time").alias("time"),
-                      *[F.round(f"pred_{x}", 1).alias(x) for x in TARGETS])
-    return cl.unsigned_guard(rows)
+                      *[round_half_even(f"pred_{x}", 1).alias(x) for x in TARGETS])
+    return rows
 
 
 @register("forecast_next_day", "L08", materialize=True)
 def q_forecast_next_day(t: Tables):
     """Every station's forecast for the day after its last observation."""
-    d = MLData(t)
+    d = MLData(t, REDUCED_FEATURES)
     mt = d.fit(SERVING_MODEL)
     win = sq.serving_windows(d.serving(feat(t)), REDUCED_FEATURES, T)
     return score_windows(d, mt, win)
@@ -144,7 +146,7 @@ def q_forecast_next_day(t: Tables):
 @register("permutation_importance", "L11", materialize=True)
 def q_permutation_importance(t: Tables):
     """Importance of each feature (whole window permuted) on val windows."""
-    d = MLData(t)
+    d = MLData(t, REDUCED_FEATURES)
     mt = d.fit(SERVING_MODEL)
     val = d.windows.where(F.col("split") == "val")
     return permutation_importance(val, mt, REDUCED_FEATURES, ["id_ciudad", "target_time"], TARGETS)
@@ -202,14 +204,14 @@ def catchup_forecasts(t: Tables, d: MLData, mt: MultiTarget, observations: DataF
 def q_process_forecasts(t: Tables):
     """All missed days of all stations scored in one job and de-duplicated
     against the forecast table."""
-    d = MLData(t)
+    d = MLData(t, REDUCED_FEATURES)
     return catchup_forecasts(t, d, d.fit(SERVING_MODEL), t.clima)
 
 
 @register("run_daily", "K02", materialize=True)
 def q_run_daily(t: Tables):
     """Daily run: update observations, then forecast every missed day."""
-    d = MLData(t)
+    d = MLData(t, REDUCED_FEATURES)
     obs = q_update_observations(t)
     return catchup_forecasts(t, d, d.fit(SERVING_MODEL), obs)
 

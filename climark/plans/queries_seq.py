@@ -140,8 +140,8 @@ def _scaler_sql():
     return f", {TF_SQL} " + " UNION ALL ".join(parts)
 
 
-def fitted_scaler(t: Tables) -> DataFrame:
-    return sc.fit_scaler(training_frame(t), REDUCED_FEATURES, F.col("split") == "train")
+def fitted_scaler(t: Tables, features: list[str] = REDUCED_FEATURES, frame: DataFrame | None = None) -> DataFrame:
+    return sc.fit_scaler(training_frame(t) if frame is None else frame, features, F.col("split") == "train")
 
 
 @register("fit_scaler", "L01", _scaler_sql(), materialize=True)
@@ -163,8 +163,8 @@ def _apply_sql():
 @register("apply_scaler", "L02", _apply_sql(), materialize=True)
 def q_apply_scaler(t: Tables):
     """Every split scaled with the train-fitted parameters (one projection)."""
-    params = sc.scaler_params(fitted_scaler(t))
-    out = sc.apply_scaler(training_frame(t), params)
+    frame = training_frame(t)
+    out = sc.apply_scaler(frame, sc.scaler_params(fitted_scaler(t, frame=frame)))
     return out.select("id_ciudad", "time", "split", *[r6(F.col(f"`{c}`")).alias(c) for c in REDUCED_FEATURES])
 
 

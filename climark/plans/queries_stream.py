@@ -27,12 +27,15 @@ def _land(df: DataFrame, folder: str, period) -> None:
 @register("stream_ingest_observations", "I01", "SELECT * FROM clima", materialize=True)
 def q_stream_ingest(t: Tables):
     """Yearly deliveries (each December re-sent with the next year) drained
-    into the observation table with watermark dedup + insert_new."""
+    into the observation table; the last station's whole history arrives after
+    all the others'."""
     spark = t.spark
     base = scratch_path(spark, "stream-ingest")
     resent = t.landing.where(F.month("time") == 12)  # each December is delivered again next year
     deliveries = t.landing.withColumn("_d", F.year("time")) \
         .unionByName(resent.withColumn("_d", F.year("time") + 1))
+    last = t.ciudades.agg(F.max("id")).first()[0]  # one scalar
+    deliveries = deliveries.withColumn("_d", F.when(F.col("id_ciudad") == last, F.lit(9999)).otherwise(F.col("_d")))
     _land_with(deliveries, f"{base}/landing")
     tables = f"{base}/tables"
     tb.bootstrap_tables(spark, tables)
@@ -58,7 +61,7 @@ def q_stream_daily_forecast(t: Tables):
     tb.append_rows(spark, tables, "predic", t.predic)
     later = t.landing.where(F.col("time") > ts(FORECAST_END))
     _land(later, f"{base}/landing", F.date_trunc("month", "time"))
-    d = MLData(t)
+    d = MLData(t, REDUCED_FEATURES)
     mt = d.fit(SERVING_MODEL)
     stations = t.ciudades
 

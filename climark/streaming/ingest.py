@@ -1,13 +1,12 @@
 """Streaming forms of the daily update.
 
-``stream_ingest_observations`` (I01): landing files -> watermark on the
-observation day -> ``dropDuplicatesWithinWatermark(station, day)`` ->
-``foreachBatch`` append with the insert_new guard.  The guard makes a
-replayed micro-batch a no-op (rows already stored are skipped), so a batch
-re-run after an executor or driver failure does not duplicate rows; progress
-lives in the checkpoint location under the shared checkpoint dir.
-Late data: days older than the watermark are dropped (the batch job never
-revisits days before the last stored one either).
+``stream_ingest_observations`` (I01): landing files -> ``foreachBatch``: rows
+are deduplicated by (station, day), days already stored are skipped, the rest
+is appended, whatever its day: a station whose history arrives last is stored
+whole, as the batch job stores it from each station's own last day.  A replayed
+micro-batch finds its rows stored and adds none; progress lives in the
+checkpoint location under the shared checkpoint dir.  Rows that contradict a
+stored day, or another row of their batch, are appended to the reject table.
 
 ``stream_daily_forecast`` (I02): the same stream, and after each append the
 stations touched by the batch get their missed days forecast and appended to
@@ -21,35 +20,51 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from climark.functions.sizing import release_measured
+from climark.operators.cleaning import fill_missing_zero
 from climark.schemas import OBSERVATIONS
 from climark.sources.tables import append_rows, read_table
 
 LANDING_SCHEMA = OBSERVATIONS
 
 
-def _deduped_stream(spark: SparkSession, source_dir: str, watermark: str, files_per_trigger: int) -> DataFrame:
-    src = spark.readStream.schema(LANDING_SCHEMA).option("maxFilesPerTrigger", files_per_trigger) \
-        .parquet(source_dir)
-    return src.withColumn("_event", F.col("time").cast("timestamp")) \
-        .withWatermark("_event", watermark) \
-        .dropDuplicatesWithinWatermark(["id_ciudad", "time"]) \
-        .drop("_event")
+REJECTS = "rechazos"
+DAY_KEY = ["id_ciudad", "time"]
+
+
+def split_batch(batch: DataFrame, stored: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows to append, rows refused) of a micro-batch: one row per (station,
+    day) that the table does not have; refused are rows that say otherwise than
+    the row kept or stored for their day."""
+    values = [c for c in batch.columns if c not in DAY_KEY]
+    rows = fill_missing_zero(batch).distinct()
+    first = rows.groupBy(*DAY_KEY).agg(F.min(F.struct(*values)).alias("_first"))
+    days = stored.join(first.select(*DAY_KEY), DAY_KEY, "left_semi").groupBy(*DAY_KEY).agg(
+        F.min(F.struct(*values)).alias("_stored"))
+    judged = rows.join(first, DAY_KEY).join(days, DAY_KEY, "left").withColumn("_row", F.struct(*values))
+    new = judged.where(F.col("_stored").isNull() & (F.col("_row") == F.col("_first")))
+    other = judged.where(F.col("_row") != F.coalesce("_stored", "_first"))
+    return new.select(*batch.columns), other.select(*batch.columns)
 
 
 def stream_ingest_observations(spark: SparkSession, source_dir: str, tables_base: str, checkpoint: str,
-                               watermark: str = "30 days", files_per_trigger: int = 1,
+                               files_per_trigger: int = 1,
                                on_batch: Callable[[DataFrame, int], None] | None = None) -> None:
     """Drain the landing folder into the observation table (trigger availableNow)."""
-    stream = _deduped_stream(spark, source_dir, watermark, files_per_trigger)
+    stream = spark.readStream.schema(LANDING_SCHEMA).option("maxFilesPerTrigger", files_per_trigger).parquet(source_dir)
 
     def sink(batch: DataFrame, epoch_id: int) -> None:
+        batch = batch.persist()
         try:
-            append_rows(spark, tables_base, "clima", batch, mode="insert_new")
+            new, refused = split_batch(batch, read_table(spark, tables_base, "clima"))
+            refused = refused.persist()
+            if not refused.isEmpty():
+                refused.write.mode("append").parquet(f"{tables_base.rstrip('/')}/{REJECTS}")
+            refused.unpersist()
+            append_rows(spark, tables_base, "clima", new, mode="insert_new")
             if on_batch is not None:
                 on_batch(batch, epoch_id)
         finally:
-            release_measured()  # nothing measured for this batch stays cached
+            batch.unpersist()
 
     q = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint) \
         .trigger(availableNow=True).start()
@@ -58,7 +73,7 @@ def stream_ingest_observations(spark: SparkSession, source_dir: str, tables_base
 
 def stream_daily_forecast(spark: SparkSession, source_dir: str, tables_base: str, checkpoint: str,
                           forecast_fn: Callable[[DataFrame, DataFrame, DataFrame], DataFrame],
-                          watermark: str = "30 days", files_per_trigger: int = 1) -> None:
+                          files_per_trigger: int = 1) -> None:
     """Ingest as above; after each batch, forecast the touched stations.
 
     ``forecast_fn(observations, forecasts, touched_stations)`` returns new
@@ -71,6 +86,5 @@ def stream_daily_forecast(spark: SparkSession, source_dir: str, tables_base: str
         new = forecast_fn(obs, fc, touched)
         append_rows(spark, tables_base, "predic", new, mode="insert_new")
 
-    stream_ingest_observations(spark, source_dir, tables_base, checkpoint, watermark, files_per_trigger,
-                               on_batch=after)
+    stream_ingest_observations(spark, source_dir, tables_base, checkpoint, files_per_trigger, on_batch=after)
 

@@ -71,14 +71,49 @@ def test_stream_ingest_dedups_and_is_idempotent(spark):
 def test_permuted_join_is_a_bijection_per_feature(spark):
     from climark.operators.importance import permuted_join
     win = windows(spark, n=300)
-    pj = permuted_join(win, FEATS, ["id_ciudad", "target_time"], seed=7, block_rows=40).collect()
-    for f in FEATS:
+    pj = permuted_join(win, FEATS, ["id_ciudad", "target_time"], seed=7).collect()
+    for d, f in enumerate(FEATS):
         rows = [r for r in pj if r.feature == f]
-        orig = sorted(tuple(s[f] for s in r.seq) for r in rows)
-        perm = sorted(tuple(s[f] for s in r.perm_seq) for r in rows)
-        assert orig == perm  # every window's values are used exactly once
-        other = [c for c in FEATS if c != f]
-        assert all([s[c] for s in r.seq for c in other] == [s[c] for s in r.perm_seq for c in other] for r in rows)
+        assert sorted(r.x[d::3] for r in rows) == sorted(r.perm_x[d::3] for r in rows)  # each window used exactly once
+        assert sum(r.x[d::3] != r.perm_x[d::3] for r in rows) > len(rows) / 2
+        assert all(r.x[k::3] == r.perm_x[k::3] for r in rows for k in range(3) if k != d)
+
+
+def test_elastic_net_minimises_the_stated_objective(spark):
+    import numpy as np
+    from pyspark.ml.functions import array_to_vector
+    from climark.operators.forecast import elastic_net
+    rng = np.random.default_rng(3)
+    X = rng.normal(size=(400, 6))
+    y = X @ np.array([3.0, -2, 0.5, 0, 0, 1]) + rng.normal(size=400) + 4
+    alpha, ratio, w, b = 0.3, 0.5, np.zeros(6), 0.0
+    for _ in range(500):  # coordinate descent
+        b = (y - X @ w).mean()
+        for j in range(6):
+            r = y - b - X @ w + X[:, j] * w[j]
+            z, n2 = X[:, j] @ r / 400, (X[:, j] ** 2).mean()
+            w[j] = np.sign(z) * max(abs(z) - alpha * ratio, 0) / (n2 + alpha * (1 - ratio))
+    df = spark.createDataFrame([(x.tolist(), float(v)) for x, v in zip(X, y)], "x array<double>, y double")
+    m = elastic_net(alpha, ratio, float(y.std(ddof=1))).setLabelCol("y").fit(df.withColumn("features", array_to_vector("x")))
+    assert np.allclose(m.coefficients.toArray(), w, atol=1e-3) and abs(m.intercept - b) < 1e-3
+
+
+def test_stream_stores_a_back_fill_and_reports_contradictions(spark):
+    base = scratch_path(spark, "stream-backfill")
+    schema = tb.TABLES["clima"]
+
+    def rows(station, year, n):
+        return [(station, dt.datetime(year, 1, 1) + dt.timedelta(days=d), 30.0, 20.0, 25.0, 0.0, 0.0, 10, 1.0, 0.0, 1000.0, 0.0)
+                for d in range(n)]
+
+    other = [(2, dt.datetime(2018, 1, 1), 99.0, 20.0, 25.0, 0.0, 0.0, 10, 1.0, 0.0, 1000.0, 0.0)]
+    tb.bootstrap_tables(spark, f"{base}/tables")
+    for k, part in enumerate((rows(1, 2023, 60), rows(1, 2023, 90), rows(2, 2018, 1500), other)):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{base}/landing")
+        stream_ingest_observations(spark, f"{base}/landing", f"{base}/tables", f"{base}/_ck")
+    got = {r.id_ciudad: r["count"] for r in tb.read_table(spark, f"{base}/tables", "clima").groupBy("id_ciudad").count().collect()}
+    assert got == {1: 90, 2: 1500}
+    assert [r.tmax for r in spark.read.parquet(f"{base}/tables/rechazos").collect()] == [99.0]
 
 
 def test_stream_daily_forecast_appends_for_touched_stations(spark):

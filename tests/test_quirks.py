@@ -200,9 +200,20 @@ def test_box_whiskers_inside_fences(spark, n):
     assert r.whisker_high == 4.0 and r.n_outliers == n
 
 
-def test_percentiles_exact_for_small_groups_and_approx_on_request(spark):
+def test_exact_quantiles_over_many_ranges_ties_and_nulls(spark):
+    import numpy as np
+    rng = np.random.default_rng(5)
+    groups = {1: rng.normal(size=5001), 2: rng.integers(0, 7, 300).astype(float), 3: np.array([2.5]),
+              4: np.concatenate([np.full(900, 1e9), rng.random(7)])}
+    rows = [(g, float(v)) for g, vs in groups.items() for v in vs] + [(1, None), (3, None)]
+    df = spark.createDataFrame(rows, "g int, x double").repartition(5)
+    ps = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
+    for r in pf.exact_quantiles(df, ["x"], ["g"], ps).collect():
+        assert np.allclose(r.q, np.quantile(groups[r.g], ps), rtol=1e-12), r
+
+
+def test_percentiles_exact_and_approx_on_request(spark):
     df = spark.createDataFrame([(1, float(x)) for x in range(101)], "id_ciudad int, x double")
-    assert pf.use_approx(df, ("id_ciudad",), "auto") is False
     exact = pf.describe_numeric(df, ["x"], approx=False).first()
     approx = pf.describe_numeric(df, ["x"], approx=True).first()
     assert (exact.q25, exact.q50, exact.q75) == (25.0, 50.0, 75.0)
