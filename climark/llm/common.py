@@ -41,6 +41,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_side(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` for a join: broadcast if it has at most ``rows`` rows (counted, and
+    no further than that), else left to a shuffle join."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def held_out(doc_id: Column, folds: int = 5) -> Column:
     """True for the fold kept from training: crc32(doc_id as text) mod folds = 0.
     A null id counts as the empty string (crc32 0), so it is held out."""
