@@ -32,7 +32,8 @@ MAGIC = b"IDR1"
 
 _INIT, _INC = 4, 24               # order-0 counts: at the start, per id (no rescaling within BLOCK)
 _HIGH, _LOW, _RATE = 61000, 400, 4
-_MASK32, _TOP = (1 << 32) - 1, 1 << 32
+_U = np.uint64
+_TOP, _LOW48 = _U(1 << 48), _U((1 << 48) - 1)
 
 
 #: Log2 sizes of the 64 ranges: narrow where ids are frequent.
@@ -53,6 +54,7 @@ def _targets() -> np.ndarray:
     return out.reshape(-1, 2)
 
 
+_SURER = np.array([1, 1, 1, 1, 1, 2, 3, 3])     # next confidence, by confidence and whether it was right
 _TO2, _TO1 = map(np.ascontiguousarray, _targets().T)
 
 
@@ -61,19 +63,20 @@ class _Model:
 
     def __init__(self, lanes: int):
         at = np.arange(lanes, dtype=np.int64)
-        self.rows, self.at1, self.at2 = at, at * SLOTS, at * SLOTS
+        self.at1, self.at2 = at * SLOTS, at * SLOTS
         self.t1, self.t2 = np.zeros(lanes * SLOTS, np.int32), np.zeros(lanes * SLOTS, np.int32)
         fresh = np.zeros((4, 4, 2), np.int64)           # by confidence of order 2, of order 1
         fresh[1:, :, 0], fresh[:, 1:, 1] = [[9000], [20000], [30000]], [4000, 9000, 16000]
         self.weights = np.tile(((fresh[..., 0] << 16) | fresh[..., 1]).ravel(), lanes)
         self.atw = at * 16
         self.cum = np.tile((np.arange(1, _BINS + 1) * _INIT).astype(np.uint16), (lanes, 1))  # ends of the ranges
-        self.total = _BINS * _INIT
+        self.count = np.full(lanes * _BINS, _INIT, np.uint16)
+        self.total, self.at0 = _BINS * _INIT, at * _BINS
         self.x1, self.x2 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
 
     def cut(self, lanes: int) -> None:
         """Go on with the first ``lanes`` lanes."""
-        for k in ("rows", "at1", "at2", "atw", "x1", "x2", "cum"):
+        for k in ("at0", "at1", "at2", "atw", "x1", "x2", "cum"):
             setattr(self, k, getattr(self, k)[:lanes])
 
     def predict(self):
@@ -90,10 +93,11 @@ class _Model:
         w2 = self.l2 + self.l1 * self.same
         return w2, w2 + self.l1 * ~self.same           # ends of "order 2" and of "order 1" in 0..65536
 
-    def range_of(self, lanes, b):
-        """(start, size) of range ``b`` in the order-0 counts."""
-        start = np.where(b > 0, self.cum[lanes, np.maximum(b - 1, 0)], 0).astype(np.int64)
-        return start, self.cum[lanes, b] - start
+    def range_of(self, b: np.ndarray):
+        """(start, size) of range ``b`` of each lane in the order-0 counts."""
+        at = self.at0 + b
+        size = self.count.take(at).astype(_U)
+        return self.cum.reshape(-1).take(at).astype(_U) - size, size
 
     def update(self, ids: np.ndarray, choice: np.ndarray) -> None:
         to = self.pair * 6 + choice * 2 + self.same
@@ -102,47 +106,49 @@ class _Model:
         self.weights[self.iw] = (l2 << 16) | l1
         coded = ids << 2
         for t, i, p, c in ((self.t1, self.i1, self.p1, self.c1), (self.t2, self.i2, self.p2, self.c2)):
-            t[i] = coded | np.minimum(np.where(p == ids, c, 0) + 1, 3)
-        self.cum += _STEP.take(_BIN.take(ids), axis=0)
+            t[i] = coded | _SURER.take(c + 4 * (p == ids))
+        b = _BIN.take(ids)
+        self.cum += _STEP.take(b, axis=0)
+        self.count[self.at0 + b] += _INC
         self.total += _INC
         self.x2, self.x1 = self.x1, ids
 
 
 class _Writer:
-    """Range coder of many lanes: 48-bit low with carry, 16-bit output words."""
+    """Range coder of many lanes: 64-bit low with carry, 16-bit output words."""
 
     def __init__(self, lanes: int, words: int):
-        self.low, self.range = np.zeros(lanes, np.int64), np.full(lanes, (1 << 48) - 1, np.int64)
-        self.out, self.pos = np.zeros((lanes, words), np.uint16), np.zeros(lanes, np.int64)
-        self.flat, self.base = self.out.reshape(-1), np.arange(lanes, dtype=np.int64) * words
-
-    def put(self, lanes, offset, rng) -> None:
-        """Move ``lanes`` (a slice or indices) up by ``offset`` and narrow them to ``rng``."""
-        low = self.low[lanes] + offset
-        over = np.flatnonzero(low >> 48)
-        pos, base = self.pos[lanes], self.base[lanes]
-        if len(over):
-            low[over] &= (1 << 48) - 1
-            at = base[over] + pos[over] - 1
-            while len(at):                              # carry into the words written before
-                self.flat[at] += 1
-                at = at[self.flat[at] == 0] - 1
+        self.low, self.range = np.zeros(lanes, _U), np.full(lanes, ~_U(0), _U)
+        self.out, self.pos = np.zeros((lanes, words), np.uint16), np.arange(lanes, dtype=np.int64) * words
+        self.flat, self.begin = self.out.reshape(-1), np.arange(lanes, dtype=np.int64) * words
+
+    def put(self, live: int, offset: np.ndarray, rng: np.ndarray) -> None:
+        """Move the first ``live`` lanes up by ``offset`` and narrow them to ``rng``."""
+        low, pos = self.low[:live], self.pos[:live]
+        new = low + offset
+        at = pos[np.flatnonzero(new < low)] - 1
+        while len(at):                                   # carry into the words written before
+            self.flat[at] += 1
+            at = at[self.flat[at] == 0] - 1
         short = rng < _TOP
-        while True:
-            self.flat[base + pos] = low >> 32
-            low = np.where(short, (low & _MASK32) << 16, low)
-            rng = np.where(short, rng << 16, rng)
-            pos = pos + short
-            short = rng < _TOP
-            if not short.any():
-                break
-        self.low[lanes], self.range[lanes], self.pos[lanes] = low, rng, pos
+        self.flat[pos] = new >> _U(48)
+        shift = short * _U(16)
+        low[:] = np.where(short, new & _LOW48, new) << shift
+        self.range[:live] = rng << shift
+        pos += short
+        again = np.flatnonzero(self.range[:live] < _TOP)
+        while len(again):                                # rare ids take a second word
+            self.flat[pos[again]] = low[again] >> _U(48)
+            low[again] = (low[again] & _LOW48) << _U(16)
+            self.range[again] <<= _U(16)
+            pos[again] += 1
+            again = again[self.range[again] < _TOP]
 
     def end(self) -> list[bytes]:
-        for _ in range(3):
-            self.flat[self.base + self.pos] = self.low >> 32
-            self.low, self.pos = (self.low & _MASK32) << 16, self.pos + 1
-        return [row[:n].astype("<u2").tobytes() for row, n in zip(self.out, self.pos.tolist())]
+        for _ in range(4):
+            self.flat[self.pos] = self.low >> _U(48)
+            self.low, self.pos = (self.low & _LOW48) << _U(16), self.pos + 1
+        return [row[:n].astype("<u2").tobytes() for row, n in zip(self.out, (self.pos - self.begin).tolist())]
 
 
 def _lengths(n: int) -> list[int]:
@@ -175,16 +181,14 @@ def encode_blocks(ids: np.ndarray) -> list[bytes]:
         choice = np.where(hit2, 2, np.where(hit1, 1, 0))
         start = np.where(hit2, 0, np.where(hit1, end2, end1))
         size = np.where(hit2, end2, np.where(hit1, end1, 65536)) - start
-        step = coder.range[:live] >> 16
-        coder.put(slice(0, live), step * start, step * size)
-        rest = np.flatnonzero(choice == 0)
-        if len(rest):
-            y = x[rest]
-            b = _BIN.take(y)
-            begin, count = model.range_of(rest, b)
-            step = coder.range[rest] // model.total
-            inner = (step * count) >> _BITS.take(b)
-            coder.put(rest, step * begin + inner * (y - _FIRST.take(b)), inner)
+        step = coder.range[:live] >> _U(16)
+        offset, rng = step * start.astype(_U), step * size.astype(_U)
+        b = _BIN.take(x)
+        begin, count = model.range_of(b)
+        unit = rng // _U(model.total)
+        inner = (unit * count) >> _BITS.take(b).astype(_U)
+        place = offset + unit * begin + inner * (x - _FIRST.take(b)).astype(_U)
+        coder.put(live, np.where(choice == 0, place, offset), np.where(choice == 0, inner, rng))
         model.update(x, choice)
     out = []
     for k, payload in enumerate(coder.end()):
@@ -211,52 +215,49 @@ def decode_blocks(blocks: list[bytes]) -> np.ndarray:
     lanes = len(order)
     words = [np.frombuffer(blocks[k], "<u2", offset=HEAD.size) for k in order]
     begin = np.concatenate([[0], np.cumsum([len(w) for w in words])[:-1]]).astype(np.int64)
-    flat = np.concatenate(words + [np.zeros(4, np.uint16)]).astype(np.int64)
-    pos = begin + 3
-    code = (flat[begin] << 32) | (flat[begin + 1] << 16) | flat[begin + 2]
-    rng = np.full(lanes, (1 << 48) - 1, np.int64)
+    flat = np.concatenate(words + [np.zeros(4, np.uint16)]).astype(_U)
+    pos = begin + 4
+    code = (flat[begin] << _U(48)) | (flat[begin + 1] << _U(32)) | (flat[begin + 2] << _U(16)) | flat[begin + 3]
+    rng = np.full(lanes, ~_U(0), _U)
     model = _Model(lanes)
     grid = np.zeros((int(sizes[0]), lanes), np.int64)
     last = len(flat) - 1
 
-    def take(code, rng, pos):
-        short = rng < _TOP
-        while True:
-            code = np.where(short, (code << 16) | flat.take(np.minimum(pos, last)), code)
-            rng = np.where(short, rng << 16, rng)
-            pos = pos + short
-            short = rng < _TOP
-            if not short.any():
-                return code, rng, pos
-
     for t in range(int(sizes[0])):
         live = int(np.searchsorted(-sizes, -t, side="left"))
         if live < len(code):
             code, rng, pos = code[:live], rng[:live], pos[:live]
             model.cut(live)
         end2, end1 = model.predict()
-        step = rng >> 16
-        in2, in1 = code < step * end2, code < step * end1
+        step = rng >> _U(16)
+        end2u, end1u = end2.astype(_U), end1.astype(_U)
+        in2, in1 = code < step * end2u, code < step * end1u
         choice = np.where(in2, 2, np.where(in1, 1, 0))
-        start = np.where(in2, 0, np.where(in1, end2, end1))
-        size = np.where(in2, end2, np.where(in1, end1, 65536)) - start
-        code, rng, pos = take(code - step * start, step * size, pos)
-        x = np.where(in2, model.p2, model.p1).astype(np.int64)
-        rest = np.flatnonzero(choice == 0)
-        if len(rest):
-            c, r, p = code[rest], rng[rest], pos[rest]
-            step = r // model.total
-            value = np.minimum(c // step, model.total - 1)
-            under = (model.cum[rest] <= value[:, None].astype(np.uint16)).view(np.uint64)
-            b = (under.sum(axis=1, dtype=np.uint64) * np.uint64(0x0101010101010101) >> np.uint64(56)).astype(np.int64)
-            begin, count = model.range_of(rest, b)
-            c = c - step * begin
-            bits = _BITS.take(b)
-            inner = (step * count) >> bits
-            inside = np.minimum(c // inner, (1 << bits) - 1)
-            x[rest] = _FIRST.take(b) + inside
-            c, r, p = take(c - inner * inside, inner, p)
-            code[rest], rng[rest], pos[rest] = c, r, p
+        start = np.where(in2, _U(0), np.where(in1, end2u, end1u))
+        size = np.where(in2, end2u, np.where(in1, end1u, _U(65536))) - start
+        code, rng = code - step * start, step * size
+        unit = rng // _U(model.total)
+        value = np.minimum(code // unit, _U(model.total - 1)).astype(np.uint16)
+        under = (model.cum <= value[:, None]).view(_U)
+        b = (under.sum(axis=1, dtype=_U) * _U(0x0101010101010101) >> _U(56)).astype(np.int64)
+        begin, count = model.range_of(b)
+        bits = _BITS.take(b).astype(_U)
+        inner = (unit * count) >> bits
+        rest = code - unit * begin
+        place = np.minimum(rest // inner, (_U(1) << bits) - _U(1))
+        none = choice == 0
+        x = np.where(in2, model.p2, np.where(in1, model.p1, _FIRST.take(b) + place.astype(np.int64)))
+        code, rng = np.where(none, rest - inner * place, code), np.where(none, inner, rng)
+        short = rng < _TOP
+        shift = short * _U(16)
+        code = (code << shift) | np.where(short, flat.take(np.minimum(pos, last)), _U(0))
+        rng, pos = rng << shift, pos + short
+        again = np.flatnonzero(rng < _TOP)
+        while len(again):
+            code[again] = (code[again] << _U(16)) | flat[np.minimum(pos[again], last)]
+            rng[again] <<= _U(16)
+            pos[again] += 1
+            again = again[rng[again] < _TOP]
         model.update(x, choice)
         grid[t, :live] = x
     out: list = [None] * lanes

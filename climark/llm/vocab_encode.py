@@ -10,13 +10,13 @@ tokenizer whole.  The results are those of encoding whole texts.
 
 from __future__ import annotations
 
-import itertools
 import re
+import struct
 import threading
 
 import numpy as np
 
-MEMO_WORDS = 600_000  # words kept per worker; the memo starts anew beyond it
+MEMO_WORDS = 400_000  # words in one of the two halves of a worker's memo
 
 _LETTER = "A-Za-zªµºÀ-ÖØ-öø-ÿŒœ"
 _DIGIT = "0-9²³¹¼-¾"
@@ -25,10 +25,10 @@ _PLAIN = "\t\n\r\x20-\x7e¡-¬®-ÿŒœ–—‘’“”…€"
 #: How each file's tokenizer splits a plain text into words.
 _WORDS = {
     "byte_bpe_50k.json": re.compile(
-        f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_DIGIT}]+| ?[^{_SPACE}{_LETTER}{_DIGIT}]+"
+        f" ?[{_LETTER}]+|'(?:[stmd]|re|ve|ll)| ?[{_DIGIT}]+| ?[^{_SPACE}{_LETTER}{_DIGIT}]+"
         f"|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"),
     "word_bpe_49k.json": re.compile(
-        f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_DIGIT}]|[^{_SPACE}{_LETTER}{_DIGIT}]+"),
+        f"[{_LETTER}]+|'(?:[stmd]|re|ve|ll)|[{_DIGIT}]|[^{_SPACE}{_LETTER}{_DIGIT}]+"),
 }
 _ODD = re.compile(f"[^{_PLAIN}]")
 #: Byte-level tokenizers write each byte as one printable character: printable
@@ -41,14 +41,24 @@ _LOCK = threading.Lock()
 
 
 class _Memo(dict):
+    """Ids by word.  When it is full it becomes the old half, from which words
+    still in use come back, and the half before that is let go."""
+
     def __init__(self, encode):
         super().__init__()
-        self._encode = encode
+        self._encode, self._old = encode, {}
 
     def __missing__(self, word):
-        self[word] = got = self._encode(word)
+        got = self._old.get(word)
+        if got is None:
+            got = self._encode(word)
+        self[word] = got
         return got
 
+    def turn(self):
+        self._old = dict(self)
+        self.clear()
+
 
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit integers."""
@@ -61,11 +71,16 @@ class Encoder:
         self.words = _WORDS.get(name)
         self.lower = name == "word_bpe_49k.json"
         self.memo = _Memo(self.word)
+        self.span_memo = _Memo(self.word_spans)
 
     def word(self, word: str) -> bytes:
         """Ids of one word, from the tokenizer's model."""
-        chars = word.encode().decode("latin-1").translate(_BYTE_CHARS)
-        return np.array([t.id for t in self.tokenizer.model.tokenize(chars)], dtype="<u4").tobytes()
+        if word.isascii() and word.isprintable():
+            chars = word.replace(" ", "\u0120")
+        else:
+            chars = word.encode().decode("latin-1").translate(_BYTE_CHARS)
+        ids = [t.id for t in self.tokenizer.model.tokenize(chars)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -75,11 +90,28 @@ class Encoder:
         if self.words is None or _ODD.search(text):
             return self.whole(text)
         if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
+            self.memo.turn()
         if self.lower:
             text = text.lower()
         return b"".join(map(self.memo.__getitem__, self.words.findall(text)))
 
+    def word_spans(self, word: str) -> bytes:
+        got = self.tokenizer.encode(word, add_special_tokens=False).offsets
+        return np.array(got, dtype=np.int32).tobytes()
+
+    def spans(self, text: str) -> np.ndarray:
+        """(first character, end) of every token of a text, as the tokenizer's
+        offsets; for tokenizers whose words cover the whole text."""
+        if self.words is None or self.lower or _ODD.search(text):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).offsets, np.int64).reshape(-1, 2)
+        if len(self.span_memo) > MEMO_WORDS:
+            self.span_memo.turn()
+        words = self.words.findall(text)
+        found = list(map(self.span_memo.__getitem__, words))
+        begin = np.cumsum([0, *map(len, words)])[:-1]
+        spans = np.frombuffer(b"".join(found), np.int32).reshape(-1, 2).astype(np.int64)
+        return spans + np.repeat(begin, [len(f) // 8 for f in found])[:, None]
+
 
 def encoder(path: str) -> Encoder:
     """The worker's encoder for a tokenizer file."""
