@@ -72,7 +72,7 @@ def overall_metrics(pairs: DataFrame) -> DataFrame:
     per = pairs.groupBy("target").agg(
         (F.lit(1.0) - F.try_divide(F.sum(e * e), F.var_pop("real") * F.count("real"))).alias("r2"))
     r2 = per.agg(r6(F.avg("r2")).alias("r2"))
-    return cells.withColumn("_k", F.lit(1)).join(r2.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    return cells.crossJoin(F.broadcast(r2))  # one row each
 
 
 def model_comparison(preds: DataFrame, model_order: list[str], pinned: str | None = None) -> DataFrame:
@@ -119,7 +119,7 @@ def history_slice(hist: DataFrame, start: int, end: int | None) -> DataFrame:
     if end is not None:
         s = s.where(F.col("iteration") < end)
     b = s.agg(F.min("iteration").alias("_lo"), F.max("iteration").alias("_hi"))
-    return s.withColumn("_k", F.lit(1)).join(b.withColumn("_k", F.lit(1)), "_k").select(
+    return s.crossJoin(F.broadcast(b)).select(  # b is one row
         *hist.columns, (F.col("iteration") == F.col("_lo")).alias("is_first"),
         (F.col("iteration") == F.col("_hi")).alias("is_last"))
 

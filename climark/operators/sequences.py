@@ -42,7 +42,7 @@ def sequence_index(df: DataFrame, keys: list[str], order: list[str], bucket, nam
 
 
 def month_bucket(time_col: str = "time"):
-    return F.date_trunc("month", F.col(time_col))
+    return F.trunc(F.to_date(time_col), "month")  # a date: no session zone comes in
 
 
 def rolling_arrays(idx: DataFrame, keys: list[str], payload: list[str], lo: int, hi: int,

@@ -2,13 +2,12 @@
 
 Jobs never invent a machine-local temp folder: intermediate tables and
 streaming checkpoints live under ``spark.checkpoint.dir``, the shared folder
-the cluster names.  Only when it is unset (unit tests, laptops) do we create
-one.
+the cluster names.  Where it is unset, a ``local`` master gets a private folder
+(unit tests, laptops) and any other master an error.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -19,7 +18,7 @@ CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 def build_session(master: str | None = None, app: str = "climark",
                   shuffle_partitions: int | None = None,
-                  extra: dict | None = None) -> SparkSession:
+                  extra: dict | None = None, driver_memory: str = "8g") -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -31,7 +30,7 @@ def build_session(master: str | None = None, app: str = "climark",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.driver.memory": "16g",
+        "spark.driver.memory": driver_memory,
         # materialised intermediates are removed once no longer referenced
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
@@ -54,7 +53,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         sc = None
     path = spark.conf.get(CHECKPOINT_KEY, None) or (sc.getConf().get(CHECKPOINT_KEY, None) if sc else None)
     if not path:
-        path = tempfile.mkdtemp(prefix="climark-ckpt-")  # only when the cluster names none (tests)
+        if sc is None or not sc.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
+        path = tempfile.mkdtemp(prefix="climark-ckpt-")  # one machine (tests, laptops)
         spark.conf.set(CHECKPOINT_KEY, path)
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
@@ -65,11 +66,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint dir (unique per call)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/climark/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def exists(path: str) -> bool:
-    return os.path.exists(local_path(path))

@@ -14,7 +14,6 @@ from climark.functions.sizing import bounded_broadcast
 from climark.operators.cleaning import fill_missing_zero
 from climark.operators.integrity import insert_guard
 from climark.schemas import FIRST_UPDATE_DATE, SEED_STATION, STATION_KEY, TABLES
-from climark.session import exists
 
 PARTITION = {"clima": "id_ciudad", "predic": "id"}
 
@@ -24,11 +23,10 @@ def bootstrap_tables(spark: SparkSession, base: str) -> dict[str, str]:
     paths = {}
     for name, schema in TABLES.items():
         path = f"{base.rstrip('/')}/{name}"
-        if not exists(path):
-            w = spark.createDataFrame([], schema).write.mode("ignore")
-            if name in PARTITION:
-                w = w.partitionBy(PARTITION[name])
-            w.parquet(path)
+        w = spark.createDataFrame([], schema).write.mode("ignore")  # the writer asks the path's own file system
+        if name in PARTITION:
+            w = w.partitionBy(PARTITION[name])
+        w.parquet(path)
         paths[name] = path
     return paths
 
@@ -85,7 +83,8 @@ def register_stations(stations: DataFrame, candidates: DataFrame, covered: DataF
     """Append new stations: candidates (ciudad, latitud, longitud) that are
     covered and not yet known get ids max(id)+1, max(id)+2, ... in name
     order.  Returns the full station table after registration."""
-    c = candidates.join(stations.select("ciudad"), "ciudad", "left_anti").dropDuplicates(["ciudad"])
+    c = candidates.join(stations.select("ciudad"), "ciudad", "left_anti").groupBy("ciudad").agg(
+        F.min(F.struct("latitud", "longitud")).alias("_at")).select("ciudad", "_at.latitud", "_at.longitud")
     if covered is not None:
         c = c.join(covered.select("ciudad"), "ciudad", "left_semi")
     base = stations.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]  # one scalar
