@@ -1,5 +1,86 @@
-"""DuckDB SQL for the corpus queries that SQL can express."""
+"""DuckDB SQL for the corpus queries that SQL can express on whole tables.
+
+The others encode, learn, pack or slide windows over characters; ``tests/llm``
+compares them with brute force, exact round trips and held-out labels.
+"""
 
 from __future__ import annotations
 
+from climark.llm.quality_rules import (BOILERPLATE, MARK, SEPARATOR, SYMBOL, SYMBOL_RUN, TERMINAL, UPPER, LineRules)
+
 ORACLE: dict[str, str] = {}
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_BENCH_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_SPACED = r"[^\x20\x09-\x0D]+"
+
+
+def _count(text: str, pattern: str) -> str:
+    return f"len(regexp_extract_all({text}, {_q(pattern)}))"
+
+
+def _q(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+ORACLE["op2_benchmark_decontamination"] = f"""
+WITH d AS (SELECT doc_id, {_BENCH_WORDS} AS w FROM documents),
+i AS (SELECT item_id, {_BENCH_WORDS} AS w FROM benchmark),
+iw AS (SELECT DISTINCT item_id, m, array_to_string(w[k:k + m - 1], ' ') AS g
+       FROM (SELECT item_id, w, least(10, len(w)) AS m, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS k
+             FROM i WHERE len(w) > 0)),
+dw AS (SELECT doc_id, m, p, array_to_string(w[p:p + m - 1], ' ') AS g
+       FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS p
+             FROM d, (SELECT DISTINCT m FROM iw) WHERE len(w) >= m)),
+h AS (SELECT dw.doc_id, dw.p, dw.m, iw.item_id FROM dw JOIN iw ON dw.m = iw.m AND dw.g = iw.g),
+hit AS (SELECT doc_id, count(DISTINCT ix) AS n FROM (SELECT doc_id, unnest(range(p, p + m)) AS ix FROM h) GROUP BY 1),
+ids AS (SELECT doc_id, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids
+        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM h) GROUP BY 1)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(ids.n, 0) AS n_items,
+       sha256(coalesce(ids.ids, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN ids ON ids.doc_id = d.doc_id"""
+
+ORACLE["op3_ngram_jaccard_join"] = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_SPACED}') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[k:k + least(5, len(w)) - 1], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS k FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.b) AS component_id
+FROM d JOIN r ON r.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id"""
+
+
+def _quality(rules: LineRules = LineRules()) -> str:
+    phrases = " OR ".join(f"contains(lower(line), {_q(p)})" for p in BOILERPLATE)
+    return rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_SPACED}') AS w FROM documents),
+g AS (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, x) AS c
+      FROM (SELECT doc_id, p, array_to_string(w[p:p + 2], ' ') AS x
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS p FROM d WHERE len(w) >= 3))),
+rep AS (SELECT doc_id, count(DISTINCT ix) AS n FROM (SELECT doc_id, unnest([p, p + 1, p + 2]) AS ix FROM g WHERE c > 1) GROUP BY 1),
+l AS (SELECT doc_id, line, regexp_extract_all(line, '{_SPACED}') AS lw
+      FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)),
+lf AS (SELECT doc_id, line, len(lw) AS n, length(array_to_string(lw, '')) AS chars, coalesce(right(lw[-1], 8), '') AS tail
+       FROM l WHERE len(lw) > 0),
+judged AS (SELECT doc_id, line, chars,
+    (n >= {rules.punctuation_from_words} AND NOT regexp_matches(tail, {_q(TERMINAL)}))
+    OR (regexp_matches(line, {_q(MARK)}) AND (
+        (n > 2 AND {_count('line', SEPARATOR)} * 100 >= n * {rules.separator_words_percent})
+        OR {_count('line', SYMBOL_RUN)} * 100 >= n * {rules.symbol_words_percent}))
+    OR (n > 2 AND regexp_matches(line, {_q(UPPER + '{2}')}) AND {_count('line', UPPER)} * 100 >= chars * {rules.shout_percent})
+    OR (length(line) <= {rules.boilerplate_chars} AND ({phrases})) AS fails FROM lf),
+f AS (SELECT doc_id, count(*) - count(DISTINCT line) AS dup, sum(CASE WHEN fails THEN chars ELSE 0 END) AS lost
+      FROM judged GROUP BY 1),
+t AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+             CAST({_count('text', SYMBOL)} AS BIGINT) AS n_symbols, CAST(coalesce(f.dup, 0) AS BIGINT) AS n_dup_lines,
+             CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words, coalesce(f.lost, 0) AS lost
+      FROM d LEFT JOIN f ON f.doc_id = d.doc_id LEFT JOIN rep ON rep.doc_id = d.doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < {rules.min_words} OR 100 * n_repeat_words > {rules.max_repeat_percent} * n_words AS base_failed,
+       NOT (n_words < {rules.min_words} OR 100 * n_repeat_words > {rules.max_repeat_percent} * n_words)
+       AND lost * 100 <= word_chars * {rules.max_lost_percent} AS kept FROM t"""
+
+
+ORACLE["op10_quality_rules"] = _quality()
