@@ -140,13 +140,21 @@ def q_station_coverage(t: Tables):
 
 
 @register("seed_dimension", "A07", """
+, seeds AS (
+  SELECT 1 AS id, 'Piura' AS ciudad, CAST(-5.1833 AS DOUBLE) AS latitud, CAST(-80.6 AS DOUBLE) AS longitud
+  UNION ALL SELECT CAST(max(id) + 1 AS INTEGER), 'Piura', CAST(-5.1833 AS DOUBLE), CAST(-80.6 AS DOUBLE) FROM ciudades
+  UNION ALL SELECT CAST(max(id) + 2 AS INTEGER), min(ciudad), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE) FROM ciudades)
 SELECT * FROM ciudades UNION ALL
-SELECT * FROM (SELECT 1 AS id, 'Piura' AS ciudad, CAST(-5.1833 AS DOUBLE) AS latitud,
-                      CAST(-80.6 AS DOUBLE) AS longitud) s
+SELECT * FROM seeds s
 WHERE s.id NOT IN (SELECT id FROM ciudades) AND s.ciudad NOT IN (SELECT ciudad FROM ciudades)""")
 def q_seed_dimension(t: Tables):
-    """INSERT IGNORE of the seed station into the station table."""
-    return tb.seed_dimension(t.ciudades, tb.seed_rows(t.spark))
+    """INSERT IGNORE of seed stations: a known id, a new station, a known name."""
+    def seed(ahead: int, name, lat: float, lon: float) -> DataFrame:
+        return t.ciudades.agg((F.max("id") + ahead).cast("int").alias("id"), name.alias("ciudad"),
+                              F.lit(lat).alias("latitud"), F.lit(lon).alias("longitud"))
+    seeds = tb.seed_rows(t.spark).unionByName(seed(1, F.lit("Piura"), -5.1833, -80.6)).unionByName(
+        seed(2, F.min("ciudad"), 0.0, 0.0))
+    return tb.seed_dimension(t.ciudades, seeds)
 
 
 def nation_candidates(t: Tables) -> DataFrame:
@@ -343,6 +351,13 @@ def q_unsigned_guard(t: Tables):
     return cl.unsigned_violations(t.predic)
 
 
+@register("unsigned_guard_accepted", "B16", """
+SELECT id, time, tmax, tmin - 5.0 AS tmin, tavg FROM predic WHERE tmin - 5.0 >= 0 AND tmax >= 0 AND tavg >= 0""")
+def q_unsigned_guard_accepted(t: Tables):
+    """Rows that a store of unsigned values takes, of forecasts moved down by 5 degrees."""
+    return cl.unsigned_guard(t.predic.withColumn("tmin", F.col("tmin") - 5.0))
+
+
 # --- C. joins and integrity ----------------------------------------------------
 
 @register("find_duplicates", "C01", f", {BATCH_SQL} SELECT * FROM dups")
@@ -396,11 +411,51 @@ CONSTRAINT_SQL = " UNION ALL ".join([
 ])
 
 
+# the stored tables hold no violation: copies with some of each kind are checked beside them
+DAMAGED_SQL = """, xc AS (SELECT * FROM ciudades UNION ALL SELECT id, repeat(ciudad, 9), latitud, NULL FROM ciudades WHERE id <= 2
+                 UNION ALL SELECT id + 500, ciudad, latitud, longitud FROM ciudades WHERE id = 3),
+xm AS (SELECT id_ciudad, time FROM clima UNION ALL SELECT id_ciudad, time FROM clima WHERE day(time) = 1
+       UNION ALL SELECT id_ciudad + 1000, time FROM clima WHERE day(time) = 2
+       UNION ALL SELECT NULL, time FROM clima WHERE day(time) = 3),
+xp AS (SELECT id, time, tmax, tmin - 5.0 AS tmin, tavg FROM predic
+       UNION ALL SELECT id, time, tmax, tmin, tavg FROM predic WHERE day(time) = 1
+       UNION ALL SELECT id + 1000, time, tmax, tmin, tavg FROM predic WHERE day(time) = 2
+       UNION ALL SELECT id, time + INTERVAL 9999 DAY, tmax, tmin, NULL FROM predic WHERE day(time) = 3) """
+
+
+def _damaged_sql(sql: str) -> str:
+    for stored_name, copy in (("ciudades", "xc"), ("clima", "xm"), ("predic", "xp")):
+        sql = sql.replace(f"FROM {stored_name} ", f"FROM {copy} ").replace(f"FROM {stored_name})", f"FROM {copy})")
+    return sql.replace("FROM ciudades", "FROM xc").replace("FROM clima", "FROM xm").replace("FROM predic", "FROM xp")
+
+
+def damaged(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Copies of the stored tables with violations of every constraint."""
+    c, m, p = t.ciudades, t.clima.select("id_ciudad", "time"), t.predic.select("id", "time", "tmax", "tmin", "tavg")
+
+    def on(df, d):
+        return df.where(F.dayofmonth("time") == d)
+    c = c.unionByName(c.where("id <= 2").withColumns({"ciudad": F.repeat("ciudad", 9), "longitud": F.lit(None).cast("double")})
+                      ).unionByName(c.where("id = 3").withColumn("id", F.col("id") + 500))
+    m = m.unionByName(on(m, 1)).unionByName(on(m, 2).withColumn("id_ciudad", F.col("id_ciudad") + 1000)).unionByName(
+        on(m, 3).withColumn("id_ciudad", F.lit(None).cast("int")))
+    p = p.withColumn("tmin", F.col("tmin") - 5.0).unionByName(on(p, 1)).unionByName(
+        on(p, 2).withColumn("id", F.col("id") + 1000)).unionByName(
+        on(p, 3).withColumns({"time": F.col("time") + F.expr("INTERVAL 9999 DAY"), "tavg": F.lit(None).cast("double")}))
+    return c, m, p
+
+
 @register("constraint_violations", "C05", CONSTRAINT_SQL)
 def q_constraint_violations(t: Tables):
     return ig.constraint_violations(t.ciudades, t.clima, t.predic)
 
 
+@register("constraint_violations_found", "C05", DAMAGED_SQL + _damaged_sql(CONSTRAINT_SQL), materialize=True)
+def q_constraint_violations_found(t: Tables):
+    """The same report over copies of the tables with violations of each kind."""
+    return ig.constraint_violations(*damaged(t))
+
+
 SEASON_GRID_SQL = """seasons AS (SELECT * FROM (VALUES ('Verano', 0), ('Otoño', 1), ('Invierno', 2), ('Primavera', 3))
                    s(estacion, season_ord)),
 sd AS (SELECT id_ciudad, dia, estacion, round(avg(tmax), 6) AS tmax, round(avg(tmin), 6) AS tmin,
