@@ -216,4 +216,40 @@ def q_run_daily(t: Tables):
     return catchup_forecasts(t, d, d.fit(SERVING_MODEL), obs)
 
 
+def persistence(win: DataFrame) -> DataFrame:
+    """Forecast rows that repeat the window's last day, 1 dp, halves to even."""
+    last = F.element_at("seq", -1)
+    return win.select(F.col("id_ciudad").cast("int").alias("id"), F.col("forecast_time").alias("time"),
+                      *[round_half_even(last[x], 1).alias(x) for x in TARGETS])
+
+
+_LAST_SQL = """, x AS (SELECT *, row_number() OVER (PARTITION BY id_ciudad ORDER BY time) - 1 AS i,
+                             count(*) OVER (PARTITION BY id_ciudad) AS n FROM clima)"""
+_REPEAT_SQL = """SELECT x.id_ciudad AS id, x.time + INTERVAL 1 DAY AS time, round_even(x.tmax, 1) AS tmax,
+       round_even(x.tmin, 1) AS tmin, round_even(x.tavg, 1) AS tavg FROM x"""
+
+
+@register("forecast_next_day_persistence", "L08", f"{_LAST_SQL} {_REPEAT_SQL} WHERE i = n - 1 AND n >= {T}",
+          materialize=True)
+def q_forecast_next_day_persistence(t: Tables):
+    """``forecast_next_day`` with the forecaster that repeats the last day."""
+    return persistence(sq.serving_windows(feat(t), REDUCED_FEATURES, T))
+
+
+@register("process_forecasts_persistence", "K03", f"""{_LAST_SQL},
+lo AS (SELECT id_ciudad AS id, max(time) AS last_obs FROM clima GROUP BY 1),
+lf AS (SELECT id, max(time) AS last_fc FROM predic GROUP BY 1),
+b AS (SELECT lo.id, CASE WHEN last_fc IS NULL THEN 0 ELSE date_diff('day', last_fc, last_obs) END AS d
+      FROM ciudades c JOIN lo ON c.id = lo.id LEFT JOIN lf ON lf.id = lo.id)
+{_REPEAT_SQL} JOIN b ON b.id = x.id_ciudad
+WHERE b.d >= 0 AND i >= n - 1 - d AND i >= {T} - 1
+  AND NOT EXISTS (SELECT 1 FROM predic p WHERE p.id = x.id_ciudad AND p.time = x.time + INTERVAL 1 DAY)""",
+          materialize=True)
+def q_process_forecasts_persistence(t: Tables):
+    """``process_forecasts`` with the forecaster that repeats the last day."""
+    behind = sq.days_behind(t.clima, t.predic, t.ciudades)
+    new = persistence(sq.catchup_windows(feat(t), behind, REDUCED_FEATURES, T))
+    return new.join(t.predic.select("id", "time"), ["id", "time"], "left_anti")
+
+
 __all__ = ["MLData", "score_windows"]
