@@ -418,6 +418,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # missed one leader meet another, which is cheaper than meeting each other
     for turn in range(LEADER_TURNS):
         open_lists = still_mixed(open_lists.select("key", "node", "n", "big"), found, "open_lists")
+        if open_lists.isEmpty():
+            break
         leaders = open_lists.groupBy("key", "big").agg(F.min_by(
             F.struct("node", "n", "root"), F.xxhash64("node", F.col("key") % 4, F.lit(turn))).alias("lead"))
         again = open_lists.join(leaders, ["key", "big"]).filter(
@@ -427,14 +429,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         found = linked_too(found, verified(again))
         met = met.union(again)
 
-    # what is left: pairs across components
-    open_lists = still_mixed(open_lists.select("key", "node", "n", "big"), found, "open_lists")
+    # what is left: pairs across components (an empty frame where nothing is)
+    if not open_lists.isEmpty():
+        open_lists = still_mixed(open_lists.select("key", "node", "n", "big"), found, "open_lists")
     a, b = open_lists.alias("a"), open_lists.alias("b")
     pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.big") == F.col("b.big"))
                    & (F.col("a.root") < F.col("b.root")) & _sizes_fit("a.n", "b.n")
                    & (~F.col("a.big") | (F.greatest("a.n", "b.n") > small))).select(
         F.col("a.node").alias("a"), F.col("b.node").alias("b"))
-    final = linked_too(found, verified(_ordered(pairs).join(met, ["a", "b"], "left_anti")))
+    final = found if open_lists.isEmpty() else linked_too(
+        found, verified(_ordered(pairs).join(met, ["a", "b"], "left_anti")))
 
     # first member of a component; nodes without links stand for themselves
     one = one.select("node", "first")
