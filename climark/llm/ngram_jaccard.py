@@ -47,7 +47,7 @@ SCAN_COST = 1.0               # of a member met in a list, against a listed row
 LEADER_TURNS = 2              # further leaders of lists with several components, before pairs across them
 HOT = 5000                    # rows of a list from which it is salted
 BROADCAST_IDS = 1_000_000     # document ids that may be broadcast (8 MB)
-CHUNK = 4 << 20               # bytes of text hashed at once (one text at least)
+CHUNK = 1 << 20               # bytes of text hashed at once (one text at least)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _SPACE = np.isin(np.arange(256), [0x20, 9, 10, 11, 12, 13])
