@@ -8,7 +8,16 @@ its training texts, each text scaled to length one.  A text gets the language
 whose prototype has the largest cosine with its vector, after taking the mean
 prototype off both (what all languages share tells none apart).
 
-Texts are lower-cased; letters stay, everything else is one blank.  Whole texts
+The best of several centred cosines is never below 0, so rejecting needs a floor
+above that.  A text like no language has a random vector, whose cosines scatter
+around 0 by 1/sqrt(DIM) however long it is: the least floors are three times that
+(from 32 distinct trigrams) and four times (from 64).  ``calibrate`` sets the floor of each class of texts (by distinct trigrams, in
+powers of two) to half the cosine that all but ``SPARED`` of the class's training
+texts reach with their own language, where that is more.  Texts of fewer than 32
+distinct trigrams have no least floor: real ones reach no more than noise.
+
+Texts are lower-cased; letters stay (those above U+FFFF by codes that no letter
+has), everything else is one blank.  Whole texts
 count.  Training counts trigrams by language over all training rows and adds
 up their vectors by task and dimension; only the prototypes (languages x DIM
 numbers) reach the driver.
@@ -25,7 +34,7 @@ from __future__ import annotations
 import functools
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +46,13 @@ from climark.llm.common import held_out
 
 DIM = 1024
 UNDECIDED = "und"
-MIN_SCORE = 0.5        # below (a negative cosine) a text is unlike every language
-_CODES = 1 << 16       # letters above count as their code point modulo this
+NOISE = 1 / DIM ** 0.5 # spread of the cosines of a text like no language
+LEAST = ((64, 4), (32, 3), (1, 0))   # distinct trigrams, least floor in NOISE
+SPARED = 0.01          # share of a class's training texts left out of its floor
+CLASS_ROWS = 100       # training texts from which a class has a floor of its own
+_CLASSES, _BINS = 32, 200
+_CODES = 1 << 16
+_UNUSED, _N_UNUSED = 0xD800, 0x2100   # surrogates and private use: codes of the letters above U+FFFF
 _KEPT = 60_000         # trigram vectors that a worker keeps (one byte per dimension)
 
 
@@ -94,14 +108,24 @@ def _fold() -> np.ndarray:
 _FOLD: list[np.ndarray] = []
 
 
+def _high_letter(point: int) -> int:
+    """Code of a letter above U+FFFF, 0 for what is no letter (emoji)."""
+    ch = chr(point)
+    low = ch.lower()
+    return _UNUSED + ord(low if len(low) == 1 else ch) % _N_UNUSED if ch.isalpha() else 0
+
+
 def letters(text: str | None) -> np.ndarray:
     """Lower-case letters as numbers with one 0 for each stretch between words."""
     if not _FOLD:
         _FOLD.append(_fold())
     points = np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
-    if len(points) and points.max() >= _CODES:
-        points = np.where(points < _CODES, points, 0)   # emoji and rare scripts: blanks
-    codes = np.concatenate([[0], _FOLD[0].take(points), [0]])
+    codes = _FOLD[0].take(points, mode="clip")
+    high = np.flatnonzero(points >= _CODES)
+    if len(high):
+        found, at = np.unique(points[high], return_inverse=True)
+        codes[high] = np.array([_high_letter(c) for c in found.tolist()], np.int64)[at]
+    codes = np.concatenate([[0], codes, [0]])
     keep = np.concatenate([[True], (codes[1:] != 0) | (codes[:-1] != 0)])
     return codes[keep]
 
@@ -114,9 +138,16 @@ def trigrams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return np.unique((codes[:-2] * _CODES + codes[1:-1]) * _CODES + codes[2:], return_counts=True)
 
 
+def size_class(n_distinct: int) -> int:
+    return min(int(n_distinct).bit_length() - 1, _CLASSES - 1)
+
+
 def text_vector(text: str | None) -> np.ndarray | None:
     """Unit vector of a text, None if it has no letter."""
-    keys, counts = trigrams(text)
+    return _bundle(*trigrams(text))
+
+
+def _bundle(keys: np.ndarray, counts: np.ndarray) -> np.ndarray | None:
     if not len(keys):
         return None
     # einsum: a plain loop, where a matrix library would start threads in every task
@@ -130,25 +161,39 @@ class Prototypes:
     languages: tuple
     vectors: np.ndarray     # unit rows around the mean
     mean: np.ndarray
+    floors: tuple = tuple(next(NOISE * x for n, x in LEAST if 2 ** k >= n) for k in range(_CLASSES))   # least cosine by size class
+
+    def cosines(self, text: str | None) -> tuple[np.ndarray | None, int]:
+        """Cosine with each language (None without a letter) and the text's size class."""
+        keys, counts = trigrams(text) if self.languages else ((), ())
+        if not len(keys):
+            return None, 0
+        off = _bundle(keys, counts) - self.mean
+        length = float(np.sqrt((off.astype(np.float64) ** 2).sum()))
+        return (self.vectors @ off).astype(np.float64) / (length or 1.0), size_class(len(keys))
 
-    def judge(self, text: str | None) -> tuple[str, float, float]:
-        """(language, score, lead over the second); the score maps the cosine to 0..1."""
-        vector = text_vector(text) if self.languages else None
-        if vector is None:
+    def judge(self, text: str | None, reject: bool = False) -> tuple[str, float, float]:
+        """(language, score, lead over the second); the score maps the cosine to 0..1.
+        With ``reject`` a text below the floor of its class is undecided."""
+        cosines, size = self.cosines(text)
+        if cosines is None:
             return UNDECIDED, 0.0, 0.0
-        off = vector - self.mean
-        length = float(np.sqrt((off.astype(np.float64) ** 2).sum()))
-        cosines = (self.vectors @ off).astype(np.float64) / (length or 1.0)
         best = int(np.argmax(cosines))
+        if reject and cosines[best] < self.floors[size]:
+            return UNDECIDED, 0.0, 0.0
         others = np.delete(cosines, best)
         lead = float(cosines[best] - others.max()) if len(others) else 1.0
         return self.languages[best], float(min(1.0, max(0.0, (cosines[best] + 1) / 2))), lead
 
 
+def _training(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    return docs.filter(~held_out(F.col(id_col)) & F.col(lang_col).isNotNull()).select(
+        F.col(lang_col).cast("string"), F.col(text_col).cast("string"))
+
+
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Prototypes:
     """Prototypes from all rows with a language outside the held-out fold."""
-    rows = docs.filter(~held_out(F.col(id_col)) & F.col(lang_col).isNotNull()).select(
-        F.col(lang_col).cast("string"), F.col(text_col).cast("string"))
+    rows = _training(docs, id_col, text_col, lang_col)
 
     def bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict = {}
@@ -180,15 +225,46 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     return Prototypes(languages, off.astype(np.float32), mean.astype(np.float32))
 
 
-def identify(docs: DataFrame, prototypes: Prototypes, text_col: str = "text") -> DataFrame:
-    """``docs`` with lang_pred, score (0 to 1) and lead (of the best cosine over the second)."""
+def calibrate(prototypes: Prototypes, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+              lang_col: str = "lang") -> Prototypes:
+    """``prototypes`` with floors from the cosines of all training rows with their own
+    language; classes of fewer than ``CLASS_ROWS`` rows keep the floor they have."""
+    shared = docs.sparkSession.sparkContext.broadcast(prototypes)
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, counts = shared.value, np.zeros((_CLASSES, _BINS + 1), np.int64)
+        at = {lang: k for k, lang in enumerate(known.languages)}
+        for batch in batches:
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                cosines, size = known.cosines(text)
+                if cosines is not None and lang in at:
+                    counts[size, int(max(0.0, min(1.0, cosines[at[lang]])) * _BINS)] += 1
+        size, cell = counts.nonzero()
+        yield pa.RecordBatch.from_pydict({"size": pa.array(size, pa.int32()), "bin": pa.array(cell, pa.int32()),
+                                          "n": pa.array(counts[size, cell], pa.int64())})
+
+    counts = np.zeros((_CLASSES, _BINS + 1), np.int64)
+    found = _training(docs, id_col, text_col, lang_col).mapInArrow(tally, "size int, bin int, n long")
+    for size, cell, n in found.groupBy("size", "bin").agg(F.sum("n")).collect():
+        counts[size, cell] = n
+    floors = list(prototypes.floors)
+    for k, own in enumerate(counts):
+        if own.sum() >= CLASS_ROWS:
+            reached = int(np.argmax(own.cumsum() > SPARED * own.sum())) / _BINS
+            floors[k] = max(floors[k], reached / 2)
+    return replace(prototypes, floors=tuple(floors))
+
+
+def identify(docs: DataFrame, prototypes: Prototypes, text_col: str = "text", reject: bool = False) -> DataFrame:
+    """``docs`` with lang_pred, score (0 to 1) and lead (of the best cosine over the
+    second); with ``reject`` texts below the floor of their class are ``und``."""
     names = ("lang_pred", "score", "lead")
     kept = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in names])
     at = [c.lower() for c in kept.columns].index(text_col.lower())
     shared = docs.sparkSession.sparkContext.broadcast(prototypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        judge = shared.value.judge
+        judge = functools.partial(shared.value.judge, reject=reject)
         for batch in batches:
             lang, score, lead = zip(*map(judge, batch.column(at).cast(pa.string()).to_pylist())) if batch.num_rows \
                 else ((), (), ())
@@ -202,9 +278,8 @@ def identify(docs: DataFrame, prototypes: Prototypes, text_col: str = "text") ->
     return kept.mapInArrow(run, schema)
 
 
-def keep_identified(docs: DataFrame, prototypes: Prototypes, text_col: str = "text",
-                    min_score: float = MIN_SCORE) -> DataFrame:
-    """``docs`` without the texts that are ``und`` or score below ``min_score``."""
+def keep_identified(docs: DataFrame, prototypes: Prototypes, text_col: str = "text") -> DataFrame:
+    """``docs`` without the texts that are ``und`` or below the floor of their class."""
     rows = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("_text"))
-    judged = identify(rows, prototypes, "_text")
-    return judged.filter((F.col("lang_pred") != UNDECIDED) & (F.col("score") >= min_score)).select("row.*")
+    judged = identify(rows, prototypes, "_text", reject=True)
+    return judged.filter(F.col("lang_pred") != UNDECIDED).select("row.*")

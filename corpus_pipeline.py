@@ -12,16 +12,16 @@ from pyspark.sql import functions as F
 
 from climark.llm.common import stored, table
 from climark.llm.decontaminate import clean
-from climark.llm.language_id import keep_identified, learn
+from climark.llm.language_id import calibrate, keep_identified, learn
 from climark.llm.ngram_jaccard import first_of_groups
 from climark.llm.pack_sequences import pack_documents
 from climark.llm.secret_scan import scan_secrets
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language the profiles recognise; the profiles learn from
-    the rows at hand, the held-out fold excepted."""
-    return keep_identified(docs, learn(docs))
+    """Documents whose language the profiles recognise; the profiles and the least
+    cosines learn from the rows at hand, the held-out fold excepted."""
+    return keep_identified(docs, calibrate(learn(docs), docs))
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

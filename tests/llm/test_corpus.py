@@ -128,6 +128,28 @@ def test_language_id_of_odd_texts_and_tables(spark):
     assert max(abs(np.dot(x.astype(int), y)) for x, y in itertools.combinations(vectors, 2)) < 0.2 * language_id.DIM
 
 
+def test_language_stage_rejects_noise_and_unlearnt_languages(spark):
+    docs = table(spark, "documents", SF_MID)
+    learnt = docs.where("lang <> 'fr'")
+    known = language_id.calibrate(language_id.learn(learnt), learnt)
+    rnd = random.Random(4)
+    noise = [(k, "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n)))
+             for k, n in enumerate([100, 300, 2000] * 20)]
+    finnish = (100, "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu "
+                    "järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.")
+    assert language_id.keep_identified(spark.createDataFrame([*noise, finnish], "doc_id long, text string"), known).count() <= 2
+    unlearnt = docs.where("lang = 'fr'")
+    assert language_id.keep_identified(unlearnt, known).count() < 0.05 * unlearnt.count()
+    assert language_id.keep_identified(learnt, known).count() >= 0.995 * learnt.count()
+
+
+def test_language_id_of_letters_above_the_basic_plane():
+    cjk, deseret = "\U00020000\U00020001", "\U00010400\U00010428"
+    assert len(language_id.letters(cjk + "\U0001F600" + cjk)) == 7 and len(set(language_id.letters(cjk))) == 3
+    low = language_id.letters(deseret)
+    assert low[1] == low[2] != 0 and not language_id.letters("\U0001F600").any()
+
+
 def test_quality_on_the_held_out_fold(spark):
     labels = table(spark, "labels", SF_MID)
     got = queries.op5_quality_classifier(spark, SF_MID).join(labels, "doc_id").where("held_out").collect()
