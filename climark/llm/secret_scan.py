@@ -3,12 +3,15 @@ entropy of sliding windows.
 
 Base spans come from three patterns (``assign``, ``access``, ``hex``).  The
 entropy pass takes every run of 20 or more key characters as a candidate,
-names its character class (hex, alpha, alnum, base64), slides a window of 20
+names its character class (hex, alpha for letters of one case, mixed for letters
+of both, alnum, base64), slides a window of 20
 characters over it and keeps the window's symbol counts up to date as one
 character enters and one leaves; windows at or above the class's threshold are
-merged to one ``entropy`` span.  An allow list suppresses candidates that are
-no secrets (UUIDs, digits only, alphabet runs, placeholders), and spans inside
-a base span are not reported twice.  Positions are code points, end exclusive.
+merged to one ``entropy`` span.  An allow list suppresses candidates that as a
+whole are no secrets (UUIDs, digits only, paths of which every segment is made of
+words).  Placeholders and alphabet runs suppress the windows that touch them; what
+is left on either side is scored on its own.  Spans inside a base span are not
+reported twice.  Positions are code points, end exclusive.
 
 Entropies are compared as integers (c * log2 c scaled by 2**20), so a window's
 value does not depend on the order of updates.
@@ -38,13 +41,17 @@ KINDS = ("assign", "access", "hex", "entropy")
 
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+# Words, camel case too, with up to four digits each, between dashes; may be empty.
+_WORDS = "(?:[A-Z]?[a-z]{2,}(?:[A-Z][a-z]{2,})*|[A-Z]{2,}|[A-Za-z])?[0-9]{0,4}"
+_SEGMENT = f"{_WORDS}(?:[_=-]+{_WORDS})*"
 ALLOW = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",  # UUID
     r"^[0-9_=/+-]+$",                                                                 # numbers, rulers
-    r"(?i)(example|placeholder|changeme|your[_-]?(key|token|secret)|x{6,}|0{8,})",    # placeholders
-    r"(?i)(abcdefghij|0123456789|qwertyuiop)",                                        # alphabet runs
-    r"(?i)(://|^/|/.*/.*/)",                                                          # paths
+    rf"^(?=/|.*/.*/.*/){_SEGMENT}(?:/{_SEGMENT})+$",                                  # paths
 )
+#: Placeholders and alphabet runs: candidates are cut there.
+STRETCH = (r"(?i)example|placeholder|changeme|your[_-]?(?:key|token|secret)|x{6,}|0{8,}"
+           r"|abcdefghijklmnopqrstuvwxyz|abcdefghij|0123456789|qwertyuiop")
 SCALE = 1 << 20
 
 
@@ -52,7 +59,7 @@ SCALE = 1 << 20
 class EntropyRules:
     """Window length and the least bits per character by class."""
     window: int = 20
-    bits: dict = field(default_factory=lambda: {"hex": 3.0, "alpha": 4.1, "alnum": 3.55, "base64": 3.75})
+    bits: dict = field(default_factory=lambda: {"hex": 3.0, "alpha": 3.8, "mixed": 3.9, "alnum": 3.55, "base64": 3.75})
 
 
 SPAN = "struct<start:int,kind:int,end:int>"
@@ -138,28 +145,49 @@ def hot_windows(candidate: Column, threshold: Column, window: int) -> Column:
     return let(entering, walk)
 
 
+def _pieces(candidate: Column) -> Column:
+    """(c, at): what ``STRETCH`` leaves of ``candidate`` and where it starts."""
+    def cut(matches: Column) -> Column:
+        between = F.split(candidate, STRETCH, -1)
+        starts = F.concat(F.array(F.lit(0)), F.transform(_located(between, matches), lambda s: s["end"]))
+        return F.when(F.size(matches) == 0, F.array(F.struct(candidate.alias("c"), F.lit(0).alias("at")))).otherwise(
+            F.arrays_zip(between.alias("c"), starts.alias("at")))
+
+    return let(F.regexp_extract_all(candidate, F.lit(STRETCH), F.lit(0)), cut)
+
+
 def _entropy_spans(text: Column, base: Column, rules: EntropyRules) -> Column:
     none = F.array().cast(f"array<{SPAN}>")
 
     def threshold(c: Column) -> Column:
         bits = {k: F.lit(round(v * SCALE)) for k, v in rules.bits.items()}
-        return (F.when(c.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), bits["hex"]).when(c.rlike("^[A-Za-z]+$"), bits["alpha"])
+        return (F.when(c.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), bits["hex"])
+                .when(c.rlike("^(?:[A-Z]?[a-z]+|[A-Z]+)$"), bits["alpha"]).when(c.rlike("^[A-Za-z]+$"), bits["mixed"])
                 .when(c.rlike("^[A-Za-z0-9]+$"), bits["alnum"]).otherwise(bits["base64"]))
 
-    def judge(x: Column) -> Column:
-        allowed = F.lit(False)
+    def allowed(c: Column) -> Column:
+        out = F.lit(False)
         for pattern in ALLOW:
-            allowed = allowed | x["c"].rlike(pattern)
-        inside = F.exists(base, lambda b: (b["start"] <= x["s"]["start"]) & (b["end"] >= x["s"]["end"]))
+            out = out | c.rlike(pattern)
+        return out
+
+    def judge(x: Column) -> Column:
+        end = x["start"] + F.length(x["c"])
+        inside = F.exists(base, lambda b: (b["start"] <= x["start"]) & (b["end"] >= end))
         hot = let(hot_windows(x["c"], threshold(x["c"]), rules.window), lambda h: F.when(
-            h["first"].isNotNull(), F.struct((x["s"]["start"] + h["first"]).alias("start"),
+            h["first"].isNotNull(), F.struct((x["start"] + h["first"]).alias("start"),
                                              F.lit(KINDS.index("entropy")).alias("kind"),
-                                             (x["s"]["start"] + h["last"] + rules.window).alias("end"))))
-        return F.when(~inside & ~allowed, hot)
+                                             (x["start"] + h["last"] + rules.window).alias("end"))))
+        return F.when(~inside & (F.length(x["c"]) >= rules.window) & ~allowed(x["c"]), hot)
+
+    def cut(x: Column) -> Column:
+        return F.transform(_pieces(x["c"]), lambda p: F.struct(
+            p["c"].alias("c"), (x["s"]["start"] + p["at"]).alias("start")))
 
     def found(candidates: Column) -> Column:
         located = F.arrays_zip(candidates.alias("c"), _located(F.split(text, CANDIDATE, -1), candidates).alias("s"))
-        return F.filter(F.transform(located, judge), lambda s: s.isNotNull() & ~F.exists(
+        pieces = F.flatten(F.transform(F.filter(located, lambda x: ~allowed(x["c"])), cut))
+        return F.filter(F.transform(pieces, judge), lambda s: s.isNotNull() & ~F.exists(
             base, lambda b: (b["start"] <= s["start"]) & (b["end"] >= s["end"])))
 
     return let(F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)),

@@ -2,6 +2,8 @@
 
 import hashlib
 import math
+import random
+import string
 
 from climark.llm.quality_rules import LineRules, clean_lines
 from climark.llm.secret_scan import scan_secrets
@@ -85,6 +87,26 @@ def test_entropy_of_sliding_windows(spark):
     assert r.spans == f"entropy:{hot[0]}:{hot[-1] + 20}"
 
 
+def test_entropy_of_long_keys_paths_and_placeholders(spark):
+    rnd = random.Random(6)
+    base64, lower = string.ascii_letters + string.digits + "+/", string.ascii_lowercase
+    keys = ["".join(rnd.choices(base64, k=n)) for n in (40, 64, 100, 200, 400, 1600) for _ in range(20)]
+    keys += ["/" + k[1:] for k in keys[:20]]
+    rows = scan_secrets(docs(spark, [(1, "key " + k + " end") for k in keys])).collect()
+    for r, k in zip(rows, keys):
+        assert r.n_entropy == 1 and len(r.redacted_text) < 8 + 8 + 20, (k, r.spans)
+    letters = [(k, "".join(rnd.choices(lower, k=40))) for k in range(40)]
+    assert sum(r.n_entropy for r in scan_secrets(docs(spark, letters)).collect()) > 30
+    key = "Zx8Qv3Lm9Tr2Wb7Ny4Kc1Pd6"
+    r = scan_secrets(docs(spark, [(1, key + "xxxxxxxx" + key)])).first()
+    assert r.spans == "entropy:0:24,entropy:32:56" and r.redacted_text == "[SECRET]xxxxxxxx[SECRET]"
+    plain = ["/usr/local/lib/python3/site-packages/numpyCore", "src/main/java/AbstractFactory/readme_v2",
+             "your_key_example_placeholder", base64, "xxxxxxxxxxxxxxxxxxxxxxxxxxxxxx", "0000000012345678901234567890",
+             "Rechtsschutzversicherungsgesellschaften", "antidisestablishmentarianism"]
+    for r in scan_secrets(docs(spark, [(1, p) for p in plain])).collect():
+        assert r.n_entropy == 0, r.redacted_text
+
+
 def test_no_python_in_the_native_plans(spark):
     for df in (clean_lines(small(spark)), scan_secrets(small(spark))):
         plan = df._jdf.queryExecution().executedPlan().toString()
