@@ -6,7 +6,10 @@ speaker marker (``User:``, ``AI:``, ``Q:``, an unknown name, or none), whether
 the line before is blank, its length and whether it asks.  The model's tables are
 counted from transcripts of known roles (add-one smoothing), Viterbi finds the
 likeliest states, and the turns are rendered canonically:
-``<|role|>`` + line break + text + ``<|end|>``, one after another.
+``<|role|>`` + line break + text + ``<|end|>``, one after another.  Only a line that
+begins a turn loses its marker, and only one of the turn's own role; all other
+lines, and blank lines within a turn, stay as they are.  Blank lines at the ends
+of a turn are separators.
 
 Counting is one aggregation to tables of bounded size; parsing is one pass, row
 by row.
@@ -42,7 +45,7 @@ _MARKERS = {
     "assistant": "assistant ai bot a answer agent model".split(),
 }
 _KNOWN = {name: role for role, names in _MARKERS.items() for name in names}
-_MARKER = re.compile(r"^\s*(?:\*\*|\[|<\|?|#+\s*)?([A-Za-z][A-Za-z ]{0,18}?)(?:\*\*|\]|\|?>)?\s*(?::|>|-{1,2}(?=\s))(?:\*\*)?\s*")
+_MARKER = re.compile(r"^\s*(?:\*\*|\[|<\|?|#+\s*)?([A-Za-z][A-Za-z ]{0,18}?)(?:\*\*|\]|\|?>)?\s*(?::|>|-{1,2}(?=\s))(?:\*\*)?[ \t]?")
 KINDS = ("none", "system", "user", "assistant", "name")
 SEEN = (len(KINDS), 2, 4, 2)          # marker, blank line before, length, question
 
@@ -66,18 +69,20 @@ def split_marker(line: str) -> tuple[str, str]:
     return (role, line[found.end():]) if role else ("name", line)
 
 
-def observations(text: str | None) -> tuple[list[str], np.ndarray]:
-    """Lines with a character that is no space, without markers, and what is seen of each."""
-    kept, seen, blank = [], [], 1
+def observations(text: str | None) -> tuple[list[tuple[list[str], str]], np.ndarray]:
+    """Lines with a character that is no space, each behind the blank lines before
+    it, and what is seen of each."""
+    kept, seen, blank = [], [], []
     for line in (text or "").split("\n"):
         if not line.strip():
-            blank = 1
+            blank.append(line)
             continue
         kind, rest = split_marker(line)
         n = len(rest.split())
-        kept.append(rest)
-        seen.append((KINDS.index(kind), blank, (n > 4) + (n > 12) + (n > 40), int(rest.rstrip()[-1:] == "?")))
-        blank = 0
+        seen.append((KINDS.index(kind), int(bool(blank) or not kept), (n > 4) + (n > 12) + (n > 40),
+                     int(rest.rstrip()[-1:] == "?")))
+        kept.append((blank, line))
+        blank = []
     return kept, np.array(seen, np.int64).reshape(-1, len(SEEN))
 
 
@@ -118,11 +123,13 @@ def turns(text: str | None, model: Model) -> list[tuple[str, str]]:
     """(role, text) of the turns of a transcript."""
     lines, seen = observations(text)
     out: list[tuple[str, list[str]]] = []
-    for line, state in zip(lines, model.viterbi(seen)):
+    for (blank, line), state in zip(lines, model.viterbi(seen)):
         role, begins = STATES[state]
         if begins or not out:
-            out.append((role, []))
-        out[-1][1].append(line)
+            kind, rest = split_marker(line)
+            out.append((role, [rest if kind == role else line]))
+        else:
+            out[-1][1].extend([*blank, line])
     return [(role, "\n".join(own)) for role, own in out]
 
 
@@ -130,6 +137,12 @@ def render(parsed: list[tuple[str, str]]) -> str:
     return "".join(f"<|{role}|>\n{text}<|end|>\n" for role, text in parsed)
 
 
+def within(lines: list[str]) -> list[str]:
+    """``lines`` without the blank ones at both ends."""
+    full = [k for k, line in enumerate(lines) if line.strip()]
+    return lines[full[0]:full[-1] + 1] if full else []
+
+
 def transcripts_of(conversations: DataFrame) -> DataFrame:
     """(conv_id, part, transcript, states): conversations written as plain text
     in one of ``STYLES``, some markers lost; states are the true ones by line."""
@@ -149,11 +162,11 @@ def transcripts_of(conversations: DataFrame) -> DataFrame:
                     role = t["role"] if t["role"] in ROLES else "user"
                     lost = k and zlib.crc32(f"{conv}/{t['turn']}".encode()) % 100 < MARKER_LOST_PERCENT
                     begins = True
-                    for line in (t["text"] or "").split("\n"):
+                    for line in within((t["text"] or "").split("\n")):
+                        lines.append((style[role] if begins and not lost else "") + line)
                         if line.strip():
-                            lines.append((style[role] if begins and not lost else "") + line)
                             truth.append(STATES.index((role, begins)))
-                            begins = False
+                        begins = False
                     lines.append("")
                 texts.append("\n".join(lines))
                 states.append(truth)

@@ -201,6 +201,32 @@ def test_chats_recover_roles(spark):
     written.unpersist()
 
 
+def test_chats_keep_every_line_of_the_source_turns(spark):
+    later = ["Note: use it", "a > b", "A: not a turn", "Question: which one?", "https://x.y", "  def f: pass", "me - I think", "",
+             "Context: none", "Answer: 42"]
+    first = ["hello there, can you help me", "  indented words come first here", "well - I think so", "of course I can"]
+    rows = [(c, t, ("user", "assistant")[t % 2], "\n".join([first[(c + t) % 4], *([later[(c + t) % 10], "the last line of it"]
+             if (c + t) % 3 else [])])) for c in range(200) for t in range(6)]
+    source: dict = {}
+    for c, t, role, text in rows:
+        source.setdefault(c, []).append((role, text))
+    written = chat_format.transcripts_of(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string"))
+    model = chat_format.learn(written)
+    right = 0
+    for r in chat_format.format_chats(written, model).collect():
+        if model.viterbi(chat_format.observations(r.transcript)[1]) == list(r.states):
+            right += 1
+            assert r.chat == chat_format.render(source[r.conv_id])
+    assert right > 150
+    table_rows = [r for r in table(spark, "conversations", SF_MID).orderBy("conv_id", "turn").collect()]
+    words = {}
+    for r in table_rows:
+        words.setdefault(r.conv_id, []).append(r.text)
+    written = chat_format.transcripts_of(table(spark, "conversations", SF_MID))
+    for r in chat_format.format_chats(written, model).where("part = 0").collect():
+        assert all(line in r.chat for text in words[r.conv_id] for line in (text or "").split("\n"))
+
+
 def test_pipeline_against_brute_force_stages(spark):
     docs = table(spark, "documents")
     extra = docs.limit(1).withColumn("doc_id", F.lit(9001).cast("long")).withColumn("text", F.lit("12 34"))
