@@ -1,8 +1,8 @@
 """Document quality by attention-based multiple-instance learning.
 
-A document is a bag of passages of ``PASSAGE_WORDS`` words (longer ones in
-documents of more than ``MAX_PASSAGES``, so whole texts are read and a bag stays
-small).  Every passage is encoded by a small network from its character and
+A document is a bag of passages of ``PASSAGE_WORDS`` words, whatever its length;
+whole texts are read, and a long bag is scored in chunks of ``MAX_PASSAGES`` with
+running sums of the softmax.  Every passage is encoded by a small network from its character and
 word statistics; gated attention, ``softmax(w . (tanh(V h) * sigmoid(U h)))``,
 weighs the passages, and the weighted sum of their encodings gives the score.
 Only document labels train it: encoder, attention and output together, by
@@ -10,11 +10,13 @@ Adam on the cross entropy.
 
 Training takes at most ``SAMPLE`` labelled rows outside the held-out fold (those
 with the smallest hash of doc_id), whose features are computed on the
-executors; only their bounded bags reach the driver.
+executors; of these rows the driver takes whole bags, by the same hash, up to
+``TRAIN_PASSAGES`` passages in all.
 
 Defined results for odd input: a null or empty text is one passage without
 words and gets a score like any other; null labels and null ids train nothing;
-a document with several labels counts with each; without labelled rows every
+a document with several labels counts with each; of rows that repeat a sampled
+doc_id the one with the smallest text trains; without labelled rows every
 score is 0.5; repeated rows are scored one by one; further columns are ignored
 by ``score``.
 """
@@ -22,7 +24,7 @@ by ``score``.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,11 +32,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from climark.llm.common import held_out
+from climark.llm.common import held_out, stored
 
 PASSAGE_WORDS = 64
-MAX_PASSAGES = 64
+MAX_PASSAGES = 64       # of a chunk
 SAMPLE = 6000
+TRAIN_PASSAGES = 1 << 18
+AT_ONCE = 1 << 14       # passages encoded together
 HIDDEN, ATTENTION = 24, 12
 EPOCHS, BATCH, RATE, DECAY = 30, 128, 0.01, 1e-4
 
@@ -46,13 +50,19 @@ _SPACE = re.compile("[\x20\x09-\x0D]+")
 
 
 def passages(text: str | None) -> np.ndarray:
-    """Features of the passages of a text, one row each."""
+    """Features of the first chunk of passages of a text, one row each."""
+    return next(chunks(text))
+
+
+def chunks(text: str | None) -> Iterator[np.ndarray]:
+    """Features of all passages of a text, at most ``MAX_PASSAGES`` rows at a time."""
     ws = (text or "").split()
     if not ws:
         row = np.zeros((1, FEATURES), np.float32)
         row[0, -1] = 1.0
-        return row
-    size = max(PASSAGE_WORDS, -(-len(ws) // MAX_PASSAGES))
+        yield row
+        return
+    size = PASSAGE_WORDS
     known: dict = {}
     ids = np.fromiter((known.setdefault(w, len(known)) for w in ws), np.int64, len(ws))
     again = np.zeros(len(ws))
@@ -71,7 +81,11 @@ def passages(text: str | None) -> np.ndarray:
         out.append([*shares, min(n / m, 40) / 10, len(set(part)) / m, again[k:k + size].mean(), same_lines,
                     sum(w[0].isupper() for w in part) / m, max(map(len, part)) / 40 if m else 0,
                     np.log1p(len(ws)) / 8, np.log1p(m) / 5, 0.0])
-    return np.minimum(np.array(out, np.float32), 8.0)
+        if len(out) == MAX_PASSAGES:
+            yield np.minimum(np.array(out, np.float32), 8.0)
+            out = []
+    if out:
+        yield np.minimum(np.array(out, np.float32), 8.0)
 
 
 @dataclass
@@ -80,24 +94,53 @@ class Model:
     scale: np.ndarray
     weights: dict
 
-    def score(self, bags: list[np.ndarray]) -> np.ndarray:
-        if not self.weights or not bags:
-            return np.full(len(bags), 0.5)
-        rows = (np.concatenate(bags) - self.mean) / self.scale
-        begin = np.concatenate([[0], np.cumsum([len(b) for b in bags])[:-1]])
-        return _forward(self.weights, rows, begin)[0]
+    def score(self, bags: Iterable[Iterable[np.ndarray]]) -> np.ndarray:
+        """Scores of bags, each given as its chunks."""
+        w, top, total, z, held, n_held = self.weights, [], [], [], [], 0
+
+        def flush():
+            rows = (np.concatenate([c for _, c in held]) - self.mean) / self.scale
+            begin = np.concatenate([[0], np.cumsum([len(c) for _, c in held])[:-1]])
+            group = np.repeat(np.arange(len(held)), [len(c) for _, c in held])
+            h, _, _, e = _encoded(w, rows)
+            most = np.maximum.reduceat(e, begin)
+            e = np.exp(e - most[group])
+            sums, own = np.add.reduceat(e, begin), np.add.reduceat(e[:, None] * h, begin, axis=0)
+            for j, (k, _) in enumerate(held):               # running softmax sums
+                new = max(top[k], most[j])
+                old, add = np.exp(top[k] - new), np.exp(most[j] - new)
+                top[k], total[k], z[k] = new, total[k] * old + sums[j] * add, z[k] * old + own[j] * add
+
+        for k, bag in enumerate(bags):
+            top.append(-np.inf), total.append(0.0), z.append(np.zeros(HIDDEN))
+            for chunk in bag if w else ():
+                held.append((k, chunk))
+                n_held += len(chunk)
+                if n_held >= AT_ONCE:
+                    flush()
+                    held, n_held = [], 0
+        if held:
+            flush()
+        if not w or not top:
+            return np.full(len(top), 0.5)
+        return _sigmoid(np.array(z) / np.array(total)[:, None] @ w["c"] + w["c0"])
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
+def _encoded(w: dict, rows: np.ndarray):
+    """Encodings of passages, both gates, and the attention before the softmax."""
+    h = np.tanh(rows @ w["We"] + w["be"])
+    t, s = np.tanh(h @ w["V"]), _sigmoid(h @ w["U"])
+    return h, t, s, (t * s) @ w["w"]
+
+
 def _forward(w: dict, rows: np.ndarray, begin: np.ndarray):
     """Scores of bags (rows from ``begin`` on) and what the gradient needs."""
     group = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(rows))))
-    h = np.tanh(rows @ w["We"] + w["be"])
-    t, s = np.tanh(h @ w["V"]), _sigmoid(h @ w["U"])
-    e = (t * s) @ w["w"]
+    h, t, s, e = _encoded(w, rows)
     e = np.exp(e - np.maximum.reduceat(e, begin)[group])
     a = e / np.add.reduceat(e, begin)[group]
     z = np.add.reduceat(a[:, None] * h, begin, axis=0)
@@ -155,17 +198,30 @@ def learn(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample
         F.col("_id").isNotNull() & F.col("_label").isin(0, 1) & ~held_out(F.col("_id"))).distinct()
     chosen = known.orderBy(F.xxhash64("_id"), "_id", "_label").limit(sample)      # bounded, so it may be broadcast
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text")).join(
-        F.broadcast(chosen), "_id")
+        F.broadcast(chosen), "_id").groupBy("_id", "_label").agg(F.min("_text").alias("_text"))
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = [passages(t).ravel() for t in batch.column(1).to_pylist()]
+            own = [np.concatenate(list(chunks(t))) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(own, pa.list_(pa.float32()))], names=["id", "label", "bag"])
-
-    found = rows.select("_id", "_text", "_label").mapInArrow(bags, "id long, label int, bag array<float>")
-    got = sorted(((r["id"], r["label"], r["bag"]) for r in found.limit(2 * sample).collect()))
-    return fit([np.array(b, np.float32).reshape(-1, FEATURES) for _, _, b in got], np.array([x for _, x, _ in got], float))
+                [batch.column(0), batch.column(2), pa.array(map(len, own), pa.int64()),
+                 pa.array([b.tobytes() for b in own], pa.binary())], names=["id", "label", "n", "bag"])
+
+    found = stored(rows.select("_id", "_text", "_label").mapInArrow(bags, "id long, label int, n long, bag binary"),
+                   "quality_bags")
+    sizes = found.select(F.xxhash64("id"), "id", "label", "n").collect()        # at most ``sample`` rows
+    room, last = TRAIN_PASSAGES, None
+    for h, i, label, n in sorted(map(tuple, sizes)):
+        room -= n
+        if room < 0:
+            break
+        last = (h, i, label)
+    if last is None:
+        return fit([], np.zeros(0))
+    upto = F.struct(*[F.lit(x).cast(t).alias(c) for x, c, t in zip(last, "hil", ("long", "long", "int"))])
+    within = F.struct(F.xxhash64("id").alias("h"), F.col("id").alias("i"), F.col("label").alias("l")) <= upto
+    got = sorted((r["id"], r["label"], bytes(r["bag"])) for r in found.where(within).collect())
+    return fit([np.frombuffer(b, np.float32).reshape(-1, FEATURES) for _, _, b in got], np.array([x for _, x, _ in got], float))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -175,7 +231,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            scores = [shared.value.score([passages(t) for t in texts[k:k + 512]]) for k in range(0, len(texts), 512)]
+            scores = [shared.value.score(map(chunks, texts[k:k + 512])) for k in range(0, len(texts), 512)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(np.concatenate([np.zeros(0), *scores]))], names=["doc_id", "score"])
 

@@ -175,6 +175,25 @@ def test_quality_gradient_and_odd_input(spark):
     assert len(quality_model.passages("w " * 20000)) <= quality_model.MAX_PASSAGES
 
 
+def test_quality_passages_have_one_length_at_every_size(spark):
+    rnd = random.Random(8)
+    text = " ".join("".join(rnd.choices("abcdeXYZ.,12", k=rnd.randint(1, 9))) for _ in range(20000))
+    own = list(quality_model.chunks(text))
+    assert [len(c) for c in own] == [64] * 4 + [57]
+    rows = np.concatenate(own)
+    assert np.allclose(rows[:-1, -2], np.log1p(64) / 5)
+    short = [np.concatenate(list(quality_model.chunks("word " * n))) for n in (1, 64, 65, 4096, 4097)]
+    assert [len(b) for b in short] == [1, 1, 2, 64, 65]
+    model = quality_model.fit([rows, *short], np.array([1.0, 0, 0, 1, 0, 1]))
+    whole = quality_model._forward(model.weights, (np.concatenate([rows, *short]) - model.mean) / model.scale,
+                                   np.cumsum([0, len(rows), *map(len, short[:-1])]))[0]
+    assert np.allclose(model.score([own, *([b[:40], b[40:]] if len(b) > 40 else [b] for b in short)]), whole)
+    docs, labels = table(spark, "documents").select("doc_id", "text"), table(spark, "labels")
+    once = quality_model.learn(docs, labels)
+    often = quality_model.learn(docs.union(docs).union(docs).union(docs.select("doc_id", F.lit("\U0010ffff").alias("text"))), labels)
+    assert np.array_equal(once.mean, often.mean) and np.array_equal(once.weights["We"], often.weights["We"])
+
+
 def test_chats_recover_roles(spark):
     written = chat_format.transcripts_of(table(spark, "conversations", SF_MID)).cache()
     model = chat_format.learn(written.filter(~held_out(F.col("conv_id"))))
