@@ -43,6 +43,11 @@ def test_multitarget_save_load_roundtrip(spark):
     assert a == b
 
 
+def test_comparison_has_every_candidate():
+    from climark.plans.queries_ml import ML_MODELS
+    assert ML_MODELS == list(REGRESSORS) and "Random Forest" in ML_MODELS
+
+
 def test_permutation_importance_sums_to_one(spark):
     win = windows(spark)
     mt = MultiTarget.fit(sq.flatten_window(win, FEATS), REGRESSORS["Linear Regression"])
