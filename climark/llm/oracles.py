@@ -84,3 +84,14 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 
 
 ORACLE["op10_quality_rules"] = _quality()
+
+ORACLE["op13_line_dedup"] = """
+WITH l AS (SELECT doc_id, line, p, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+           FROM (SELECT doc_id, unnest(x) AS line, unnest(range(len(x))) AS p
+                 FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents))),
+s AS (SELECT k, max(doc_id) AS keeper FROM l WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3),
+j AS (SELECT l.doc_id, l.line, l.p, s.k IS NOT NULL AND l.doc_id <> s.keeper AS gone FROM l LEFT JOIN s ON s.k = l.k)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM j GROUP BY doc_id"""

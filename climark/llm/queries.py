@@ -13,6 +13,7 @@ from climark.llm import chat_format, quality_model
 from climark.llm.common import held_out, stored, table
 from climark.llm.decontaminate import find_hits
 from climark.llm.language_id import identify, learn
+from climark.llm.line_dedup import deduplicate_lines
 from climark.llm.ngram_jaccard import jaccard_components
 from climark.llm.pack_sequences import pack_documents
 from climark.llm.quality_rules import clean_lines
@@ -90,3 +91,10 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     transcripts = stored(chat_format.transcripts_of(table(spark, sf_dir, "conversations")), "transcripts")
     model = chat_format.learn(transcripts.filter(~held_out(F.col("conv_id"))))
     return chat_format.format_chats(transcripts, model).select("conv_id", "part", "n_turns", "roles", "chat")
+
+
+@query
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return deduplicate_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2(
+        F.coalesce("kept_text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
