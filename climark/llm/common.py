@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import hashlib
+import functools
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,11 +47,20 @@ def small_side(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def share_join(rows: DataFrame, facts: DataFrame, on: list[tuple[str, str]], weight: str,
+               limit: int = 200_000) -> DataFrame:
+    """Inner join (nulls equal) of ``rows`` with ``facts``, a stored table of one row a key
+    whose column ``weight`` says how many of ``rows`` have the key.  Keys that hold at
+    least 1/``limit`` of them, at most ``limit`` keys, are broadcast; the others, bounded
+    in turn, meet in a shuffle.  ``on`` has pairs of column names, different on both sides."""
+    size = facts.agg(F.count(F.lit(1)).alias("keys"), F.sum(weight).alias("rows")).first()
+    least = 0 if size["keys"] <= limit else -(-size["rows"] // limit)
+    same = functools.reduce(Column.__and__, [F.col(f"`{a}`").eqNullSafe(F.col(f"`{b}`")) for a, b in on])
+    found = rows.join(F.broadcast(facts.filter(F.col(weight) >= least)), same)
+    return found if not least else found.unionByName(rows.join(facts.filter(F.col(weight) < least), same))
+
+
 def held_out(doc_id: Column, folds: int = 5) -> Column:
     """True for the fold kept from training: crc32(doc_id as text) mod folds = 0.
     A null id counts as the empty string (crc32 0), so it is held out."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds == 0
-
-
-def sha256_hex(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from climark.llm.common import stored
+from climark.llm.common import share_join, stored
 
 MIN_DOCS = 3
 MIN_CHARS = 20
@@ -98,10 +98,8 @@ def shared_keys(lines: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
 
 def lost_lines(lines: DataFrame, keys: DataFrame, broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
     """The rows of ``lines`` whose key is in ``keys`` and whose document is not its keeper."""
-    counts = keys.agg(F.count(F.lit(1)).alias("keys"), F.sum("n").alias("n")).first()
-    least = 0 if counts["keys"] <= broadcast_keys else -(-counts["n"] // broadcast_keys)
-    heavy = lines.join(F.broadcast(keys.filter(F.col("n") >= least)), ["h1", "h2"])
-    found = heavy if not least else heavy.unionByName(lines.join(keys.filter(F.col("n") < least), ["h1", "h2"]))
+    found = share_join(lines, keys.withColumnsRenamed({"h1": "key1", "h2": "key2"}), [("h1", "key1"), ("h2", "key2")],
+                       "n", broadcast_keys)
     return found.filter(~F.col("doc").eqNullSafe(F.col("keeper"))).select("doc", "text_hash", "pos")
 
 

@@ -95,3 +95,71 @@ j AS (SELECT l.doc_id, l.line, l.p, s.k IS NOT NULL AND l.doc_id <> s.keeper AS
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM j GROUP BY doc_id"""
+
+
+def _vector_codes(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Rounds of assignment and floor means over the parts' integer vectors."""
+    def nearest(n: int) -> str:
+        return f"""
+a{n} AS (SELECT v.n, v.part, v.v, arg_min(c.entry, {_distance}) AS entry, min({_distance}) // {entries} AS dist
+         FROM v JOIN c{n} c ON c.part = v.part GROUP BY v.n, v.part, v.v)"""
+
+    _distance = (f"list_sum([CAST((v.v[i] - c.v[i]) * (v.v[i] - c.v[i]) AS HUGEINT) FOR i IN range(1, len(v.v) + 1)])"
+                 f" * {entries} + c.entry")
+    steps = []
+    for n in range(rounds):
+        steps.append(nearest(n) + f""",
+m{n} AS (SELECT part, entry, list(x ORDER BY i) AS v
+         FROM (SELECT part, entry, i, CAST(floor(sum(x) / count(*)) AS BIGINT) AS x
+               FROM (SELECT part, entry, unnest(v) AS x, unnest(range(len(v))) AS i FROM a{n}) GROUP BY 1, 2, 3)
+         GROUP BY 1, 2),
+c{n + 1} AS (SELECT c.part, c.entry, coalesce(m.v, c.v) AS v
+             FROM c{n} c LEFT JOIN m{n} m ON m.part = c.part AND m.entry = c.entry)""")
+    steps.append(nearest(rounds))
+    return f"""
+WITH k AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS n, vec_id, label,
+                  [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e
+           FROM embeddings
+           WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+v AS (SELECT n, part, e[part * len(e) // {parts} + 1:(part + 1) * len(e) // {parts}] AS v
+      FROM (SELECT n, e, unnest(range({parts})) AS part FROM k)),
+c0 AS (SELECT part, n AS entry, v FROM v WHERE n < {entries}),{",".join(steps)},
+codes AS (SELECT n, string_agg(lpad(lower(to_hex(entry)), 2, '0'), '' ORDER BY part) AS code,
+                 CAST(sum(dist) AS BIGINT) AS error FROM a{rounds} GROUP BY n)
+SELECT k.vec_id, codes.code, codes.error, CAST(sum(codes.error) OVER (PARTITION BY k.label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) FROM c{rounds}) AS codebooks_sha256
+FROM k JOIN codes ON codes.n = k.n"""
+
+
+ORACLE["op11_vector_codes"] = _vector_codes()
+
+
+_CRC32 = ("xor(4294967295, list_reduce([CAST(4294967295 AS BIGINT)] || [CAST(ascii(ch) AS BIGINT) FOR ch IN "
+          "string_split(CAST(conv_id AS VARCHAR), '')], lambda crc, ch: list_reduce([xor(crc, ch)] || "
+          "[CAST(bit AS BIGINT) FOR bit IN range(8)], lambda r, bit: xor(r >> 1, 3988292384 * (r & 1)))))")
+
+ORACLE["op12_prefix_trie"] = rf"""
+WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS o,
+                  coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, n, conv_id - conv_id % 20 AS base, {_CRC32} % 4 AS h FROM (SELECT conv_id, count(*) AS n FROM t GROUP BY 1)),
+r AS (SELECT c.conv_id, t.o AS d, role, text FROM c JOIN t ON t.conv_id = c.base AND t.o <= c.h
+      UNION ALL
+      SELECT t.conv_id, t.o - c.h + least(c.h, coalesce(b.n, 0)), role, text
+      FROM t JOIN c ON c.conv_id = t.conv_id AND t.o > c.h LEFT JOIN c b ON b.conv_id = c.base),
+p AS (SELECT conv_id, d, len(regexp_extract_all(text, '{_SPACED}')) AS w,
+             md5(string_agg(md5(role) || md5(text), '') OVER (PARTITION BY conv_id ORDER BY d)) AS k,
+             d = max(d) OVER (PARTITION BY conv_id) AS last FROM r),
+q AS (SELECT *, coalesce(lag(k) OVER (PARTITION BY conv_id ORDER BY d), 'root') AS pk FROM p
+      UNION ALL SELECT conv_id, 0, 0, 'root', conv_id NOT IN (SELECT conv_id FROM r), NULL FROM c),
+g AS (SELECT k, any_value(d) AS d, any_value(pk) AS pk, min(conv_id) AS owner, count(*) AS n,
+             string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE last) AS ends FROM q GROUP BY k),
+kids AS (SELECT pk, count(*) AS n FROM g WHERE pk IS NOT NULL GROUP BY pk),
+-- of every member: the words that it holds again from here down, and whether it is the first at a childless end
+u AS (SELECT q.k, sum(CASE WHEN g.owner = q.conv_id THEN 0 ELSE q.w END) OVER down AS saved,
+             max(CASE WHEN q.last AND g.owner = q.conv_id AND kids.n IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY q.conv_id) AS leaf
+      FROM q JOIN g ON g.k = q.k LEFT JOIN kids ON kids.pk = q.k
+      WINDOW down AS (PARTITION BY q.conv_id ORDER BY q.d DESC)),
+s AS (SELECT k, CAST(sum(saved) AS BIGINT) AS saved, CAST(sum(leaf) AS BIGINT) AS leaves FROM u GROUP BY k)
+SELECT g.owner AS conv_id, CAST(g.d AS BIGINT) AS depth, up.owner AS parent_conv_id, g.n AS n_convs,
+       coalesce(kids.n, 0) AS n_children, s.leaves AS n_leaves, s.saved AS saved_tokens, sha256(coalesce(g.ends, '')) AS ends_sha256
+FROM g JOIN s ON s.k = g.k LEFT JOIN g up ON up.k = g.pk LEFT JOIN kids ON kids.pk = g.k"""

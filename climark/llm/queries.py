@@ -9,13 +9,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from climark.llm import chat_format, quality_model
+from climark.llm import chat_format, quality_model, vector_codes
 from climark.llm.common import held_out, stored, table
 from climark.llm.decontaminate import find_hits
 from climark.llm.language_id import identify, learn
 from climark.llm.line_dedup import deduplicate_lines
 from climark.llm.ngram_jaccard import jaccard_components
 from climark.llm.pack_sequences import pack_documents
+from climark.llm.prefix_trie import hashed_turns, numbered, prefix_trie, with_shared_heads
 from climark.llm.quality_rules import clean_lines
 from climark.llm.secret_scan import scan_secrets
 from climark.llm.token_counts import section_counts
@@ -98,3 +99,15 @@ def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return deduplicate_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2(
         F.coalesce("kept_text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
+@query
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings")).select(
+        "vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = numbered(hashed_turns(table(spark, sf_dir, "conversations")))
+    return prefix_trie(*with_shared_heads(turns))
