@@ -6,10 +6,11 @@ entropy pass takes every run of 20 or more key characters as a candidate,
 names its character class (hex, alpha for letters of one case, mixed for letters
 of both, alnum, base64), slides a window of 20
 characters over it and keeps the window's symbol counts up to date as one
-character enters and one leaves; windows at or above the class's threshold are
-merged to one ``entropy`` span.  An allow list suppresses candidates that as a
+character enters and one leaves; windows at or above the class's threshold that
+overlap or touch are one ``entropy`` span.  An allow list suppresses candidates that as a
 whole are no secrets (UUIDs, digits only, paths of which every segment is made of
-words).  Placeholders and alphabet runs suppress the windows that touch them; what
+words).  No pattern repeats a group: Java recurses for each such repeat, so one long
+text would end the executor.  Placeholders and alphabet runs suppress the windows that touch them; what
 is left on either side is scored on its own.  Spans inside a base span are not
 reported twice.  Positions are code points, end exclusive.
 
@@ -41,13 +42,9 @@ KINDS = ("assign", "access", "hex", "entropy")
 
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-# Words, camel case too, with up to four digits each, between dashes; may be empty.
-_WORDS = "(?:[A-Z]?[a-z]{2,}(?:[A-Z][a-z]{2,})*|[A-Z]{2,}|[A-Za-z])?[0-9]{0,4}"
-_SEGMENT = f"{_WORDS}(?:[_=-]+{_WORDS})*"
 ALLOW = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",  # UUID
     r"^[0-9_=/+-]+$",                                                                 # numbers, rulers
-    rf"^(?=/|.*/.*/.*/){_SEGMENT}(?:/{_SEGMENT})+$",                                  # paths
 )
 #: Placeholders and alphabet runs: candidates are cut there.
 STRETCH = (r"(?i)example|placeholder|changeme|your[_-]?(?:key|token|secret)|x{6,}|0{8,}"
@@ -104,13 +101,29 @@ def base_spans(text: Column) -> Column:
                                  _spans(text, "hex", HEX)))
 
 
+def path_of_words(candidate: Column) -> Column:
+    """True for a path (a slash first, or three) whose segments are words, camel case too, with up
+    to four digits each, between dashes; words may be empty."""
+    def words(piece: Column) -> Column:
+        return let(F.regexp_replace(piece, "[0-9]{1,4}$", ""), lambda w: (w == "") | w.rlike("^(?:[A-Z]+|[a-z])$") | (
+            w.rlike("^[A-Za-z]+$") & ~w.rlike("[A-Z](?![a-z]{2})") & ~w.rlike("^[a-z](?![a-z])")))
+
+    deep = F.length(candidate) - F.length(F.replace(candidate, F.lit("/"))) >= 3
+    return (candidate.startswith("/") | deep) & F.forall(F.split(candidate, "[/_=-]+"), words)
+
+
 def hot_windows(candidate: Column, threshold: Column, window: int) -> Column:
-    """(first, last): starts of the first and the last window of ``candidate``
-    whose entropy reaches ``threshold`` (scaled bits per character), null if none."""
+    """Array of (first, last): starts of the first and the last window of each run of
+    touching windows of ``candidate`` whose entropy reaches ``threshold`` (scaled bits
+    per character)."""
     share = [round(c * math.log2(c) * SCALE) if c else 0 for c in range(window + 1)]
     weight = F.array(*map(F.lit, share))                     # c * log2 c by count
     entering = F.transform(F.split(candidate, ""), lambda ch: F.instr(F.lit(ALPHABET), ch) - 1)
     most = F.lit(round(math.log2(window) * SCALE))
+    runs = "array<struct<first:int,last:int>>"
+
+    def run(acc: Column) -> Column:
+        return F.array(F.struct(acc["first"].alias("first"), acc["last"].alias("last")))
 
     def walk(codes: Column) -> Column:
         leaving = F.concat(F.array_repeat(F.lit(-1), window), codes)
@@ -118,7 +131,7 @@ def hot_windows(candidate: Column, threshold: Column, window: int) -> Column:
                            lambda e, l: F.struct(e.alias("e"), l.alias("l")))
         start = F.struct(F.array_repeat(F.lit(0), len(ALPHABET)).alias("count"), F.lit(0).cast("long").alias("sum"),
                          F.lit(0).alias("i"), F.lit(None).cast("int").alias("first"),
-                         F.lit(None).cast("int").alias("last"))
+                         F.lit(None).cast("int").alias("last"), F.array().cast(runs).alias("runs"))
 
         def step(acc: Column, move: Column) -> Column:
             e, left = move["e"], move["l"]
@@ -133,14 +146,16 @@ def hot_windows(candidate: Column, threshold: Column, window: int) -> Column:
             def after(total: Column) -> Column:
                 at = acc["i"] - (window - 1)
                 hot = (at >= 0) & (most - total / window >= threshold)
+                apart = hot & (at > acc["last"] + window)
                 return F.struct(counts.alias("count"), total.alias("sum"), (acc["i"] + 1).alias("i"),
-                                F.coalesce(acc["first"], F.when(hot, at)).alias("first"),
-                                F.when(hot, at).otherwise(acc["last"]).alias("last"))
+                                F.when(hot & (acc["first"].isNull() | apart), at).otherwise(acc["first"]).alias("first"),
+                                F.when(hot, at).otherwise(acc["last"]).alias("last"),
+                                F.when(apart, F.concat(acc["runs"], run(acc))).otherwise(acc["runs"]).alias("runs"))
 
             return let(acc["sum"] + change, after)
 
-        return F.aggregate(moves, start, step, lambda acc: F.struct(acc["first"].alias("first"),
-                                                                   acc["last"].alias("last")))
+        return F.aggregate(moves, start, step, lambda acc: F.when(
+            acc["first"].isNull(), acc["runs"]).otherwise(F.concat(acc["runs"], run(acc))))
 
     return let(entering, walk)
 
@@ -166,7 +181,7 @@ def _entropy_spans(text: Column, base: Column, rules: EntropyRules) -> Column:
                 .when(c.rlike("^[A-Za-z0-9]+$"), bits["alnum"]).otherwise(bits["base64"]))
 
     def allowed(c: Column) -> Column:
-        out = F.lit(False)
+        out = path_of_words(c)
         for pattern in ALLOW:
             out = out | c.rlike(pattern)
         return out
@@ -174,11 +189,11 @@ def _entropy_spans(text: Column, base: Column, rules: EntropyRules) -> Column:
     def judge(x: Column) -> Column:
         end = x["start"] + F.length(x["c"])
         inside = F.exists(base, lambda b: (b["start"] <= x["start"]) & (b["end"] >= end))
-        hot = let(hot_windows(x["c"], threshold(x["c"]), rules.window), lambda h: F.when(
-            h["first"].isNotNull(), F.struct((x["start"] + h["first"]).alias("start"),
-                                             F.lit(KINDS.index("entropy")).alias("kind"),
-                                             (x["start"] + h["last"] + rules.window).alias("end"))))
-        return F.when(~inside & (F.length(x["c"]) >= rules.window) & ~allowed(x["c"]), hot)
+        runs = let(threshold(x["c"]), lambda least: hot_windows(x["c"], least, rules.window))
+        hot = F.transform(runs, lambda h: F.struct(
+            (x["start"] + h["first"]).alias("start"), F.lit(KINDS.index("entropy")).alias("kind"),
+            (x["start"] + h["last"] + rules.window).alias("end")))
+        return F.when(~inside & (F.length(x["c"]) >= rules.window) & ~allowed(x["c"]), hot).otherwise(none)
 
     def cut(x: Column) -> Column:
         return F.transform(_pieces(x["c"]), lambda p: F.struct(
@@ -187,7 +202,7 @@ def _entropy_spans(text: Column, base: Column, rules: EntropyRules) -> Column:
     def found(candidates: Column) -> Column:
         located = F.arrays_zip(candidates.alias("c"), _located(F.split(text, CANDIDATE, -1), candidates).alias("s"))
         pieces = F.flatten(F.transform(F.filter(located, lambda x: ~allowed(x["c"])), cut))
-        return F.filter(F.transform(pieces, judge), lambda s: s.isNotNull() & ~F.exists(
+        return F.filter(F.flatten(F.transform(pieces, judge)), lambda s: ~F.exists(
             base, lambda b: (b["start"] <= s["start"]) & (b["end"] >= s["end"])))
 
     return let(F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)),

@@ -251,8 +251,10 @@ def test_pipeline_against_brute_force_stages(spark):
     extra = docs.limit(1).withColumn("doc_id", F.lit(9001).cast("long")).withColumn("text", F.lit("12 34"))
     docs = docs.unionByName(extra)
     kept = docs
+    cached = []
     for name, stage in corpus_pipeline.STAGES[:4]:
         kept = stage(spark, kept, SF_SMALL).cache()
+        cached.append(kept)
         assert kept.columns == docs.columns, name
         if name == "language_id":
             assert kept.count() == docs.count() - 1 and not kept.where("doc_id = 9001").count()
@@ -271,6 +273,8 @@ def test_pipeline_against_brute_force_stages(spark):
                 assert brute.secrets(rows[r.doc_id]) or r.text == rows[r.doc_id] or "[SECRET]" in r.text
     packed = corpus_pipeline.STAGES[4][1](spark, kept, SF_SMALL)
     assert {r.doc_id for r in packed.collect()} == set(rows)
+    for frame in cached:
+        frame.unpersist()
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "near_duplicates", "decontamination", "secrets", "packing"]
 
 

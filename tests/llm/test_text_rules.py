@@ -107,6 +107,28 @@ def test_entropy_of_long_keys_paths_and_placeholders(spark):
         assert r.n_entropy == 0, r.redacted_text
 
 
+def test_long_paths_dashes_and_keys_far_apart(spark):
+    """Texts on which a pattern with nested repeats overflows the stack or never ends."""
+    key = "Zx8Qv3Lm9Tr2Wb7Ny4Kc1Pd6"
+    rnd = random.Random(9)
+    base64 = "".join(rnd.choices(string.ascii_letters + string.digits + "+/", k=1_000_000))
+    rows = {1: "/" + "-".join(["ab"] * 700) + "/x/y", 2: "/abc" * 5000, 3: "/abc/" + "-" * 60 + "+x",
+            4: key + "q" * 200 + key, 5: "/usr/local/share" * 62_500, 6: base64, 7: "/" + "AbcDef" * 20_000,
+            8: "_-=" * 50_000, 9: "/" + "ab1" * 30 + "/c/d"}
+    got = {r.doc_id: r for r in scan_secrets(docs(spark, sorted(rows.items()))).collect()}
+    assert all(got[k].n_entropy == 0 for k in (1, 2, 5, 7, 8))
+    window = 20
+    hot = [i for i in range(len(rows[4]) - window + 1) if -sum(rows[4][i:i + window].count(c) / window * math.log2(
+        rows[4][i:i + window].count(c) / window) for c in set(rows[4][i:i + window])) >= 3.55]
+    cut = [k for k in range(1, len(hot)) if hot[k] > hot[k - 1] + window]
+    assert len(cut) == 1
+    first, last = hot[:cut[0]], hot[cut[0]:]
+    assert got[4].spans == f"entropy:{first[0]}:{first[-1] + window},entropy:{last[0]}:{last[-1] + window}"
+    assert "q" * 150 in got[4].redacted_text and key not in got[4].redacted_text
+    spans = [tuple(map(int, s.split(":")[1:])) for s in got[6].spans.split(",")]
+    assert sum(b - a for a, b in spans) > 990_000
+
+
 def test_no_python_in_the_native_plans(spark):
     for df in (clean_lines(small(spark)), scan_secrets(small(spark))):
         plan = df._jdf.queryExecution().executedPlan().toString()

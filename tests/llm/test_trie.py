@@ -129,9 +129,9 @@ def test_equal_digests_of_different_prefixes_are_noticed(spark, monkeypatch):
     turns = pt.hashed_turns(spark.createDataFrame([(1, 1, "user", "a"), (2, 1, "user", "b")],
                                                   "conv_id long, turn long, role string, text string"))
     turns = pt.numbered(turns).withColumnRenamed("place", "depth")
-    clash = stored_prefixes = pt.prefixes(turns.withColumn("a", pt.F.lit(1)).withColumn("b", pt.F.lit(1)))
+    clash = pt.prefixes(turns.withColumn("a", pt.F.lit(1).cast("long")).withColumn("b", pt.F.lit(1).cast("long")))
     assert not pt._verified(pt.nodes_of(clash)) and pt._verified(pt.nodes_of(pt.prefixes(turns)))
-    assert stored_prefixes.columns == ["conv", "depth", "x", "y", "px", "py", "check", "words", "ends"]
+    assert clash.columns == ["conv", "depth", "x", "y", "px", "py", "check", "words", "ends"]
 
 
 def test_query_on_the_table(spark):
