@@ -1,24 +1,77 @@
 """Next-day regressors on flattened windows (Spark ML), multi-target.
 
-Three independent regressors (tmax, tmin, tavg) share one feature vector;
-predictions are chained ``transform`` calls that each add a
-``pred_<target>`` column, so no join is needed to assemble outputs.
+The candidates share one feature vector.  Linear models and single trees are one
+Spark ML model a target (``MultiTarget``); their predictions are chained ``transform``
+calls that each add a ``pred_<target>`` column, so no join is needed to assemble
+outputs.  Forest and boosting grow the trees of all targets together (``forest``,
+``boosting``).
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-
-from pyspark.ml.regression import (DecisionTreeRegressionModel, DecisionTreeRegressor, GBTRegressionModel, GBTRegressor,
-                                   LinearRegression, LinearRegressionModel, RandomForestRegressionModel,
-                                   RandomForestRegressor)
+from dataclasses import dataclass
+
+import numpy as np
+from pyspark.ml.common import _py2java
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.regression import (DecisionTreeRegressionModel, DecisionTreeRegressor, LinearRegression,
+                                   LinearRegressionModel)
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from climark.operators.boosting import BoostedModel
+from climark.operators.forest import ForestModel
 from climark.schemas import TARGETS
 
-# Spark's deepest tree; a caller with less time passes a smaller depth.
-FOREST_DEPTH = 30
+
+class LeastSquares:
+    """Ordinary least squares with an intercept; where the features are linearly
+    dependent, the solution of least norm.
+
+    The covariance of features and label (d + 1 squared numbers) is summed on the
+    executors; only it reaches the driver, where eigenvalues below ``RCOND`` of the largest
+    count as zero."""
+
+    RCOND = 1e-12
+
+    def __init__(self):
+        self.cols = {"features": "features", "label": "label", "prediction": "prediction"}
+
+    def setFeaturesCol(self, name: str) -> LeastSquares:
+        self.cols["features"] = name
+        return self
+
+    def setLabelCol(self, name: str) -> LeastSquares:
+        self.cols["label"] = name
+        return self
+
+    def setPredictionCol(self, name: str) -> LeastSquares:
+        self.cols["prediction"] = name
+        return self
+
+    def fit(self, train: DataFrame) -> LinearRegressionModel:
+        both = VectorAssembler(inputCols=[self.cols["features"], self.cols["label"]], outputCol="_both") \
+            .transform(train.select(self.cols["features"], self.cols["label"])).select("_both")
+        matrix = RowMatrix(MLUtils.convertVectorColumnsFromML(both, "_both"))
+        mean = np.asarray(matrix.computeColumnSummaryStatistics().mean())
+        cov = matrix.computeCovariance().toArray()
+        w = np.linalg.pinv(cov[:-1, :-1], rcond=self.RCOND, hermitian=True) @ cov[:-1, -1]
+        return linear_model(train.sparkSession, w, float(mean[-1] - mean[:-1] @ w)) \
+            .setFeaturesCol(self.cols["features"]).setPredictionCol(self.cols["prediction"])
+
+
+def linear_model(spark: SparkSession, coefficients: np.ndarray, intercept: float) -> LinearRegressionModel:
+    """A Spark ML linear model with given coefficients."""
+    java = spark._jvm.org.apache.spark.ml.regression.LinearRegressionModel(
+        f"least_squares_{abs(hash((intercept, len(coefficients)))):x}",
+        _py2java(spark.sparkContext, Vectors.dense(coefficients)), intercept)
+    return LinearRegressionModel(java)
 
 
 def elastic_net(alpha: float, l1_ratio: float, label_std: float) -> LinearRegression:
@@ -31,20 +84,6 @@ def elastic_net(alpha: float, l1_ratio: float, label_std: float) -> LinearRegres
                             maxIter=500, tol=1e-9)
 
 
-# --- fixed values: candidate hyper-parameters (as in the reference) -------
-# each entry builds an estimator from the label's sample standard deviation
-REGRESSORS = {
-    "Linear Regression": lambda std: LinearRegression(regParam=0.0, standardization=False),
-    "Elastic Net": lambda std: elastic_net(0.1, 0.5, std),
-    "Decision Tree": lambda std: DecisionTreeRegressor(maxDepth=5, minInstancesPerNode=3, seed=123),
-    "Random Forest": lambda std, depth=FOREST_DEPTH: RandomForestRegressor(
-        numTrees=100, maxDepth=depth, minInstancesPerNode=3, featureSubsetStrategy="all", seed=123,
-        maxMemoryInMB=512, cacheNodeIds=True),
-    "Gradient Boosting": lambda std: GBTRegressor(stepSize=0.1, maxDepth=3, maxIter=50, seed=123),
-}
-# ---------------------------------------------------------------------------
-
-
 class MultiTarget:
     """One fitted regressor per target over a shared ``features`` vector."""
 
@@ -97,49 +136,61 @@ def importances_long(mt: MultiTarget, names: list[str]) -> list[tuple[str, str,
     return rows
 
 
-def mean_r2(parts: list[tuple[float, float | None]]) -> float | None:
-    """Mean of 1 - mse / variance; null if a split is empty or a target constant."""
-    if any(not v for _, v in parts):
-        return None
-    return sum(1 - e / v for e, v in parts) / len(parts)
-
-
-def training_history(spark: SparkSession, mt: MultiTarget, train: DataFrame, val: DataFrame,
-                     label_prefix: str = "y_") -> DataFrame:
-    """Per boosting iteration: loss (MSE) / MAE / RMSE / R^2 on train and val,
-    averaged over targets as the reference's multi-output metrics are
-    (RMSE = sqrt of the all-cell MSE).  One small row per iteration."""
-    var = {}
-    for name, df in (("train", train), ("val", val)):
-        v = df.agg(*[F.var_pop(f"{label_prefix}{t}").alias(t) for t in mt.models]).first()
-        var[name] = {t: v[t] for t in mt.models}
-    jobs = [(t, f"{name}_{short}", df, loss) for t in mt.models
-            for name, df in (("train", train), ("val", val))
-            for short, loss in (("sq", "squared"), ("abs", "absolute"))]
-
-    def evaluate(job):
-        t, key, df, loss = job
-        return t, key, mt.models[t].evaluateEachIteration(df, loss)
-
-    per = {t: {} for t in mt.models}
-    with ThreadPoolExecutor(max_workers=4) as pool:  # independent evaluation passes
-        for t, key, values in pool.map(evaluate, jobs):
-            per[t][key] = values
-    n_it = min(len(v["train_sq"]) for v in per.values())
-    ts = list(mt.models)
-    rows = []
-    for i in range(n_it):
-        loss = sum(per[t]["train_sq"][i] for t in ts) / len(ts)
-        vloss = sum(per[t]["val_sq"][i] for t in ts) / len(ts)
-        mae = sum(per[t]["train_abs"][i] for t in ts) / len(ts)
-        vmae = sum(per[t]["val_abs"][i] for t in ts) / len(ts)
-        r2, vr2 = (mean_r2([(per[t][f"{n}_sq"][i], var[n][t]) for t in ts]) for n in ("train", "val"))
-        rows.append((i, loss, vloss, mae, vmae, loss ** 0.5, vloss ** 0.5, r2, vr2))
-    schema = ("iteration int, loss double, val_loss double, mae double, val_mae double, rmse double, "
-              "val_rmse double, r2 double, val_r2 double")
-    return spark.createDataFrame(rows, schema)
-
+# --- fixed values: candidate hyper-parameters (as in the reference) -------
+# each entry fits all targets on a frame with features and y_<target>; the
+# estimators of MultiTarget are built from the label's sample standard deviation
+CANDIDATES: dict[str, Callable[[DataFrame], object]] = {
+    "Linear Regression": lambda train: MultiTarget.fit(train, lambda std: LeastSquares()),
+    "Elastic Net": lambda train: MultiTarget.fit(train, lambda std: elastic_net(0.1, 0.5, std)),
+    "Decision Tree": lambda train: MultiTarget.fit(
+        train, lambda std: DecisionTreeRegressor(maxDepth=5, minInstancesPerNode=3, seed=123)),
+    "Random Forest": lambda train: ForestModel.fit(train, trees=100, min_leaf=3, seed=123),
+    "Gradient Boosting": lambda train: BoostedModel.fit(train, rounds=50, depth=3, shrink=0.1),
+}
+# ---------------------------------------------------------------------------
 
+#: Spark ML classes of the candidates that ``MultiTarget`` holds.
 MODEL_CLASSES = {"Linear Regression": LinearRegressionModel, "Elastic Net": LinearRegressionModel,
-                 "Decision Tree": DecisionTreeRegressionModel, "Random Forest": RandomForestRegressionModel,
-                 "Gradient Boosting": GBTRegressionModel}
+                 "Decision Tree": DecisionTreeRegressionModel}
+
+
+@dataclass
+class ServingModel:
+    """What a forecast needs, stored and loaded together: the fitted models, the scaler,
+    the features and the window length."""
+    kind: str
+    model: MultiTarget
+    scaler: list[tuple[str, float, float]]
+    T: int
+
+    @property
+    def features(self) -> list[str]:
+        return [f for f, _, _ in self.scaler]
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        """The models first, the description last: a folder without it is no model."""
+        base = path.rstrip("/")
+        self.model.save(f"{base}/models")
+        row = (self.kind, json.dumps(list(self.model.models)), json.dumps(self.scaler), self.T)
+        spark.createDataFrame([row], "kind string, targets string, scaler string, T int").coalesce(1) \
+            .write.mode("overwrite").parquet(f"{base}/description")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str, kind: str | None = None, features: list[str] | None = None,
+             T: int | None = None) -> ServingModel:
+        """The stored model; an error if there is none, or if it is not of the ``kind``, the
+        ``features`` or the window length that the caller expects."""
+        base = path.rstrip("/")
+        try:
+            row = spark.read.parquet(f"{base}/description").first()
+        except Exception as error:
+            raise FileNotFoundError(f"no stored model in {base}") from error
+        scaler = [(f, m, s) for f, m, s in json.loads(row["scaler"])]
+        for what, want, own in (("type", kind, row["kind"]), ("features", features, [f for f, _, _ in scaler]),
+                                ("window length", T, row["T"])):
+            if want is not None and want != own:
+                raise ValueError(f"the model in {base} has {what} {own}, not {want}")
+        if row["kind"] not in MODEL_CLASSES:
+            raise ValueError(f"the model in {base} has the unknown type {row['kind']}")
+        models = MultiTarget.load(f"{base}/models", MODEL_CLASSES[row["kind"]], json.loads(row["targets"]))
+        return cls(row["kind"], models, scaler, row["T"])
