@@ -15,13 +15,11 @@ def r6(x) -> Column:
     return F.round(_c(x), 6)
 
 
-def round_decimal(x, n: int) -> Column:
-    """Half-up rounding of the decimal value (6 dp) of a double."""
-    return F.round(_c(x).cast("decimal(18,6)"), n).cast("double")
-
-
 def round_half_even(x, n: int) -> Column:
-    return F.bround(_c(x), n)
+    """Rounding to ``n`` decimals, halves to even, of a double of any size: the double
+    times 10**n is rounded, as numpy does."""
+    scale = F.lit(10.0 ** n)
+    return F.rint(_c(x) * scale) / scale
 
 
 def safe_div(num, den) -> Column:

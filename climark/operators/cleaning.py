@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from climark.functions.sizing import bounded_broadcast
-from climark.schemas import EXCLUDED, FULL_FEATURES, REDUCED_FEATURES
+from climark.schemas import FULL_FEATURES, REDUCED_FEATURES
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -88,7 +88,3 @@ def unsigned_violations(df: DataFrame, cols: tuple[str, ...] = ("tmax", "tmin",
     rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"{c}__null").cast("long").alias("n_null"),
                      F.col(f"{c}__neg").cast("long").alias("n_negative")) for c in cols]
     return wide.select(F.inline(F.array(*rows)))
-
-
-def model_inputs(df: DataFrame) -> list[str]:
-    return [c for c in df.columns if c not in EXCLUDED]

@@ -22,14 +22,6 @@ def season_day_climatology(df: DataFrame, by: tuple[str, ...] = ("id_ciudad",),
     return df.groupBy(*by, "dia", "estacion").agg(*[r6(F.avg(m)).alias(m) for m in measures])
 
 
-def day_season_grid(spark) -> DataFrame:
-    """The fixed 31 x 4 (day, season) domain (124 rows)."""
-    seasons = F.array(*[F.lit(s) for s in SEASONS])
-    return spark.range(1).select(F.explode(F.sequence(F.lit(1), F.lit(31))).alias("dia")) \
-        .select(F.col("dia").cast("int").alias("dia"), F.posexplode(seasons).alias("season_ord", "estacion")) \
-        .withColumn("season_ord", F.col("season_ord").cast("int"))
-
-
 def dense_grid_fill(agg: DataFrame, by: tuple[str, ...] = ("id_ciudad",)) -> DataFrame:
     """Reindex per-station (day, season) aggregates onto the full 124-row grid.
 
@@ -75,5 +67,5 @@ def temperature_band(feat: DataFrame, by: tuple[str, ...] = ("id_ciudad",)) -> D
     return monthly.unionByName(prof)
 
 
-__all__ = ["monthly_climatology", "season_day_climatology", "day_season_grid", "dense_grid_fill",
+__all__ = ["monthly_climatology", "season_day_climatology", "dense_grid_fill",
            "forward_fill", "season_day_profile", "temperature_band"]

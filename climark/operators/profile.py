@@ -4,8 +4,10 @@ Wide single-pass aggregates are preferred over unpivot-then-aggregate: every
 statistic of every column is one aggregate expression, partially aggregated
 map-side, and the (small) per-group result is unpivoted afterwards.
 Percentiles are exact at every size: values are counted, the counts are summed
-over value ranges, and only the ranges that hold a wanted order statistic are
-ordered, so no task holds a whole group.  ``approx=True`` asks for
+over value ranges, ranges that hold no wanted order statistic are left, the others
+are cut again between their own least and greatest value until each has at most
+``ORDERED`` distinct values, and only these are ordered; so no task orders a
+whole group, wherever its values lie.  ``approx=True`` asks for
 ``percentile_approx`` instead.
 """
 
@@ -22,37 +24,59 @@ from climark.functions.sizing import bounded_broadcast
 from climark.operators.cleaning import numeric_columns
 
 QUARTILES = [0.25, 0.5, 0.75]
-RANGES = 1024  # value ranges of a group whose counts are summed before any ordering
+RANGES = 1024      # value ranges that a range is cut into
+ORDERED = 65_536   # most distinct values of a range that is ordered
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], by: list[str], ps: list[float]) -> DataFrame:
-    """(by..., column_name, q): linear-interpolated quantiles of the non-null
-    values of each group and column."""
+def _holds(rank, first, n):
+    return (rank >= first) & (rank < first + n)
+
+
+def _refined(inside: DataFrame, g: list[str], ps: list[float], ordered: int) -> DataFrame:
+    """``inside`` (g, _n, _off, _v, _c) with every range of more than ``ordered`` values cut into
+    ``RANGES``, and without the ranges that hold no wanted rank.  A range is known by ``_off``,
+    the number of rows below it."""
+    span = inside.groupBy(*g, "_off").agg(F.count(F.lit(1)).alias("_k"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    whole = F.col("_hi") / 2 - F.col("_lo") / 2        # halved: the distance of two doubles may be none
+    bucket = F.when(F.col("_k") > ordered, F.floor((F.col("_v") / 2 - F.col("_lo") / 2) / whole * RANGES)).otherwise(0)
+    cut = inside.join(span, [*g, "_off"]).withColumn("_b", bucket.cast("long"))
+    w = Window.partitionBy(*g, "_off").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    parts = cut.groupBy(*g, "_off", "_b").agg(F.sum("_c").alias("_bc"), F.first("_n").alias("_n"))
+    parts = parts.withColumn("_start", F.col("_off") + F.coalesce(F.sum("_bc").over(w), F.lit(0)))
+    hit = F.lit(False)
+    for p in ps:
+        x = F.lit(p) * (F.col("_n") - 1)
+        hit = hit | _holds(F.floor(x), F.col("_start"), F.col("_bc")) | _holds(F.ceil(x), F.col("_start"), F.col("_bc"))
+    return cut.join(parts.where(hit).select(*g, "_off", "_b", "_start"), [*g, "_off", "_b"]).select(
+        *g, "_n", F.col("_start").alias("_off"), "_v", "_c")
+
+
+def ranked_ranges(df: DataFrame, cols: list[str], by: list[str], ps: list[float], ordered: int = ORDERED) -> DataFrame:
+    """(by..., column_name, _n, _off, _v, _c): the counted values of the ranges that hold a wanted
+    order statistic, none of more than ``ordered`` values; ``_off`` rows lie below a range."""
     g = [*by, "column_name"]
     long = df.select(*by, F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"),
                                                       F.col(c).cast("double").alias("_v")) for c in cols])))
     vc = long.where(F.col("_v").isNotNull()).groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    span = vc.groupBy(*g).agg(F.sum("_c").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    bucket = F.when(F.col("_hi") > F.col("_lo"), F.floor(
-        (F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * F.lit(float(RANGES)))).otherwise(F.lit(0))
-    vb = vc.join(span, g).withColumn("_b", bucket.cast("long"))
-    w = Window.partitionBy(*g).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = vb.groupBy(*g, "_b").agg(F.sum("_c").alias("_bc")).withColumn(
-        "_off", F.coalesce(F.sum("_bc").over(w), F.lit(0)))
-    pos = {k: F.lit(p) * (F.col("_n") - 1) for k, p in enumerate(ps)}
+    size = vc.groupBy(*g).agg(F.sum("_c").alias("_n"))
+    inside = vc.join(size, g).select(*g, "_n", F.lit(0).cast("long").alias("_off"), "_v", "_c")
+    while True:
+        inside = _refined(inside, g, ps, ordered).checkpoint(eager=True)
+        most = inside.groupBy(*g, "_off").count().agg(F.max("count")).first()[0]        # one number
+        if (most or 0) <= ordered:
+            return inside
 
-    def holds(rank, first, n):
-        return (rank >= first) & (rank < first + n)
 
-    wanted = ranges.join(span.select(*g, "_n"), g)
-    hit = F.lit(False)
-    for x in pos.values():
-        hit = hit | holds(F.floor(x), F.col("_off"), F.col("_bc")) | holds(F.ceil(x), F.col("_off"), F.col("_bc"))
-    inside = vb.join(wanted.where(hit).select(*g, "_b", "_off"), [*g, "_b"])
-    order = Window.partitionBy(*g, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+def exact_quantiles(df: DataFrame, cols: list[str], by: list[str], ps: list[float], ordered: int = ORDERED) -> DataFrame:
+    """(by..., column_name, q): linear-interpolated quantiles of the non-null
+    values of each group and column."""
+    g = [*by, "column_name"]
+    inside = ranked_ranges(df, cols, by, ps, ordered)
+    pos = {k: F.lit(p) * (F.col("_n") - 1) for k, p in enumerate(ps)}
+    order = Window.partitionBy(*g, "_off").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
     inside = inside.withColumn("_first", F.col("_off") + F.coalesce(F.sum("_c").over(order), F.lit(0)))
     picked = inside.groupBy(*g).agg(F.first("_n").alias("_n"), *[
-        F.max(F.when(holds(f(x), F.col("_first"), F.col("_c")), F.col("_v"))).alias(f"_{n}{k}")
+        F.max(F.when(_holds(f(x), F.col("_first"), F.col("_c")), F.col("_v"))).alias(f"_{n}{k}")
         for k, x in pos.items() for n, f in (("f", F.floor), ("e", F.ceil))])
     q = [F.when(F.floor(x) == F.ceil(x), F.col(f"_f{k}")).otherwise(
         (F.ceil(x) - x) * F.col(f"_f{k}") + (x - F.floor(x)) * F.col(f"_e{k}")) for k, x in pos.items()]
@@ -270,29 +294,41 @@ def auto_bin_count(n, iqr, span):
     return F.greatest(sturges, F.coalesce(fd, sturges)).cast("int")
 
 
-def kde_curve(df: DataFrame, value: str, by: tuple[str, ...], gridsize: int = 200, cut: float = 3.0) -> DataFrame:
+def kde_curve(df: DataFrame, value: str, by: tuple[str, ...], gridsize: int = 200, cut: float = 3.0,
+              reach: float = 8.0) -> DataFrame:
     """Gaussian KDE (Scott bandwidth std_samp * n^-1/5) on ``gridsize`` points
     spanning [min - cut*bw, max + cut*bw].
 
-    Values are first collapsed to (value, count) pairs, then each pair is
-    expanded over the fixed grid inside the map stage and summed; only
-    per-task partial sums (gridsize per group) are shuffled."""
+    Values are first collapsed to (value, count) pairs; a pair counts at the grid points
+    within ``reach`` bandwidths only (16 bandwidths of points, fewer of the grid's the more rows
+    there are), inside the map stage, and only per-task partial sums (gridsize per group)
+    are shuffled.  What is left out is below exp(-reach**2 / 2) / (bw * sqrt(2 pi)) of a
+    density: 1.3e-14 / (bw * 2.5) at 8."""
     st = df.groupBy(*by).agg(F.count(value).alias("_n"), F.stddev_samp(value).alias("_sd"),
                              F.min(value).alias("_mn"), F.max(value).alias("_mx"))
     st = st.withColumn("_bw", F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2))) \
         .withColumn("_lo", F.col("_mn") - F.lit(cut) * F.col("_bw")) \
         .withColumn("_step", (F.col("_mx") + F.lit(cut) * F.col("_bw") - F.col("_lo")) / F.lit(float(gridsize - 1)))
-    st = bounded_broadcast(st)
-    vc = df.groupBy(*by, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    g = F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("g")
-    pts = vc.join(st, list(by)).select(*by, "_v", "_c", "_n", "_bw", "_lo", "_step", g)
-    x = F.col("_lo") + F.col("g") * F.col("_step")
-    z = (x - F.col("_v")) / F.col("_bw")
-    dens = pts.groupBy(*by, "g").agg(
-        F.first(x).alias("x"),
-        (F.sum(F.col("_c") * F.exp(-0.5 * z * z))
-         / (F.first("_n") * F.first("_bw") * F.lit(math.sqrt(2 * math.pi)))).alias("density"))
-    return dens.select(*by, F.col("g").cast("int").alias("g"), r6("x").alias("x"), r6("density").alias("density"))
+    st = bounded_broadcast(st.where(F.col("_bw") > 0))
+    grid = st.select(*by, "_n", "_bw", (F.lit(math.sqrt(2 * math.pi)) * F.col("_n") * F.col("_bw")).alias("_norm"), "_lo",
+                     "_step", F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("g"))
+    vc = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    first = F.ceil((F.col("_v") - F.lit(reach) * F.col("_bw") - F.col("_lo")) / F.col("_step"))
+    last = F.floor((F.col("_v") + F.lit(reach) * F.col("_bw") - F.col("_lo")) / F.col("_step"))
+    near = F.sequence(F.greatest(first, F.lit(0)).cast("int"), F.least(last, F.lit(gridsize - 1)).cast("int"))
+    pts = vc.join(st, list(by)).select(*by, "_v", "_c", "_bw", "_lo", "_step", F.explode(near).alias("g"))
+    z = (F.col("_lo") + F.col("g") * F.col("_step") - F.col("_v")) / F.col("_bw")
+    dens = pts.groupBy(*by, "g").agg(F.sum(F.col("_c") * F.exp(-0.5 * z * z)).alias("_s"))
+    return grid.join(dens, [*by, "g"], "left").select(
+        *by, F.col("g").cast("int").alias("g"), r6(F.col("_lo") + F.col("g") * F.col("_step")).alias("x"),
+        r6(F.coalesce("_s", F.lit(0.0)) / F.col("_norm")).alias("density"))
+
+
+def kde_curves(df: DataFrame, cols: list[str], by: tuple[str, ...] = ("id_ciudad",), gridsize: int = 200) -> DataFrame:
+    """``kde_curve`` of several measures: (by..., column_name, g, x, density)."""
+    long = df.select(*by, F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value"))
+                                             for c in cols])))
+    return kde_curve(long, "value", (*by, "column_name"), gridsize)
 
 
 def scatter_series(df: DataFrame, cols: list[str], keys: tuple[str, ...] = ("id_ciudad", "time")) -> DataFrame:
@@ -301,5 +337,5 @@ def scatter_series(df: DataFrame, cols: list[str], keys: tuple[str, ...] = ("id_
 
 
 __all__ = ["describe_numeric", "describe_time", "profile_columns", "mean_abs_dev_median", "correlation_matrix",
-           "boxplot_stats", "histogram_fixed_bins", "histogram_auto_bins", "kde_curve", "scatter_series", "numeric_columns",
+           "boxplot_stats", "histogram_fixed_bins", "histogram_auto_bins", "kde_curve", "kde_curves", "scatter_series", "numeric_columns",
            "auto_bin_count"]

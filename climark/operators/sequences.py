@@ -136,13 +136,14 @@ def catchup_windows(df: DataFrame, behind: DataFrame, features: list[str], T: in
 
 
 def serving_windows(df: DataFrame, features: list[str], T: int, key: str = "id_ciudad",
-                    time_col: str = "time", chunk: int = DEFAULT_CHUNK) -> DataFrame:
+                    time_col: str = "time") -> DataFrame:
     """The window ending at each station's last row (complete windows only);
-    it forecasts the following day."""
+    it forecasts the following day.  The T last rows of a station are taken before
+    anything is shuffled: every task keeps no more of a station than that."""
     base = df.select(key, time_col, *[F.col(f"`{c}`").cast("double").alias(c) for c in features])
-    idx = sequence_index(base, [key], [time_col], month_bucket(time_col), total="_n")
-    win = rolling_arrays(idx.where(F.col("_i") >= F.col("_n") - T), [key], [time_col, *features],
-                         -(T - 1), 0, chunk=chunk)
-    ends = win.where((F.col("_i") == F.col("_n") - 1) & (F.size("seq") == T))
-    return ends.select(key, F.col(time_col).alias("window_end"),
-                       (F.col(time_col) + F.expr("INTERVAL 1 DAY")).alias("forecast_time"), "seq")
+    latest = Window.partitionBy(key).orderBy(F.desc(time_col))
+    last = base.withColumn("_r", F.row_number().over(latest)).where(F.col("_r") <= T)
+    win = last.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(time_col, *features))).alias("seq"))
+    end = F.element_at("seq", -1)[time_col]
+    return win.where(F.size("seq") == T).select(
+        key, end.alias("window_end"), (end + F.expr("INTERVAL 1 DAY")).alias("forecast_time"), "seq")

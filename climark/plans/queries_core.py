@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from climark.functions.calendar import parse_time, prepare_features
-from climark.functions.numeric import r6
+from climark.functions.numeric import r6, round_half_even
 from climark.operators import cleaning as cl
 from climark.operators import climatology as clim
 from climark.operators import integrity as ig
@@ -94,16 +94,6 @@ def old_and_batch(t: Tables):
     return old, batch
 
 
-@register("append_rows", "A03", f""", {BATCH_SQL}
-SELECT * FROM old UNION ALL
-SELECT * FROM batch b WHERE NOT EXISTS (SELECT 1 FROM old o WHERE {ALL_EQ})""")
-def q_append_rows(t: Tables):
-    """Stored rows plus a re-delivered batch, appended with insert_new
-    (null->0, rows already stored are skipped)."""
-    old, batch = old_and_batch(t)
-    return old.unionByName(ig.insert_guard(batch, old, "insert_new"))
-
-
 STORED_SQL = f"""stored AS (SELECT * FROM clima WHERE time <= {{FORECAST_END}}),
 lastobs AS (SELECT id_ciudad AS id, max(time) AS last_time FROM stored GROUP BY id_ciudad),
 ranges AS (
@@ -331,16 +321,12 @@ def q_station_name_by_id(t: Tables):
 
 
 @register("round_values", "B15", """
-SELECT id_ciudad, time, CAST(round(CAST(tavg AS DECIMAL(18, 6)), 1) AS DOUBLE) AS tavg_1dp,
-       CAST(round(CAST(pres AS DECIMAL(18, 6)), 3) AS DOUBLE) AS pres_3dp,
-       CAST(round(CAST(wspd AS DECIMAL(18, 6)), 2) AS DOUBLE) AS wspd_2dp
+SELECT id_ciudad, time, round_even(tavg, 1) AS tavg_1dp, round_even(pres, 3) AS pres_3dp, round_even(wspd, 2) AS wspd_2dp
 FROM clima""")
 def q_round_values(t: Tables):
-    """Forecast (1 dp), metric (3 dp) and correlation (2 dp) rounding, half-up
-    on the decimal value (through DECIMAL, so binary ties round alike everywhere)."""
-    from climark.functions.numeric import round_decimal
-    return t.clima.select("id_ciudad", "time", round_decimal("tavg", 1).alias("tavg_1dp"),
-                          round_decimal("pres", 3).alias("pres_3dp"), round_decimal("wspd", 2).alias("wspd_2dp"))
+    """Forecast (1 dp), metric (3 dp) and correlation (2 dp) rounding, halves to even."""
+    return t.clima.select("id_ciudad", "time", round_half_even("tavg", 1).alias("tavg_1dp"),
+                          round_half_even("pres", 3).alias("pres_3dp"), round_half_even("wspd", 2).alias("wspd_2dp"))
 
 
 @register("unsigned_guard", "B16", " UNION ALL ".join(
@@ -695,6 +681,23 @@ def q_kde_curve(t: Tables):
     return pf.kde_curve(forecast_pairs(t), "error", ("target",))
 
 
+@register("kde_curves", "D12", f"""
+, v AS (SELECT id_ciudad, unnest(['{"', '".join(PROFILED)}']) AS column_name, unnest([{", ".join(PROFILED)}]) AS value FROM clima),
+st AS (SELECT id_ciudad, column_name, count(value) AS n, stddev_samp(value) * pow(CAST(count(value) AS DOUBLE), -0.2) AS bw,
+              min(value) AS mn, max(value) AS mx FROM v GROUP BY 1, 2),
+st2 AS (SELECT *, mn - 3.0 * bw AS lo, (mx + 3.0 * bw - (mn - 3.0 * bw)) / 199.0 AS step FROM st),
+vc AS (SELECT id_ciudad, column_name, value, count(*) AS c FROM v GROUP BY 1, 2, 3),
+g AS (SELECT range AS g FROM range(0, 200))
+SELECT s.id_ciudad, s.column_name, CAST(g.g AS INTEGER) AS g, round(any_value(s.lo + g.g * s.step), 6) AS x,
+       round(sum(vc.c * exp(-0.5 * ((s.lo + g.g * s.step - vc.value) / s.bw) * ((s.lo + g.g * s.step - vc.value) / s.bw)))
+             / (any_value(s.n) * any_value(s.bw) * sqrt(2 * pi())), 6) AS density
+FROM st2 s JOIN vc ON vc.id_ciudad = s.id_ciudad AND vc.column_name = s.column_name CROSS JOIN g
+GROUP BY s.id_ciudad, s.column_name, g.g""", materialize=True)
+def q_kde_curves(t: Tables):
+    """Densities of the four profiled measures per station (Scott bandwidth, 200 points)."""
+    return pf.kde_curves(t.clima, PROFILED)
+
+
 @register("max_id_next", "D13", "SELECT CAST(coalesce(max(id), 0) + 1 AS INTEGER) AS next_id FROM ciudades")
 def q_max_id_next(t: Tables):
     return t.ciudades.agg((F.coalesce(F.max("id"), F.lit(0)) + 1).cast("int").alias("next_id"))

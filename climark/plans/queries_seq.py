@@ -116,18 +116,6 @@ def q_update_range(t: Tables):
     return tb.update_range(stored(t), t.ciudades, AS_OF)
 
 
-@register("update_observations", "K01", f""", {STORED_SQL},
-fetched AS (SELECT c.* FROM clima c JOIN ranges r ON c.id_ciudad = r.id
-            WHERE NOT r.skip AND c.time BETWEEN r.fetch_start AND r.fetch_end)
-SELECT * FROM stored UNION ALL
-SELECT * FROM fetched b WHERE NOT EXISTS (SELECT 1 FROM stored o WHERE {ALL_EQ})""")
-def q_update_observations(t: Tables):
-    """update_range -> landing_fetch -> insert_new for all stations in one job."""
-    st = stored(t)
-    due = tb.landing_fetch(t.landing, tb.update_range(st, t.ciudades, AS_OF), t.ciudades)
-    return st.unionByName(insert_guard(cl.fill_missing_zero(due), st, "insert_new"))
-
-
 # --- L. scaling and evaluation -----------------------------------------------------
 
 def _scaler_sql():

@@ -11,7 +11,7 @@ from climark.functions.calendar import prepare_features
 from climark.operators import sequences as sq
 from climark.plans.catalog import register
 from climark.plans.queries_core import stored, ts
-from climark.plans.queries_ml import SERVING_MODEL, MLData, score_windows
+from climark.plans.queries_ml import MISSED_SQL, model_forecaster, persistence, serving_model, station_tables
 from climark.schemas import REDUCED_FEATURES, WINDOW_T
 from climark.session import scratch_path
 from climark.sources import tables as tb
@@ -19,11 +19,6 @@ from climark.sources.bridge import FORECAST_END, Tables
 from climark.streaming.ingest import stream_daily_forecast, stream_ingest_observations
 
 
-def _land(df: DataFrame, folder: str, period) -> None:
-    """Write ``df`` as one delivery per value of ``period`` (time order)."""
-    _land_with(df.withColumn("_d", period), folder)
-
-
 @register("stream_ingest_observations", "I01", "SELECT * FROM clima", materialize=True)
 def q_stream_ingest(t: Tables):
     """Yearly deliveries (each December re-sent with the next year) drained
@@ -49,26 +44,31 @@ def _land_with(deliveries: DataFrame, folder: str) -> None:
         deliveries.where(F.col("_d") == p).drop("_d").coalesce(1).write.mode("append").parquet(folder)
 
 
-@register("stream_daily_forecast", "I02", materialize=True)
-def q_stream_daily_forecast(t: Tables):
-    """Monthly deliveries after the stored period; each micro-batch is
-    appended, then its stations' missed days are forecast and appended."""
-    spark = t.spark
-    base = scratch_path(spark, "stream-forecast")
-    tables = f"{base}/tables"
-    tb.bootstrap_tables(spark, tables)
-    tb.append_rows(spark, tables, "clima", stored(t))
-    tb.append_rows(spark, tables, "predic", t.predic)
+def _streamed_forecasts(t: Tables, forecaster) -> DataFrame:
+    """Monthly deliveries after the stored period; each micro-batch is appended, then its
+    stations' missed days are forecast and appended."""
+    spark, base = t.spark, scratch_path(t.spark, "stream-forecast")
+    tables = station_tables(t, stored(t), t.predic)
     later = t.landing.where(F.col("time") > ts(FORECAST_END))
-    _land(later, f"{base}/landing", F.date_trunc("month", "time"))
-    d = MLData(t, REDUCED_FEATURES)
-    mt = d.fit(SERVING_MODEL)
+    _land_with(later.withColumn("_d", F.date_trunc("month", "time")), f"{base}/landing")
     stations = t.ciudades
 
     def forecast_fn(obs: DataFrame, fc: DataFrame, touched: DataFrame) -> DataFrame:
         behind = sq.days_behind(obs, fc, stations.join(touched, "id", "left_semi"))
-        win = sq.catchup_windows(d.serving(prepare_features(obs)), behind, REDUCED_FEATURES, WINDOW_T)
-        return score_windows(d, mt, win).join(fc.select("id", "time"), ["id", "time"], "left_anti")
+        win = sq.catchup_windows(prepare_features(obs), behind, REDUCED_FEATURES, WINDOW_T)
+        return forecaster(win).join(fc.select("id", "time"), ["id", "time"], "left_anti")
 
     stream_daily_forecast(spark, f"{base}/landing", tables, f"{base}/_checkpoint", forecast_fn)
     return tb.read_table(spark, tables, "predic")
+
+
+@register("stream_daily_forecast", "I02", materialize=True)
+def q_stream_daily_forecast(t: Tables):
+    """The forecast table after the stream, by the stored serving model."""
+    return _streamed_forecasts(t, model_forecaster(serving_model(t)))
+
+
+@register("stream_daily_forecast_persistence", "I02", MISSED_SQL, materialize=True)
+def q_stream_daily_forecast_persistence(t: Tables):
+    """The forecast table after the stream, by the forecaster that repeats the last day."""
+    return _streamed_forecasts(t, persistence)

@@ -16,18 +16,14 @@ SEASON_MONTHS = {
 }
 # Measured columns of the observation table, in table order.
 MEASURES = ["tmax", "tmin", "tavg", "prcp", "snow", "wdir", "wspd", "wpgt", "pres", "tsun"]
-# Columns never used as model inputs.
-EXCLUDED = ["id_ciudad", "time", "snow", "wpgt", "tsun", "estacion"]
 # Extra columns dropped from the reduced (18) feature set.
 REDUCED_DROP = ["Primavera", "mes_7", "mes_8", "mes_9", "mes_10", "mes_11", "mes_12"]
 # Forecast targets.
 TARGETS = ["tmax", "tmin", "tavg"]
 # Default window length, first-update date, seed station and split cut-offs.
 WINDOW_T = 25
-SERVING_WINDOW_T = 20
 FIRST_UPDATE_DATE = "2018-01-01"
 SEED_STATION = (1, "Piura", -5.1833, -80.6)
-DEFAULT_LOW_OUTLIER = ("tmin", 10.0)
 MAX_NAME_LENGTH = 40
 # -------------------------------------------------------------------------
 

@@ -1,12 +1,17 @@
 """Station tables: bootstrap, scans, appends with the duplicate guard,
 dimension seeding/registration and the landing-zone read.
 
-Tables are parquet folders partitioned by station; appends only ever add
-files, so a failed job leaves the table as it was (single writer per table).
+Tables are parquet folders partitioned by station; appends only ever add files
+(single writer per table).  An append has a batch id and two records beside the
+table: ``begun`` before its files are written and ``done`` (with the rows and a digest
+of them) after.  A repeated run that finds ``done`` appends nothing; one that finds
+only ``begun`` adds what the broken run did not get to store.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,20 +45,80 @@ def scan_station(df: DataFrame, table: str, station_id: int) -> DataFrame:
     return df.where(F.col(STATION_KEY[table]) == F.lit(station_id))
 
 
+def ddl(database: str, base: str) -> list[str]:
+    """The statements that create the three tables in a catalog, each only if absent."""
+    out = [f"CREATE SCHEMA IF NOT EXISTS {database} LOCATION '{base.rstrip('/')}'"]
+    for name, schema in TABLES.items():
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in schema)
+        parted = f" PARTITIONED BY ({PARTITION[name]})" if name in PARTITION else ""
+        out.append(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet{parted} "
+                   f"LOCATION '{base.rstrip('/')}/{name}' "
+                   f"TBLPROPERTIES ('required' = '{','.join(f.name for f in schema if not f.nullable)}')")
+    return out
+
+
+def bootstrap_catalog(spark: SparkSession, base: str, database: str) -> None:
+    """Create schema and tables in the session's catalog over the folders of
+    ``bootstrap_tables``; a second run changes nothing."""
+    bootstrap_tables(spark, base)
+    for statement in ddl(database, base):
+        spark.sql(statement)
+
+
+def catalog_columns(spark: SparkSession, database: str) -> DataFrame:
+    """(table_name, column_name, data_type, required, partition) as the catalog has them;
+    ``required`` by the table's property, since file tables keep no NOT NULL."""
+    rows = []
+    for name in sorted(t.name for t in spark.catalog.listTables(database)):
+        properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {database}.{name}").collect()}
+        required = properties.get("required", "").split(",")
+        rows += [(name, c.name, c.dataType, c.name in required, c.isPartition)
+                 for c in spark.catalog.listColumns(f"{database}.{name}")]
+    return spark.createDataFrame(rows, "table_name string, column_name string, data_type string, required boolean, "
+                                       "partition boolean")
+
+
+def _records(spark: SparkSession, base: str, name: str) -> str:
+    return f"{base.rstrip('/')}/commits/{name}"
+
+
+RECORD = "batch_id string, state string, rows long, digest long"
+
+
+def _note(spark: SparkSession, base: str, name: str, *record) -> None:
+    spark.createDataFrame([record], RECORD).coalesce(1).write.mode("append").parquet(_records(spark, base, name))
+
+
+def commits(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """(batch_id, state, rows, digest) of the appends to a table; empty before the first."""
+    path = _records(spark, base, name)
+    spark.createDataFrame([], RECORD).write.mode("ignore").parquet(path)
+    return spark.read.schema(RECORD).parquet(path)
+
+
 def append_rows(spark: SparkSession, base: str, name: str, batch: DataFrame, mode: str = "insert_new",
-                ignore: str | None = None) -> int:
-    """Fill nulls with 0, drop rows already stored (``insert_new``) or the
-    whole batch if any is stored (``reject_batch``), append.  Returns rows
-    written (from a count over the written slice only)."""
+                ignore: str | None = None, batch_id: str | None = None) -> int:
+    """Fill nulls with 0, drop rows already stored (``insert_new``) or the whole batch if
+    any is stored (``reject_batch``) or nothing (``as_judged``), append.  Returns the rows
+    appended by this run; a ``batch_id`` that is done appends nothing."""
+    batch_id = batch_id or uuid.uuid4().hex
+    states = {r["state"] for r in commits(spark, base, name).where(F.col("batch_id") == batch_id).collect()}
+    if "done" in states:
+        return 0
+    if "begun" in states:
+        mode = "insert_new"     # judged before; what is stored of it came from the broken run
     stored = read_table(spark, base, name)
     batch = fill_missing_zero(batch.select(*TABLES[name].names))
-    rows = insert_guard(batch, stored, mode=mode, ignore=ignore)
-    staged = rows.checkpoint(eager=True)  # pin the slice: the write and the count see the same rows
-    w = staged.write.mode("append")
-    if name in PARTITION:
-        w = w.partitionBy(PARTITION[name])
-    w.parquet(f"{base.rstrip('/')}/{name}")
-    return staged.count()
+    staged = insert_guard(batch, stored, mode=mode, ignore=ignore).checkpoint(eager=True)  # one slice for all that follows
+    facts = staged.agg(F.count(F.lit(1)).alias("rows"), F.bit_xor(F.xxhash64(*staged.columns)).alias("digest")).first()
+    _note(spark, base, name, batch_id, "begun", facts["rows"], facts["digest"])
+    if facts["rows"]:
+        w = staged.write.mode("append")
+        if name in PARTITION:
+            w = w.partitionBy(PARTITION[name])
+        w.parquet(f"{base.rstrip('/')}/{name}")
+    _note(spark, base, name, batch_id, "done", facts["rows"], facts["digest"])
+    return facts["rows"]
 
 
 def seed_dimension(stations: DataFrame, seeds: DataFrame) -> DataFrame:
@@ -138,6 +203,6 @@ def latest_by_station(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.max("time").alias("last_time"))
 
 
-__all__ = ["bootstrap_tables", "read_table", "scan_station", "append_rows", "seed_dimension", "seed_rows",
+__all__ = ["bootstrap_tables", "bootstrap_catalog", "catalog_columns", "commits", "read_table", "scan_station", "append_rows", "seed_dimension", "seed_rows",
            "station_coverage", "register_stations", "ensure_coordinates", "update_range", "landing_fetch",
            "latest_by_station"]
