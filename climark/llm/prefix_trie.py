@@ -101,8 +101,8 @@ def numbered(turns: DataFrame) -> DataFrame:
     """``turns`` (conv, turn, a, b, check, words) with ``place``, from 1 within each conversation."""
     spark = turns.sparkSession
     order = ["conv", F.asc_nulls_first("turn"), "a", "b", "row"]
-    rows = turns.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(
-        _partitions(spark), *order).sortWithinPartitions(*order).select(
+    turns = stored(turns.withColumn("row", F.monotonically_increasing_id()), "trie_hashes")   # texts are read once
+    rows = turns.repartitionByRange(_partitions(spark), *order).sortWithinPartitions(*order).select(
         F.spark_partition_id().alias("slab"), "conv", "a", "b", "check", "words")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
