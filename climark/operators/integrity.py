@@ -64,15 +64,12 @@ def insert_guard(new: DataFrame, old: DataFrame, mode: str = "insert_new", ignor
     ``insert_new``   - anti-join: only rows not already stored.
     ``reject_batch`` - the whole batch, unless any row is already stored
                        (then nothing); the existence test is a LIMIT 1 probe.
-    ``as_judged``    - the whole batch: the caller knows that its rows are new.
     """
     if mode == "insert_new":
         return _all_column_match(new, old, ignore, "left_anti", restrict_time)
     if mode == "reject_batch":
         has_dup = not find_duplicates(new, old, ignore, restrict_time).isEmpty()
         return new.limit(0) if has_dup else new
-    if mode == "as_judged":
-        return new
     raise ValueError(f"unknown mode {mode!r}")
 
 

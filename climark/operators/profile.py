@@ -32,13 +32,26 @@ def _holds(rank, first, n):
     return (rank >= first) & (rank < first + n)
 
 
+def _bucket(v, lo, hi):
+    """A number of ``RANGES`` that never falls as ``v`` grows from ``lo`` to ``hi``: by distance, or by
+    exponent where the ends have one sign and differ by more than a factor of four; apart by
+    sign.  So a few cuts reach any doubles: one for the sign, one for the exponent, then by distance."""
+    def scale(x):
+        return F.signum(x) * F.log2(F.abs(x))
+
+    one_sign = (lo > 0) | (hi < 0)
+    wide = one_sign & (F.greatest(F.abs(lo), F.abs(hi)) / 4 > F.least(F.abs(lo), F.abs(hi)))
+    even = (v / 2 - lo / 2) / (hi / 2 - lo / 2)          # halved: the distance of two doubles may be none
+    by_exponent = (scale(v) - scale(lo)) / (scale(hi) - scale(lo))
+    return F.floor(F.when(wide, by_exponent).otherwise(even) * RANGES) * 3 + F.signum(v).cast("long") + 1
+
+
 def _refined(inside: DataFrame, g: list[str], ps: list[float], ordered: int) -> DataFrame:
     """``inside`` (g, _n, _off, _v, _c) with every range of more than ``ordered`` values cut into
     ``RANGES``, and without the ranges that hold no wanted rank.  A range is known by ``_off``,
     the number of rows below it."""
     span = inside.groupBy(*g, "_off").agg(F.count(F.lit(1)).alias("_k"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    whole = F.col("_hi") / 2 - F.col("_lo") / 2        # halved: the distance of two doubles may be none
-    bucket = F.when(F.col("_k") > ordered, F.floor((F.col("_v") / 2 - F.col("_lo") / 2) / whole * RANGES)).otherwise(0)
+    bucket = F.when(F.col("_k") > ordered, _bucket(F.col("_v"), F.col("_lo"), F.col("_hi"))).otherwise(0)
     cut = inside.join(span, [*g, "_off"]).withColumn("_b", bucket.cast("long"))
     w = Window.partitionBy(*g, "_off").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     parts = cut.groupBy(*g, "_off", "_b").agg(F.sum("_c").alias("_bc"), F.first("_n").alias("_n"))

@@ -107,9 +107,10 @@ def append_rows(spark: SparkSession, base: str, name: str, batch: DataFrame, mod
         return 0
     if "begun" in states:
         mode = "insert_new"     # judged before; what is stored of it came from the broken run
-    stored = read_table(spark, base, name)
-    batch = fill_missing_zero(batch.select(*TABLES[name].names))
-    staged = insert_guard(batch, stored, mode=mode, ignore=ignore).checkpoint(eager=True)  # one slice for all that follows
+    rows = fill_missing_zero(batch.select(*TABLES[name].names))
+    if mode != "as_judged":
+        rows = insert_guard(rows, read_table(spark, base, name), mode=mode, ignore=ignore)
+    staged = rows.checkpoint(eager=True)  # one slice for all that follows
     facts = staged.agg(F.count(F.lit(1)).alias("rows"), F.bit_xor(F.xxhash64(*staged.columns)).alias("digest")).first()
     _note(spark, base, name, batch_id, "begun", facts["rows"], facts["digest"])
     if facts["rows"]:

@@ -6,7 +6,7 @@ from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import functions as F
 
 from climark.operators import sequences as sq
-from climark.operators.forecast import REGRESSORS, MultiTarget
+from climark.operators.forecast import CANDIDATES, MultiTarget
 from climark.operators.importance import permutation_importance
 from climark.schemas import TARGETS
 from climark.session import scratch_path
@@ -34,7 +34,7 @@ def test_flatten_is_step_major(spark):
 
 def test_multitarget_save_load_roundtrip(spark):
     w = sq.flatten_window(windows(spark), FEATS)
-    mt = MultiTarget.fit(w, REGRESSORS["Linear Regression"])
+    mt = CANDIDATES["Linear Regression"](w)
     path = scratch_path(spark, "model-test")
     mt.save(path)
     back = MultiTarget.load(path, LinearRegressionModel)
@@ -45,18 +45,59 @@ def test_multitarget_save_load_roundtrip(spark):
 
 def test_comparison_has_every_candidate():
     from climark.plans.queries_ml import ML_MODELS
-    assert ML_MODELS == list(REGRESSORS) and "Random Forest" in ML_MODELS
+    assert ML_MODELS == list(CANDIDATES) and "Random Forest" in ML_MODELS
 
 
 def test_permutation_importance_sums_to_one(spark):
     win = windows(spark)
-    mt = MultiTarget.fit(sq.flatten_window(win, FEATS), REGRESSORS["Linear Regression"])
+    mt = CANDIDATES["Linear Regression"](sq.flatten_window(win, FEATS))
     imp = permutation_importance(win, mt, FEATS, ["id_ciudad", "target_time"], TARGETS).collect()
     assert len(imp) == 3
     assert abs(sum(r.Importancia for r in imp) - 1.0) < 1e-9
     assert all(r.Importancia >= 0 for r in imp)
 
 
+def test_importance_of_a_linear_model_is_the_closed_form(spark):
+    """mean |sum over steps of w (donor - own)| per feature, from the same permutation."""
+    import numpy as np
+    from climark.operators.importance import permuted_join
+    win = windows(spark, n=200)
+    mt = CANDIDATES["Linear Regression"](sq.flatten_window(win, FEATS))
+    imp = {r.Variable: r.Importancia for r in permutation_importance(win, mt, FEATS, ["id_ciudad", "target_time"], TARGETS).collect()}
+    pairs = permuted_join(win, FEATS, ["id_ciudad", "target_time"]).collect()
+    want = {}
+    for f in FEATS:
+        own = [r for r in pairs if r.feature == f]
+        change = np.array([r.perm_x for r in own]) - np.array([r.x for r in own])
+        want[f] = np.mean([np.abs(change @ m.coefficients.toArray()) for m in mt.models.values()])
+    for f in FEATS:
+        assert abs(imp[f] - want[f] / sum(want.values())) < 1e-9
+
+
+def test_stream_knows_rows_that_other_jobs_stored(spark):
+    """The state learns the stored days from the table's files, not from a join with the table."""
+    base = scratch_path(spark, "stream-known")
+
+    def rows(first, n, tmax=30.0):
+        return spark.createDataFrame([(1, dt.datetime(2020, 1, 1) + dt.timedelta(days=d), tmax, 20.0, 25.0, 0.0, 0.0, 10, 1.0,
+                                       0.0, 1000.0, 0.0) for d in range(first, first + n)], tb.TABLES["clima"]).coalesce(1)
+
+    tb.bootstrap_tables(spark, f"{base}/tables")
+    tb.append_rows(spark, f"{base}/tables", "clima", rows(0, 40), batch_id="initial")
+    rows(30, 40).write.mode("append").parquet(f"{base}/landing")
+    stream_ingest_observations(spark, f"{base}/landing", f"{base}/tables", f"{base}/_ck")
+    assert tb.read_table(spark, f"{base}/tables", "clima").count() == 70
+    tb.append_rows(spark, f"{base}/tables", "clima", rows(70, 10), batch_id="between")     # between two runs
+    rows(60, 30).write.mode("append").parquet(f"{base}/landing")
+    rows(0, 2, tmax=31.0).write.mode("append").parquet(f"{base}/landing")                    # contradicts stored days
+    stream_ingest_observations(spark, f"{base}/landing", f"{base}/tables", f"{base}/_ck")
+    table = tb.read_table(spark, f"{base}/tables", "clima")
+    assert table.count() == 90 == table.select("time").distinct().count()
+    assert spark.read.parquet(f"{base}/tables/rechazos").count() == 2
+    states = tb.commits(spark, f"{base}/tables", "clima").groupBy("batch_id").agg(F.collect_set("state").alias("s")).collect()
+    assert all(sorted(r.s) == ["begun", "done"] for r in states)
+
+
 def test_stream_ingest_dedups_and_is_idempotent(spark):
     base = scratch_path(spark, "stream-test")
     rows = [(1, dt.datetime(2020, 1, d), 30.0, 20.0, 25.0, None, None, 10, 1.0, None, 1000.0, None)

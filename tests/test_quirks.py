@@ -212,6 +212,75 @@ def test_exact_quantiles_over_many_ranges_ties_and_nulls(spark):
         assert np.allclose(r.q, np.quantile(groups[r.g], ps), rtol=1e-12), r
 
 
+def test_quantiles_of_far_values_order_no_large_range(spark):
+    import numpy as np
+    rng = np.random.default_rng(8)
+    groups = {1: np.append(rng.normal(size=6000), 1e12), 2: np.append(rng.normal(size=900), [-1.7e308, 1.7e308]),
+              3: np.repeat(rng.normal(size=40), 50), 4: 2.0 ** rng.integers(-900, 900, 3000)}
+    df = spark.createDataFrame([(g, float(v)) for g, vs in groups.items() for v in vs], "g int, x double")
+    ps = [0.25, 0.5, 0.75]
+    inside = pf.ranked_ranges(df, ["x"], ["g"], ps, ordered=200)
+    assert inside.groupBy("g", "_off").count().agg(F.max("count")).first()[0] <= 200
+    for r in pf.exact_quantiles(df, ["x"], ["g"], ps, ordered=200).collect():
+        assert np.allclose(r.q, np.quantile(groups[r.g], ps), rtol=1e-12), r
+
+
+def test_density_counts_every_value_that_matters(spark):
+    import numpy as np
+    rng = np.random.default_rng(1)
+    values = np.append(rng.normal(size=3000), [40.0, -55.0])
+    df = spark.createDataFrame([(1, float(v)) for v in values] + [(1, None), (2, 5.0), (2, 5.0)], "id_ciudad int, x double")
+    rows = {(r.id_ciudad, r.g): r for r in pf.kde_curves(df, ["x"]).collect()}
+    assert len(rows) == 200 and {k[0] for k in rows} == {1}        # no bandwidth, no curve
+    bw = values.std(ddof=1) * len(values) ** -0.2
+    for g in range(200):
+        x = values.min() - 3 * bw + g * (np.ptp(values) + 6 * bw) / 199
+        want = np.exp(-0.5 * ((x - values) / bw) ** 2).sum() / (len(values) * bw * np.sqrt(2 * np.pi))
+        assert abs(rows[1, g].density - want) < 1e-6 and abs(rows[1, g].x - x) < 1e-6
+
+
+def test_a_broken_append_is_completed_and_a_done_one_not_repeated(spark):
+    from climark.session import scratch_path
+    base = scratch_path(spark, "commits")
+    tb.bootstrap_tables(spark, base)
+    full = series(spark, 20).withColumns({c: F.lit(0.0) for c in ["prcp", "snow", "wspd", "wpgt", "pres", "tsun"]}) \
+        .withColumn("wdir", F.lit(1))
+    half = full.where(F.col("time") < day(2020, 1, 11))
+    assert tb.append_rows(spark, base, "clima", half, batch_id="a", mode="reject_batch") == 10
+    # a run that died after it wrote half of batch b: its files are there, its done record is not
+    spark.createDataFrame([("b", "begun", 20, 0)], tb.RECORD).write.mode("append").parquet(f"{base}/commits/clima")
+    assert tb.append_rows(spark, base, "clima", full, batch_id="b", mode="reject_batch") == 10
+    for batch_id in ("a", "b"):
+        assert tb.append_rows(spark, base, "clima", series(spark, 3, start=day(2021, 1, 1)), batch_id=batch_id) == 0
+    assert tb.append_rows(spark, base, "clima", full, batch_id="c", mode="reject_batch") == 0
+    assert tb.read_table(spark, base, "clima").count() == 20
+    done = {r.batch_id: r["rows"] for r in tb.commits(spark, base, "clima").where("state = 'done'").collect()}
+    assert done == {"a": 10, "b": 10, "c": 0}
+
+
+def test_catalog_bootstrap_twice_changes_nothing(spark):
+    from climark.session import scratch_path
+    base = scratch_path(spark, "ddl")
+    for _ in range(2):
+        tb.bootstrap_catalog(spark, base, "climark_ddl_test")
+        spark.sql("INSERT INTO climark_ddl_test.ciudades VALUES (1, 'Piura', -5.0, -80.0)")
+    assert spark.table("climark_ddl_test.ciudades").count() == 2
+    columns = {(r.table_name, r.column_name): (r.data_type, r.required, r.partition)
+               for r in tb.catalog_columns(spark, "climark_ddl_test").collect()}
+    assert len(columns) == 21 and columns["clima", "id_ciudad"] == ("int", True, True)
+    assert columns["clima", "tmax"] == ("double", False, False) and columns["predic", "time"] == ("timestamp_ntz", True, False)
+
+
+def test_serving_windows_keep_T_rows_a_task(spark):
+    obs = series(spark, 60, gap_every=4).unionByName(series(spark, 4, station=2))
+    win = sq.serving_windows(obs, ["tmax", "tmin"], 5)
+    rows = win.collect()
+    assert [r.id_ciudad for r in rows] == [1] and len(rows[0].seq) == 5
+    last = sorted(obs.where("id_ciudad = 1").collect(), key=lambda r: r.time)[-5:]
+    assert [(s.time, s.tmax, s.tmin) for s in rows[0].seq] == [(r.time, r.tmax, r.tmin) for r in last]
+    assert "WindowGroupLimit" in win._jdf.queryExecution().executedPlan().toString()
+
+
 def test_percentiles_exact_and_approx_on_request(spark):
     df = spark.createDataFrame([(1, float(x)) for x in range(101)], "id_ciudad int, x double")
     exact = pf.describe_numeric(df, ["x"], approx=False).first()
