@@ -4,8 +4,9 @@ A byte-pair tokenizer first splits a text into words and then encodes each
 word on its own, so a text's ids are its words' ids one after the other.  The
 encoder keeps the ids of words it has met, as the tokenizer gave them, and
 asks the tokenizer only for new ones.  Texts with characters outside a plain
-range (where Unicode tables of two libraries could differ) are given to the
-tokenizer whole.  The results are those of encoding whole texts.
+range (where Unicode tables of two libraries could differ) and texts with the string
+of a token that the file adds to its model (such as an end mark) are given to the
+tokenizer whole.  The results are those of the library's ``encode`` of whole texts.
 """
 
 from __future__ import annotations
@@ -66,10 +67,11 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         name = path.rsplit("/", 1)[-1]
         self.words = _WORDS.get(name)
         self.lower = name == "word_bpe_49k.json"
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = [t.lower() for t in added] if self.lower else added
         self.memo = _Memo(self.word)
         self.span_memo = _Memo(self.word_spans)
 
@@ -87,13 +89,12 @@ class Encoder:
         return np.array(ids, dtype="<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
-        if self.words is None or _ODD.search(text):
+        plain = text.lower() if self.lower else text
+        if self.words is None or _ODD.search(text) or any(t in plain for t in self.added):
             return self.whole(text)
         if len(self.memo) > MEMO_WORDS:
             self.memo.turn()
-        if self.lower:
-            text = text.lower()
-        return b"".join(map(self.memo.__getitem__, self.words.findall(text)))
+        return b"".join(map(self.memo.__getitem__, self.words.findall(plain)))
 
     def word_spans(self, word: str) -> bytes:
         got = self.tokenizer.encode(word, add_special_tokens=False).offsets
@@ -102,7 +103,7 @@ class Encoder:
     def spans(self, text: str) -> np.ndarray:
         """(first character, end) of every token of a text, as the tokenizer's
         offsets; for tokenizers whose words cover the whole text."""
-        if self.words is None or self.lower or _ODD.search(text):
+        if self.words is None or self.lower or _ODD.search(text) or any(t in text for t in self.added):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).offsets, np.int64).reshape(-1, 2)
         if len(self.span_memo) > MEMO_WORDS:
             self.span_memo.turn()

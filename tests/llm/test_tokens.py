@@ -21,14 +21,13 @@ from tests.conftest import SF_SMALL
 from tests.llm import brute
 
 BYTES, WORDS = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
-ODD = [(None, None), (None, "a b"), (3, ""), (3, ""), (1, "x y " * 4000), (7, "<|endoftext|> 中🙂 Ⅷ's\x85\xa0é")]
+ODD = [(None, None), (None, "a b"), (3, ""), (3, ""), (1, "x y " * 4000), (7, "<|endoftext|> 中🙂 Ⅷ's\x85\xa0é"),
+       (8, "a <|endoftext|> b<|endoftext|>"), (9, "<|EndOfText|> <|startoftext|>x <|endoftext")]
 
 
 @functools.cache
 def tokenizer(path):
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(path)
 
 
 def whole(path, text):
@@ -44,8 +43,13 @@ def rows(spark):
 def test_words_by_memo_equal_whole_texts(path):
     rnd, enc = random.Random(1), encoder(path)
     letters = "aZ é'sStTrevml0²9 \n\t\r.,!'\"–€Œßµª½ \xa0 Ǆ中🙂½<|>\x1c\x85"
-    for _ in range(1500):
+    marks = [t.content for t in tokenizer(path).get_added_tokens_decoder().values()]
+    assert marks
+    for k in range(1500):
         text = "".join(rnd.choice(letters) for _ in range(rnd.randint(0, 40)))
+        if k % 5 == 0:
+            mark = rnd.choice(marks)
+            text = text[:9] + rnd.choice((mark, mark.upper(), mark[:-1], mark + " " + mark)) + text[9:]
         got = whole(path, text)
         assert np.frombuffer(enc.encode(text), "<u4").tolist() == got.ids, repr(text)
         assert enc.spans(text).tolist() == [list(o) for o in got.offsets], repr(text)
