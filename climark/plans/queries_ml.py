@@ -384,6 +384,20 @@ new AS ({_REPEAT_SQL} JOIN b ON b.id = x.id_ciudad
 SELECT * FROM predic UNION ALL SELECT * FROM new"""
 
 
+#: The same month by month: each delivery's stations catch up from their last forecast.
+MONTHLY_SQL = f"""{_LAST_SQL},
+lf AS (SELECT id, max(time) AS last_fc FROM predic GROUP BY id),
+m AS (SELECT id_ciudad, date_trunc('month', time) AS mon, max(i) AS e, max(time) AS last_obs FROM x
+      WHERE time > {{FORECAST_END}} GROUP BY 1, 2),
+b AS (SELECT m.*, date_diff('day', coalesce(lag(m.last_obs) OVER (PARTITION BY m.id_ciudad ORDER BY mon) + INTERVAL 1 DAY,
+                                            lf.last_fc, m.last_obs), m.last_obs) AS d
+      FROM m LEFT JOIN lf ON lf.id = m.id_ciudad),
+new AS ({_REPEAT_SQL} JOIN b ON b.id_ciudad = x.id_ciudad
+        WHERE b.d >= 0 AND i BETWEEN b.e - b.d AND b.e AND i >= {T} - 1
+          AND NOT EXISTS (SELECT 1 FROM predic p WHERE p.id = x.id_ciudad AND p.time = x.time + INTERVAL 1 DAY))
+SELECT * FROM predic UNION ALL SELECT DISTINCT * FROM new"""
+
+
 @register("forecast_next_day_persistence", "L08", f"{_LAST_SQL} {_REPEAT_SQL} WHERE i = n - 1 AND n >= {T}",
           materialize=True)
 def q_forecast_next_day_persistence(t: Tables):

@@ -11,7 +11,7 @@ from climark.functions.calendar import prepare_features
 from climark.operators import sequences as sq
 from climark.plans.catalog import register
 from climark.plans.queries_core import stored, ts
-from climark.plans.queries_ml import MISSED_SQL, model_forecaster, persistence, serving_model, station_tables
+from climark.plans.queries_ml import MONTHLY_SQL, model_forecaster, persistence, serving_model, station_tables
 from climark.schemas import REDUCED_FEATURES, WINDOW_T
 from climark.session import scratch_path
 from climark.sources import tables as tb
@@ -68,7 +68,7 @@ def q_stream_daily_forecast(t: Tables):
     return _streamed_forecasts(t, model_forecaster(serving_model(t)))
 
 
-@register("stream_daily_forecast_persistence", "I02", MISSED_SQL, materialize=True)
+@register("stream_daily_forecast_persistence", "I02", MONTHLY_SQL, materialize=True)
 def q_stream_daily_forecast_persistence(t: Tables):
     """The forecast table after the stream, by the forecaster that repeats the last day."""
     return _streamed_forecasts(t, persistence)
