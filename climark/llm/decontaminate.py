@@ -9,11 +9,13 @@ broadcast, turns a document into numbers (0 for words no item has), hashes all
 its windows at once, looks them up and verifies every hit number by number.
 
 The broadcast is bounded: benchmarks are cut into slices of at most
-``SLICE_WINDOWS`` windows, each slice scans all documents, and the hits of the
+``SLICE_WINDOWS`` windows, one after another: a slice is read, broadcast, scans all
+documents, and is let go before the next is read; the hits of the
 slices are joined by document.  One slice (the usual case) needs no shuffle.
 
 Defined results for odd input: null or empty text has no words and no hits, a
-null or empty item has no windows; items with equal words are reported each;
+null or empty item has no windows; an item without an id
+contaminates but is no item of n_items; items with equal words are reported each;
 repeated documents are judged one by one; without documents or items there are
 no hits; further columns are passed through by ``drop_contaminated`` and
 ``cut_spans``.
@@ -22,6 +24,7 @@ no hits; further columns are passed through by ``drop_contaminated`` and
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,12 +32,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from climark.llm.common import fresh, stored
 
 WINDOW = 10
 SLICE_WINDOWS = 500_000   # windows in one broadcast: about 100 MB in a worker at 10 words
 _SPLIT = bytes(c + 32 if 0x41 <= c <= 0x5A else c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80
                else 0x20 for c in range(256))
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_FOUND = T.ArrayType(T.StructType([T.StructField("at", T.IntegerType()), T.StructField("words", T.IntegerType())]))
 
 
 def words(text: bytes) -> list[bytes]:
@@ -107,23 +114,31 @@ class Grams:
 
 
 def item_slices(benchmark: DataFrame, n: int, id_col: str, text_col: str,
-                slice_windows: int = SLICE_WINDOWS) -> list[list[tuple]]:
-    """Items in slices of bounded windows.  Item ids and texts come to the
-    driver slice by slice, in id order; the driver holds one row at a time
-    besides the slices it builds."""
+                slice_windows: int = SLICE_WINDOWS) -> Iterator[list[tuple]]:
+    """Items in slices of bounded windows, in id order; at least one slice.  Items come
+    to the driver partition by partition, and it holds the slice at hand only."""
     rows = benchmark.select(F.col(id_col), F.col(text_col).cast("string")).orderBy(id_col, text_col)
-    slices, held = [[]], 0
+    own, held = [], 0
     for item, text in rows.toLocalIterator():
         ws = words((text or "").encode())
         for at in range(0, max(1, len(ws) - n + 1), slice_windows):   # a longer item goes to several slices
             part = ws[at:at + slice_windows + n - 1] if len(ws) >= n else ws
             size = max(1, len(part) - n + 1)
-            if slices[-1] and held + size > slice_windows:
-                slices.append([])
-                held = 0
-            slices[-1].append((item, b" ".join(part).decode()))
+            if own and held + size > slice_windows:
+                yield own
+                own, held = [], 0
+            own.append((item, b" ".join(part).decode()))
             held += size
-    return slices
+    yield own
+
+
+def _with_end(slices: Iterator[list[tuple]]) -> Iterator[tuple[list[tuple], bool]]:
+    """Each slice and whether it is the last."""
+    own = next(slices)
+    for following in slices:
+        yield own, False
+        own = following
+    yield own, True
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
@@ -132,12 +147,10 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, id_col: st
     window), n_items, items_sha256 (of the sorted, comma-joined ids of the items
     found), contaminated; and spans, the hit stretches as (first word, end word)."""
     sc = docs.sparkSession.sparkContext
-    slices = item_slices(benchmark, n, item_col, item_text, slice_windows)
+    slices = _with_end(item_slices(benchmark, n, item_col, item_text, slice_windows))
     schema = "doc_id long, n_words long, items array<string>, spans array<struct<first:int,end:int>>"
 
-    def scan(part: list[tuple]):
-        grams = sc.broadcast(Grams.of(part, n))
-
+    def scan(grams):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             g = grams.value
             number = g.vocabulary.get
@@ -155,7 +168,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, id_col: st
                     out["doc_id"].append(doc_id)
                     out["n_words"].append(len(ws))
                     owners = {id(f[2]): f[2] for f in found}.values()
-                    out["items"].append(sorted({str(g.items[k]) for ks in owners for k in ks}))
+                    out["items"].append(sorted({str(g.items[k]) for ks in owners for k in ks if g.items[k] is not None}))
                     out["spans"].append([{"first": a, "end": b} for a, b in zip(edge[::2].tolist(), edge[1::2].tolist())])
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": pa.array(out["doc_id"], pa.int64()), "n_words": pa.array(out["n_words"], pa.int64()),
@@ -165,18 +178,20 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, id_col: st
         return run
 
     rows = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    if len(slices) == 1:
-        hits = rows.mapInArrow(scan(slices[0]), schema)
+    part, only = next(slices)
+    if only:
+        hits = rows.mapInArrow(scan(sc.broadcast(Grams.of(part, n))), schema)
     else:
-        # one pass of all documents per slice; a document's passes meet by its id and a hash of its text
-        key = [F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text")]
-        tagged = docs.select(*key)
-        passes = None
-        for part in slices:
-            one = _with_text_key(tagged, scan(part), schema)
-            passes = one if passes is None else passes.unionByName(one)
+        # one stored pass of all documents per slice, with one slice's windows at a time;
+        # a document's passes meet by its id and a hash of its text
+        passes, turns = None, 0
+        for own, _ in itertools.chain([(part, False)], slices):
+            grams = sc.broadcast(Grams.of(own, n))
+            one = stored(_with_text_key(rows, scan(grams), schema), "slice_hits")
+            grams.unpersist()
+            passes, turns = one if passes is None else passes.unionByName(one), turns + 1
         hits = (passes.groupBy("doc_id", "text_key").agg(
-            F.max("n_words").alias("n_words"), (F.count(F.lit(1)) / len(slices)).cast("int").alias("copies"),
+            F.max("n_words").alias("n_words"), (F.count(F.lit(1)) / turns).cast("int").alias("copies"),
             F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"),
             F.array_distinct(F.flatten(F.collect_set("spans"))).alias("spans"))
             .withColumn("spans", _merged(F.sort_array("spans")))
@@ -213,35 +228,49 @@ def _merged(spans):
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, mode: str = "documents", n: int = WINDOW, text_col: str = "text",
-          item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """``docs`` without contamination, all columns kept, in one scan.
+          item_col: str = "item_id", item_text: str = "text", slice_windows: int = SLICE_WINDOWS) -> DataFrame:
+    """``docs`` without contamination, all columns kept, in one scan a slice.
 
     ``mode`` "documents" drops every document with a hit; "spans" cuts the hit
-    stretches out of the texts instead.  Benchmarks of more than one slice are
-    applied slice after slice (spans are cut where a slice finds them)."""
+    stretches out of the texts instead.  Every slice sees the texts as they came:
+    with several, rows carry the windows found so far, and the last slice cuts."""
     if mode not in ("documents", "spans"):
         raise ValueError(f"unknown mode {mode!r}")
-    sc, at = docs.sparkSession.sparkContext, docs.columns.index(text_col)
-    for part in item_slices(benchmark, n, item_col, item_text):
-        grams = sc.broadcast(Grams.of(part, n))
+    sc, at, schema = docs.sparkSession.sparkContext, docs.columns.index(text_col), docs.schema
+    spans, carried = mode == "spans", fresh(docs, "_found")
+    rows = docs
+    for part, last in _with_end(item_slices(benchmark, n, item_col, item_text, slice_windows)):
+        grams, first = sc.broadcast(Grams.of(part, n)), rows is docs
 
-        def run(batches: Iterator[pa.RecordBatch], grams=grams) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], grams=grams, first=first, last=last) -> Iterator[pa.RecordBatch]:
             g = grams.value
             number = g.vocabulary.get
             for batch in batches:
-                keep, texts = [], []
-                for text in batch.column(at).cast(pa.binary()).to_pylist():
+                before = [[]] * batch.num_rows if first or not spans else batch.column(len(schema)).to_pylist()
+                if spans and not first:
+                    batch = batch.select(range(len(schema)))
+                keep, texts, windows = [], [], []
+                for text, old in zip(batch.column(at).cast(pa.binary()).to_pylist(), before):
                     ws = words(text or b"")
-                    found = g.hits(np.fromiter((number(w, 0) for w in ws), np.int64, len(ws)))
-                    keep.append(not found or mode == "spans")
-                    texts.append(_cut(text, ws, found) if found and mode == "spans" else text)
-                if mode == "spans":
+                    found = [(p, m) for p, m, _ in g.hits(np.fromiter((number(w, 0) for w in ws), np.int64, len(ws)))]
+                    keep.append(not found or spans)
+                    if spans:
+                        found += [(p["at"], p["words"]) for p in old]
+                        windows.append([{"at": p, "words": m} for p, m in found])
+                        texts.append(_cut(text, ws, found) if found and last else text)
+                if spans and last:
                     column = pa.array(texts, pa.binary()).cast(pa.string())
                     batch = batch.set_column(at, batch.schema.field(at), column.cast(batch.schema.field(at).type))
+                elif spans:
+                    batch = batch.append_column(carried, pa.array(windows, pa.list_(pa.struct(
+                        [("at", pa.int32()), ("words", pa.int32())]))))
                 yield batch.filter(pa.array(keep, pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+        if last:
+            return rows.mapInArrow(run, schema)
+        out = T.StructType(schema.fields + [T.StructField(carried, _FOUND)]) if spans else schema
+        rows = stored(rows.mapInArrow(run, out), "slice_rows")
+        grams.unpersist()
 
 
 def _cut(text: bytes, ws: list[bytes], found: list) -> bytes:
@@ -252,7 +281,7 @@ def _cut(text: bytes, ws: list[bytes], found: list) -> bytes:
         starts.append(at)
         at += len(w)
     hit = np.zeros(len(ws) + 2, np.int8)
-    for p, m, _ in found:
+    for p, m in found:
         hit[p + 1:p + 1 + m] = 1
     edge = np.flatnonzero(np.diff(hit)).tolist()
     out, at = [], 0

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -44,6 +45,23 @@ def test_decontamination_modes_and_empty_tables(spark):
     assert decontaminate.find_hits(docs, items.limit(0)).where("contaminated").count() == 0
 
 
+def test_decontamination_by_slices_equals_one_slice(spark):
+    rnd = random.Random(5)
+    texts = [" ".join(f"w{rnd.randrange(40)}" for _ in range(60)) for _ in range(12)]
+    items = spark.createDataFrame([(k, " ".join(t.split()[5:22])) for k, t in enumerate(texts)] + [(None, "w1 w2")],
+                                  "item_id long, text string")
+    cut = " ".join(texts[0].split()[:10] + texts[1].split()[5:18] + texts[0].split()[10:20])   # cutting makes new neighbours
+    docs = spark.createDataFrame([(k, t, k) for k, t in enumerate([*texts, cut, cut, "w1 w2", None, "", "zz"])],
+                                 DOC + ", _found long")
+    for mode in ("documents", "spans"):
+        whole = sorted(decontaminate.clean(docs, items, mode).collect(), key=str)
+        assert sorted(decontaminate.clean(docs, items, mode, slice_windows=7).collect(), key=str) == whole
+    hits = {r.doc_id: r for r in decontaminate.find_hits(docs, items, slice_windows=7).collect()}
+    assert hits[14].contaminated and hits[14].n_items == 0       # found through the item without an id
+    assert sorted(hits.values(), key=str) == sorted(decontaminate.find_hits(docs, items).collect(), key=str)
+    assert [len(s) > 0 for s in decontaminate.item_slices(items.limit(0), 10, "item_id", "text")] == [False]
+
+
 def near_copies(seed):
     rnd, words = random.Random(seed), [f"w{k}" for k in range(60)]
     rows = [(None, None), (None, "a b"), (7, ""), (7, "a b"), (8, "A  B"), (9, " . ")]
@@ -150,6 +168,36 @@ def test_language_id_of_letters_above_the_basic_plane():
     assert low[1] == low[2] != 0 and not language_id.letters("\U0001F600").any()
 
 
+def test_language_vectors_of_varied_texts_come_in_slices(monkeypatch):
+    rng = np.random.default_rng(4)
+    text = "".join(map(chr, rng.integers(0x4E00, 0x9000, 20_000)))       # nearly as many trigrams as letters
+    keys, counts = language_id.trigrams(text)
+    assert len(keys) > 4 * language_id.SLICE
+    asked, of = [], language_id._VECTORS.of
+    monkeypatch.setattr(language_id._VECTORS, "of", lambda k: asked.append(len(k)) or of(k))
+    got = language_id.text_vector(text)
+    assert max(asked) <= language_id.SLICE and len(asked) > 4
+    want = sum(c * language_id.trigram_vector(k).astype(np.int64) for k, c in zip(keys.tolist(), counts.tolist()))
+    assert np.allclose(got, want / np.sqrt((want ** 2).sum()), atol=1e-6)
+
+
+def test_quality_learns_beside_a_bag_beyond_the_bound(spark, monkeypatch):
+    monkeypatch.setattr(quality_model, "TRAIN_PASSAGES", 40)
+    own = [i for i in range(1, 400) if in_training(i)][:20]
+    rows = [(i, ("fine words of a text. " if k % 2 else "### 000 $$$ ") * 10) for k, i in enumerate(own)]
+    labels = spark.createDataFrame([(i, k % 2) for k, i in enumerate(own)], "doc_id long, quality int")
+    for long in own[:3]:
+        docs = spark.createDataFrame([(i, t * 800 if i == long else t) for i, t in rows], DOC)
+        scores = {r.doc_id: r.score for r in quality_model.score(docs, quality_model.learn(docs, labels)).collect()}
+        good = [scores[i] for k, i in enumerate(own) if k % 2 and i != long]
+        bad = [scores[i] for k, i in enumerate(own) if not k % 2 and i != long]
+        assert min(good) > max(bad)
+
+
+def in_training(doc_id):
+    return zlib.crc32(str(doc_id).encode()) % 5 != 0
+
+
 def test_quality_on_the_held_out_fold(spark):
     labels = table(spark, "labels", SF_MID)
     got = queries.op5_quality_classifier(spark, SF_MID).join(labels, "doc_id").where("held_out").collect()
