@@ -53,6 +53,7 @@ CLASS_ROWS = 100       # training texts from which a class has a floor of its ow
 _CLASSES, _BINS = 32, 200
 _CODES = 1 << 16
 _UNUSED, _N_UNUSED = 0xD800, 0x2100   # surrogates and private use: codes of the letters above U+FFFF
+SLICE = 4096           # trigrams bundled at once, however many a text has
 _KEPT = 60_000         # trigram vectors that a worker keeps (one byte per dimension)
 
 
@@ -150,9 +151,12 @@ def text_vector(text: str | None) -> np.ndarray | None:
 def _bundle(keys: np.ndarray, counts: np.ndarray) -> np.ndarray | None:
     if not len(keys):
         return None
-    # einsum: a plain loop, where a matrix library would start threads in every task
-    bundle = np.einsum("i,ij->j", counts.astype(np.float32), _VECTORS.of(keys).astype(np.float32))
-    length = float(np.sqrt((bundle.astype(np.float64) ** 2).sum()))
+    bundle = np.zeros(DIM)
+    for i in range(0, len(keys), SLICE):
+        # einsum: a plain loop, where a matrix library would start threads in every task
+        bundle += np.einsum("i,ij->j", counts[i:i + SLICE].astype(np.float32),
+                            _VECTORS.of(keys[i:i + SLICE]).astype(np.float32))
+    length, bundle = float(np.sqrt((bundle ** 2).sum())), bundle.astype(np.float32)
     return bundle / np.float32(length) if length else bundle
 
 
@@ -205,8 +209,8 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                 keys, at = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
                 counts = np.bincount(at, np.concatenate([c for _, c in found])).astype(np.int64)
                 got = sums.setdefault(lang, np.zeros(DIM, np.int64))
-                for i in range(0, len(keys), 4096):
-                    got += (counts[i:i + 4096, None] * _VECTORS.of(keys[i:i + 4096])).sum(axis=0)
+                for i in range(0, len(keys), SLICE):
+                    got += (counts[i:i + SLICE, None] * _VECTORS.of(keys[i:i + SLICE])).sum(axis=0)
         for lang, got in sums.items():
             yield pa.RecordBatch.from_pydict({"lang": [lang] * DIM, "k": pa.array(range(DIM), pa.int32()),
                                               "v": pa.array(got, pa.int64())})
