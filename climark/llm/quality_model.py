@@ -11,7 +11,7 @@ Adam on the cross entropy.
 Training takes at most ``SAMPLE`` labelled rows outside the held-out fold (those
 with the smallest hash of doc_id), whose features are computed on the
 executors; of these rows the driver takes whole bags, by the same hash, up to
-``TRAIN_PASSAGES`` passages in all.
+``TRAIN_PASSAGES`` passages in all (a bag longer than what is left is passed over).
 
 Defined results for odd input: a null or empty text is one passage without
 words and gets a score like any other; null labels and null ids train nothing;
@@ -210,17 +210,15 @@ def learn(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample
     found = stored(rows.select("_id", "_text", "_label").mapInArrow(bags, "id long, label int, n long, bag binary"),
                    "quality_bags")
     sizes = found.select(F.xxhash64("id"), "id", "label", "n").collect()        # at most ``sample`` rows
-    room, last = TRAIN_PASSAGES, None
-    for h, i, label, n in sorted(map(tuple, sizes)):
-        room -= n
-        if room < 0:
-            break
-        last = (h, i, label)
-    if last is None:
+    room, chosen = TRAIN_PASSAGES, []
+    for _, i, label, n in sorted(map(tuple, sizes)):
+        if n <= room:                       # a document too long for the room left is passed over
+            chosen.append((i, label))
+            room -= n
+    if not chosen:
         return fit([], np.zeros(0))
-    upto = F.struct(*[F.lit(x).cast(t).alias(c) for x, c, t in zip(last, "hil", ("long", "long", "int"))])
-    within = F.struct(F.xxhash64("id").alias("h"), F.col("id").alias("i"), F.col("label").alias("l")) <= upto
-    got = sorted((r["id"], r["label"], bytes(r["bag"])) for r in found.where(within).collect())
+    within = F.broadcast(docs.sparkSession.createDataFrame(chosen, "id long, label int"))
+    got = sorted((r["id"], r["label"], bytes(r["bag"])) for r in found.join(within, ["id", "label"]).collect())
     return fit([np.frombuffer(b, np.float32).reshape(-1, FEATURES) for _, _, b in got], np.array([x for _, x, _ in got], float))
 
 
