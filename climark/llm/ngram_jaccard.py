@@ -20,6 +20,12 @@ components.  Lists that still hold more than one component get other leaders
 twice, and what is left of them after that is paired across components only.  What is left out this way would link
 nodes already connected, so components are exact.
 
+Sets of n and m that link share ceil(0.75 (n + m) / 1.75) shingles, so the shingle (or
+the later one of the pair) by which they first meet stands among the first n, and m,
+less that many, plus one (two) of each.  Rows carry the place of their shingle: one
+whose list has no other set of a size that this allows is dropped, and members
+pair up only where both places allow it.
+
 Defined results for odd input: no text or no word gives the empty set, size 0,
 linked with nothing; a document of fewer than five words has one shingle, its
 whole sequence; repeated rows are separate members of one node; a null doc_id
@@ -149,6 +155,16 @@ def _keep(n: int) -> int:
     return -(-PERCENT * n // 100)
 
 
+def _partners(group: np.ndarray, n: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Whether a row's list has another set that it may link with by size and place; rows are
+    sorted by list and size."""
+    low = -(-PERCENT * n // 100)
+    high = np.maximum(np.minimum(100 * n // PERCENT, (100 + PERCENT) * (n - place) // PERCENT - n), 0)
+    rows = (group << 32) + n
+    others = np.searchsorted(rows, (group << 32) + high, "right") - np.searchsorted(rows, (group << 32) + low)
+    return others > (high >= n)
+
+
 def _facts(docs: DataFrame) -> DataFrame:
     """Per document its node, size and signature; per task its counts in the sketch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,8 +227,9 @@ def boundary(sizes: dict[int, int], order: np.ndarray) -> int:
 
 
 def _lists(docs: DataFrame, order: np.ndarray, small: int) -> DataFrame:
-    """(key, salt, node, n, big): one row for each list a node stands in; salt
-    is the part of a frequent list, -1 where the list is whole."""
+    """(key, salt, node, n, big, place): one row for each list a node stands in; salt
+    is the part of a frequent list, -1 where the list is whole; place counts from 0, for
+    a pair of shingles from its later one, less one."""
     sc = docs.sparkSession.sparkContext
     shared = sc.broadcast(order)
 
@@ -220,7 +237,7 @@ def _lists(docs: DataFrame, order: np.ndarray, small: int) -> DataFrame:
         hits, seen = shared.value, set()
         rank = frequency_rank(hits)
         for batch in batches:
-            keys, salts, nodes, ns, bigs = [], [], [], [], []
+            keys, salts, nodes, ns, bigs, places = [], [], [], [], [], []
             held = 0
             for own in shingle_sets(batch.column(1)):
                 n = len(own)
@@ -234,36 +251,38 @@ def _lists(docs: DataFrame, order: np.ndarray, small: int) -> DataFrame:
                 found = []
                 if n <= small:
                     i, j = np.triu_indices(len(first), 1)
-                    found.append((_mix(first[i] * _BASE + first[j]), np.minimum(common[i], common[j]), False))
+                    found.append((_mix(first[i] * _BASE + first[j]), np.minimum(common[i], common[j]), False, j - 1))
                 if 100 * n >= PERCENT * (small + 1):
-                    found.append((first[:-1], common[:-1], True))
-                for key, often, big in found:
+                    found.append((first[:-1], common[:-1], True, np.arange(len(first) - 1)))
+                for key, often, big, place in found:
                     keys.append(key.view(np.int64))
                     parts = often // HOT + 1
                     salts.append(np.where(parts > 1, int.from_bytes(node[:4], "little") % parts, -1).astype(np.int32))
                     nodes += [node] * len(key)
                     ns.append(np.full(len(key), n, np.int32))
                     bigs.append(np.full(len(key), big))
+                    places.append(place.astype(np.int32))
                     held += len(key)
                 if held > 200_000:
-                    yield _rows(keys, salts, nodes, ns, bigs)
-                    keys, salts, nodes, ns, bigs, held = [], [], [], [], [], 0
+                    yield _rows(keys, salts, nodes, ns, bigs, places)
+                    keys, salts, nodes, ns, bigs, places, held = [], [], [], [], [], [], 0
             if held:
-                yield _rows(keys, salts, nodes, ns, bigs)
+                yield _rows(keys, salts, nodes, ns, bigs, places)
 
-    return docs.mapInArrow(run, "key long, salt int, node binary, n int, big boolean")
+    return docs.mapInArrow(run, "key long, salt int, node binary, n int, big boolean, place int")
 
 
-def _rows(keys, salts, nodes, ns, bigs) -> pa.RecordBatch:
+def _rows(keys, salts, nodes, ns, bigs, places) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({
         "key": pa.array(np.concatenate(keys)), "salt": pa.array(np.concatenate(salts)),
-        "node": pa.array(nodes, pa.binary()), "n": pa.array(np.concatenate(ns)), "big": pa.array(np.concatenate(bigs))})
+        "node": pa.array(nodes, pa.binary()), "n": pa.array(np.concatenate(ns)), "big": pa.array(np.concatenate(bigs)),
+        "place": pa.array(np.concatenate(places))})
 
 
 def _shared(rows: DataFrame) -> DataFrame:
-    """The lists with two or more nodes, each row with a leader of its list.
-    Rows come sorted by list; a long one is led chunk by chunk, and the chunks'
-    leaders are chained."""
+    """The lists with two or more nodes, each row with a leader of its list, without the
+    rows that nothing in their list can link with.  Rows come sorted by list and size; a
+    long list is led chunk by chunk, and the chunks' leaders are chained."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, lead = None, None          # the last row, if its list may go on; its list's last leader
         for batch in batches:
@@ -277,15 +296,19 @@ def _shared(rows: DataFrame) -> DataFrame:
             group = np.cumsum(new) - 1
             node = batch.column(2)
             first8 = np.frombuffer(node.buffers()[2], "V16", m, 16 * node.offset).view([("x", "<u8"), ("y", "<u8")])["x"]
-            order = _mix(first8 ^ ((key & 3).view(np.uint64) * _BASE))
+            # parts of salted lists, and the batch's first and last list, may have members elsewhere
+            cut = (salt >= 0) | (group == 0) | (group == group[-1])
+            able = cut | _partners(group, batch.column(3).to_numpy().astype(np.int64), batch.column(5).to_numpy().astype(np.int64))
+            order = np.where(able, _mix(first8 ^ ((key & 3).view(np.uint64) * _BASE)), ~np.uint64(0))
             low = np.minimum.reduceat(order, begin)
             at = np.flatnonzero(order == low[group])
             leader = np.zeros(len(begin), np.int64)
             leader[group[at][::-1]] = at[::-1]
             # the last row waits for the next batch; a list of one row is none
-            keep = (size[group] > 1) | (salt >= 0)
-            # a whole list of two has no pair but its leader's; the batch's first and last list may go on
-            more = (size[group] > 2) | (salt >= 0) | (group == 0) | (group == group[-1])
+            left = np.bincount(group, able)[group]
+            keep = ((left > 1) | (salt >= 0)) & able
+            # a whole list of two has no pair but its leader's
+            more = (left > 2) | cut
             chained = pa.array(leader[group])
             leaders, leader_n = node.take(chained), batch.column(3).take(chained)
             keep[-1] = False
@@ -310,8 +333,8 @@ def _shared(rows: DataFrame) -> DataFrame:
             [*row.columns, pa.array([lead[2]], pa.binary()), pa.array([lead[3]], pa.int32()), pa.array([True])],
             names=[*row.schema.names, "leader", "leader_n", "more"])
 
-    return (rows.repartition("key", "salt").sortWithinPartitions("key", "salt").mapInArrow(
-        run, "key long, salt int, node binary, n int, big boolean, leader binary, leader_n int, more boolean"))
+    return (rows.repartition("key", "salt").sortWithinPartitions("key", "salt", "n").mapInArrow(
+        run, "key long, salt int, node binary, n int, big boolean, place int, leader binary, leader_n int, more boolean"))
 
 
 def _sets(docs: DataFrame, ids: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -359,6 +382,13 @@ def _sizes_fit(x: str, y: str):
     return (100 * F.least(x, y) >= PERCENT * F.greatest(x, y))
 
 
+def _places_fit(a: str, b: str):
+    """Both rows' places allow that their sets link and meet here first."""
+    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+    need = F.ceil(PERCENT * (n + m) / (100 + PERCENT))
+    return (F.col(f"{a}.place") <= n - need) & (F.col(f"{b}.place") <= m - need)
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
@@ -402,12 +432,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         return stored(_linked(pairs, stored(_sets(rows, ids, nodes), "sets")), "links")
 
     found = stored(components(verified(met)), "components")
-    open_lists = lists.filter("more").select("key", "node", "n", "big").distinct()
+    open_lists = lists.filter("more").select("key", "node", "n", "big", "place")
 
     def still_mixed(rows: DataFrame, found: DataFrame, name: str) -> DataFrame:
         """The rows of lists that still hold several components, with their component."""
         named = rows.join(found, "node", "left").select(
-            "key", "node", "n", "big", F.coalesce("root", "node").alias("root"))
+            "key", "node", "n", "big", "place", F.coalesce("root", "node").alias("root"))
         mixed = named.groupBy("key", "big").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
         return stored(named.join(mixed.select("key", "big"), ["key", "big"], "left_semi"), name)
 
@@ -417,7 +447,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # other leaders for lists that still hold several components: near copies that
     # missed one leader meet another, which is cheaper than meeting each other
     for turn in range(LEADER_TURNS):
-        open_lists = still_mixed(open_lists.select("key", "node", "n", "big"), found, "open_lists")
+        open_lists = still_mixed(open_lists.select("key", "node", "n", "big", "place"), found, "open_lists")
         if open_lists.isEmpty():
             break
         leaders = open_lists.groupBy("key", "big").agg(F.min_by(
@@ -431,10 +461,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     # what is left: pairs across components (an empty frame where nothing is)
     if not open_lists.isEmpty():
-        open_lists = still_mixed(open_lists.select("key", "node", "n", "big"), found, "open_lists")
+        open_lists = still_mixed(open_lists.select("key", "node", "n", "big", "place"), found, "open_lists")
     a, b = open_lists.alias("a"), open_lists.alias("b")
     pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.big") == F.col("b.big"))
-                   & (F.col("a.root") < F.col("b.root")) & _sizes_fit("a.n", "b.n")
+                   & (F.col("a.root") < F.col("b.root")) & _sizes_fit("a.n", "b.n") & _places_fit("a", "b")
                    & (~F.col("a.big") | (F.greatest("a.n", "b.n") > small))).select(
         F.col("a.node").alias("a"), F.col("b.node").alias("b"))
     final = found if open_lists.isEmpty() else linked_too(

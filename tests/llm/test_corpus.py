@@ -103,6 +103,30 @@ def test_one_of_each_group_stays(spark):
     assert ngram_jaccard.first_of_groups(docs.limit(0)).count() == 0
 
 
+def test_places_never_rule_out_a_link():
+    rnd = random.Random(9)
+    linked = dropped = 0
+    for _ in range(3000):
+        base = rnd.sample(range(400), rnd.randint(3, 60))
+        other = rnd.sample(base, rnd.randint(max(1, len(base) - 12), len(base))) + rnd.sample(range(400, 500), rnd.randint(0, 6))
+        a, b = sorted(base), sorted(set(other))
+        if len(b) < 3:
+            continue
+        n, m, both = len(a), len(b), len(set(a) & set(b))
+        x, y = (len(s) - ngram_jaccard._keep(len(s)) + 2 for s in (a, b))      # prefixes by the common order
+        common = sorted(set(a[:x]) & set(b[:y]))
+        need = -(-75 * (n + m) // 175)
+        ways = [(a.index(k), b.index(k)) for k in common[:1] if a.index(k) < x - 1 and b.index(k) < y - 1]
+        ways += [(a.index(k) - 1, b.index(k) - 1) for k in common[1:2]]
+        fit = [i <= n - need and j <= m - need for i, j in ways]
+        alive = [ngram_jaccard._partners(np.zeros(2, np.int64), *np.array(sorted([(n, i), (m, j)])).T).any() for i, j in ways]
+        if 100 * both >= 75 * (n + m - both):
+            linked += 1
+            assert len(ways) == 2 and all(fit) and all(alive)
+        dropped += len(fit) - sum(fit)
+    assert linked > 300 and dropped > 300
+
+
 def test_signatures_never_rule_out_a_link():
     rng = np.random.default_rng(1)
     for n in (3, 8, 64, 65, 500):
