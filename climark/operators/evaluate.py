@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from climark.functions.numeric import r6, safe_corr
+from climark.functions.numeric import float_div, r6, safe_corr
 from climark.functions.sizing import bounded_broadcast
 from climark.schemas import TARGETS
 
@@ -134,7 +134,9 @@ def window_sweep_history(win: DataFrame, T: int, targets: list[str] = TARGETS,
     iteration k-1 forecasts each target as the mean of the last k rows of
     its window (k = 1..T).  Per iteration: loss (MSE over all cells), MAE,
     RMSE and mean per-target R^2 on the train and val splits.  Each window
-    is expanded over the T lengths inside the map stage and aggregated."""
+    is expanded over the T lengths inside the map stage and aggregated.
+    A target that is constant in a split (a station's daily maximum in large tables)
+    has an R^2 of -inf, or NaN if it is forecast without error."""
     def tail_mean(t):
         part = F.slice("seq", -F.col("k"), F.col("k"))
         return F.aggregate(part, F.lit(0.0), lambda acc, s: acc + s[t]) / F.col("k")
@@ -148,7 +150,7 @@ def window_sweep_history(win: DataFrame, T: int, targets: list[str] = TARGETS,
     per = cells.groupBy("split", "k", "target").agg(
         F.sum(e * e).alias("sse"), F.sum(F.abs(e)).alias("sae"), F.count(F.lit(1)).alias("n"),
         F.var_pop("real").alias("v"))
-    per = per.withColumn("r2", F.lit(1.0) - F.col("sse") / (F.col("v") * F.col("n")))
+    per = per.withColumn("r2", F.lit(1.0) - float_div("sse", F.col("v") * F.col("n")))
     it = per.groupBy("split", "k").agg((F.sum("sse") / F.sum("n")).alias("loss"),
                                        (F.sum("sae") / F.sum("n")).alias("mae"), F.avg("r2").alias("r2"))
     aggs = []

@@ -124,6 +124,26 @@ def test_mape_skips_zero_actual(spark):
     assert r["Train MAPE"] == 50.0 and r["Train MAE"] == 1.0
 
 
+def test_window_sweep_of_constant_targets(spark):
+    """R^2 against a constant: NaN without an error, -inf with one, as in the SQL; the rest stays."""
+    rows = [("train", i, float(i % 3), 1.0, float(i % 5)) for i in range(12)]
+    rows += [("val", i, float(i % 4), 1.0, 50.0 if i >= 3 else 49.0) for i in range(12)]
+    df = spark.createDataFrame([(1, s, day(2020 + 10 * (s == "val"), 1, 1 + i), *y) for s, i, *y in rows],
+                               "id_ciudad int, split string, time timestamp_ntz, tmax double, tmin double, tavg double")
+
+    def swept(t):
+        win = sq.supervised_windows(df, [t], [t], 3)
+        return {r.iteration: r for r in ev.window_sweep_history(win, 3, [t]).collect()}
+
+    same, near, free = swept("tmin"), swept("tavg"), swept("tmax")
+    assert sorted(same) == [0, 1, 2]
+    assert all(r.r2 != r.r2 and r.val_r2 != r.val_r2 and r.loss == r.val_loss == 0 for r in same.values())
+    assert all(r.val_r2 == float("-inf") and r.r2 == r.r2 and r.val_loss > 0 for r in near.values())
+    assert all(abs(r.val_r2) < 10 for r in free.values())
+    assert ev.best_iteration(ev.window_sweep_history(sq.supervised_windows(df, ["tmin"], ["tmin"], 3), 3, ["tmin"])) \
+        .first().iteration == 0
+
+
 def test_catchup_windows_rows_and_cold_start(spark):
     # Q18/Q19: d days behind -> d+1 windows ending at the last d+1 rows;
     # no forecasts yet -> only the day after the last observation
