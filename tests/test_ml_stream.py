@@ -74,6 +74,14 @@ def test_importance_of_a_linear_model_is_the_closed_form(spark):
         assert abs(imp[f] - want[f] / sum(want.values())) < 1e-9
 
 
+def test_importance_where_the_model_follows_no_feature(spark):
+    """Constant targets shrink every coefficient to 0: NaN for each feature, not an error."""
+    win = windows(spark).withColumns({f"y_{t}": F.lit(50.0) for t in TARGETS})
+    mt = CANDIDATES["Elastic Net"](sq.flatten_window(win, FEATS))
+    imp = permutation_importance(win, mt, FEATS, ["id_ciudad", "target_time"], TARGETS).collect()
+    assert sorted(r.Variable for r in imp) == sorted(FEATS) and all(r.Importancia != r.Importancia for r in imp)
+
+
 def test_stream_knows_rows_that_other_jobs_stored(spark):
     """The state learns the stored days from the table's files, not from a join with the table."""
     base = scratch_path(spark, "stream-known")
