@@ -81,8 +81,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
                 "ids_before": pa.array([before], pa.int64()), "data": pa.array([_frame(directory, chunks)], pa.binary())})
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                coded = enc.encode(text or "") + end
+            for doc_id, coded in zip(batch.column(0).to_pylist(), enc.encode_all(batch.column(1))):
+                coded += end
                 n = len(coded) // 4
                 if directory and held + n > FRAME_IDS:
                     yield flush()

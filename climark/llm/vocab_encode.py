@@ -7,6 +7,11 @@ asks the tokenizer only for new ones.  Texts with characters outside a plain
 range (where Unicode tables of two libraries could differ) and texts with the string
 of a token that the file adds to its model (such as an end mark) are given to the
 tokenizer whole.  The results are those of the library's ``encode`` of whole texts.
+
+``encode_all`` takes a column of texts.  Where words begin with the space before them, a
+space ends whatever comes before it unless it stands inside or at the end of other white
+space; so texts are cut at spaces by Arrow, equal pieces of a slice of texts are looked up
+once, and the ids are put together by numpy.
 """
 
 from __future__ import annotations
@@ -16,7 +21,10 @@ import struct
 import threading
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
+SLICE_BYTES = 8 << 20  # text whose pieces are looked up together
 MEMO_WORDS = 400_000  # words in one of the two halves of a worker's memo
 
 _LETTER = "A-Za-zªµºÀ-ÖØ-öø-ÿŒœ"
@@ -32,11 +40,16 @@ _WORDS = {
         f"[{_LETTER}]+|'(?:[stmd]|re|ve|ll)|[{_DIGIT}]|[^{_SPACE}{_LETTER}{_DIGIT}]+"),
 }
 _ODD = re.compile(f"[^{_PLAIN}]")
+#: By byte: 0 space, 1 other white space, 2 an ASCII character outside the plain range, 3 a
+#: part of any other character that is not ASCII, 4 the rest.
+_KINDS = bytes(0 if b == 32 else 1 if chr(b) in _SPACE else 3 if b > 127 else 2 if b < 32 or b == 127 else 4
+               for b in range(256))
 #: Byte-level tokenizers write each byte as one printable character: printable
 #: Latin-1 bytes as themselves, the others from U+0100 on.
 _PRINTABLE = [b for b in range(256) if 0x21 <= b <= 0x7e or 0xa1 <= b <= 0xac or 0xae <= b]
 _BYTE_CHARS = {b: chr(b) for b in _PRINTABLE} | {
     b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)) - set(_PRINTABLE)))}
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(32)]
 _ENCODERS: dict[str, "Encoder"] = {}
 _LOCK = threading.Lock()
 
@@ -82,7 +95,14 @@ class Encoder:
         else:
             chars = word.encode().decode("latin-1").translate(_BYTE_CHARS)
         ids = [t.id for t in self.tokenizer.model.tokenize(chars)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else struct.pack(f"<{len(ids)}I", *ids)
+
+    def pieces(self, texts: list[str]) -> list[bytes]:
+        """Ids of pieces of text that begin and end where words do.  The memo keeps words,
+        and pieces of more words are put together from them."""
+        known, words = self.memo, self.words.findall
+        return [known[t] if t[1:].isalpha() and t[0] == " " and t.isascii() else b"".join([known[w] for w in words(t)])
+                for t in texts]
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -96,6 +116,71 @@ class Encoder:
             self.memo.turn()
         return b"".join(map(self.memo.__getitem__, self.words.findall(plain)))
 
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        """``encode`` of every text of a string column (null: empty)."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        if self.words is None or self.lower:
+            return list(map(self.encode, texts.to_pylist()))
+        out: list[bytes] = []
+        while len(out) < len(texts):
+            ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:][:len(texts) + 1]
+            at = len(out)
+            to = max(at + 1, int(np.searchsorted(ends, ends[at] + SLICE_BYTES, side="right")) - 1)
+            out += self._slice(texts.slice(at, to - at), ends[at:to + 1])
+        return out
+
+    def _by_pieces(self, texts: pa.Array, ends: np.ndarray) -> np.ndarray:
+        """Whether a text may be cut at its spaces, for every text."""
+        if ends[-1] == ends[0]:
+            return np.ones(len(texts), bool)
+        raw = texts.buffers()[2].slice(ends[0], ends[-1] - ends[0]).to_pybytes().translate(_KINDS)
+        kinds, bounds = np.frombuffer(raw, np.uint8), ends - ends[0]
+        white = kinds < 2
+        bad = 1 + np.flatnonzero((kinds[1:] == 0) & white[:-1])          # spaces after white space
+        row = np.searchsorted(bounds, bad, side="right") - 1
+        last = bad + 1 == bounds[row + 1]
+        cut = (bad > bounds[row]) & (last | white[np.minimum(bad + 1, len(raw) - 1)])
+        fine = np.ones(len(texts), bool)
+        fine[row[cut]] = False
+        fine[np.searchsorted(bounds, np.flatnonzero(kinds == 2), side="right") - 1] = False
+        wide = np.unique(np.searchsorted(bounds, np.flatnonzero(kinds == 3), side="right") - 1)
+        fine[[k for k in wide.tolist() if _ODD.search(texts[k].as_py())]] = False
+        for mark in self.added:
+            fine &= ~pc.match_substring(texts, mark).to_numpy(zero_copy_only=False)
+        return fine
+
+    def _slice(self, texts: pa.Array, ends: np.ndarray) -> list[bytes]:
+        fine = self._by_pieces(texts, ends)
+        if len(self.memo) > MEMO_WORDS:
+            self.memo.turn()
+        coded = self._pieces(texts.filter(pa.array(fine)))
+        if fine.all():
+            return coded
+        rest = iter(coded)
+        return [next(rest) if ok else self.encode(texts[k].as_py()) for k, ok in enumerate(fine.tolist())]
+
+    def _pieces(self, texts: pa.Array) -> list[bytes]:
+        if not len(texts):
+            return []
+        cut = pc.split_pattern(texts, " ")
+        begin = cut.offsets.to_numpy()[:-1].astype(np.int64) - cut.offsets[0].as_py()
+        found = cut.flatten().dictionary_encode()
+        codes = found.indices.to_numpy().astype(np.int64)
+        kinds = found.dictionary.to_numpy(zero_copy_only=False).tolist()
+        # the first piece of a text has no space before it
+        first, codes[begin] = np.unique(codes[begin], return_inverse=True)
+        mask = np.ones(len(codes), bool)
+        mask[begin] = False
+        codes[mask] += len(first)
+        ids = self.pieces([kinds[k] for k in first.tolist()]) + self.pieces([" " + k for k in kinds])
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
+        flat, place = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size) - size
+        n = size.take(codes)
+        stop = np.cumsum(n)
+        raw = flat.take(np.repeat(place.take(codes) - (stop - n), n) + np.arange(stop[-1])).tobytes()
+        at = np.append((stop - n)[begin], stop[-1]) * 4
+        return [raw[a:z] for a, z in zip(at.tolist(), at[1:].tolist())]
+
     def word_spans(self, word: str) -> bytes:
         got = self.tokenizer.encode(word, add_special_tokens=False).offsets
         return np.array(got, dtype=np.int32).tobytes()

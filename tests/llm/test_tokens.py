@@ -55,12 +55,46 @@ def test_words_by_memo_equal_whole_texts(path):
         assert enc.spans(text).tolist() == [list(o) for o in got.offsets], repr(text)
 
 
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_columns_of_texts_equal_whole_texts(path, monkeypatch):
+    import pyarrow as pa
+    from climark.llm import vocab_encode
+    rnd, enc = random.Random(4), vocab_encode.Encoder(path)
+    monkeypatch.setattr(vocab_encode, "SLICE_BYTES", 500)
+    letters = "ab é's1.,  \n\r\t "
+    texts = [None, "", " ", "  ", "a ", " a", "a \n", "\n a", "a\n ", "a  b", "a   b", " \n b", "a\u0085 b", "中 a", "a\x1c b",
+             "x <|endoftext|> y", "it's 's", "z" * 2000]
+    texts += ["".join(rnd.choice(letters) for _ in range(rnd.randint(0, 30))) for _ in range(3000)]
+    for column in (pa.array(texts), pa.array(["cut", *texts]).slice(1), pa.array(texts[:1], pa.string()), pa.array([], pa.string())):
+        got = enc.encode_all(column)
+        assert len(got) == len(column)
+        for text, ids in zip(column.to_pylist(), got):
+            assert np.frombuffer(ids, "<u4").tolist() == whole(path, text).ids, repr(text)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.one_of(st.integers(0, 3), st.integers(0, 65535)), max_size=2500))
 def test_range_coder_round_trip(ids):
     assert range_coder.decode_blocks(range_coder.encode_blocks(np.array(ids, np.int64))).tolist() == ids
 
 
+def test_quotients_in_doubles_are_exact():
+    rng = np.random.default_rng(5)
+    b = rng.integers(1, 1 << rng.integers(1, 40, 20000))
+    q = rng.integers(0, (1 << 48) // b)
+    for rest in (0, 1, -1):
+        a = np.maximum(q * b + rest, 0)
+        assert (range_coder._over(a, b) == a // b).all()
+
+
+def test_streams_with_carries_and_rare_ids():
+    """Ids of wide ranges take two words each and low registers overflow into words before."""
+    rng = np.random.default_rng(6)
+    for ids in (rng.integers(0, 65536, 40_000), np.tile([0, 65535, 0, 65535, 65535], 3000),
+                np.where(rng.random(30_000) < .9, 7, rng.integers(0, 65536, 30_000))):
+        assert (range_coder.decode_blocks(range_coder.encode_blocks(ids)) == ids).all()
+
+
 def test_blocks_are_independent_and_checked():
     rng = np.random.default_rng(0)
     ids = np.minimum(rng.zipf(1.3, 5000), 65535)
