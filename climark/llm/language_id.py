@@ -33,7 +33,7 @@ from __future__ import annotations
 
 import functools
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -53,8 +53,9 @@ CLASS_ROWS = 100       # training texts from which a class has a floor of its ow
 _CLASSES, _BINS = 32, 200
 _CODES = 1 << 16
 _UNUSED, _N_UNUSED = 0xD800, 0x2100   # surrogates and private use: codes of the letters above U+FFFF
-SLICE = 4096           # trigrams bundled at once, however many a text has
-_KEPT = 60_000         # trigram vectors that a worker keeps (one byte per dimension)
+SLICE = 1024           # trigrams bundled at once, however many a text has
+TEXTS = 256            # texts of a batch held as trigrams at once
+_KEPT = 60_000         # trigram vectors that a worker keeps (one bit per dimension)
 
 
 @functools.lru_cache(maxsize=4096)
@@ -72,10 +73,12 @@ def trigram_vector(key: int) -> np.ndarray:
 
 
 class _Vectors:
-    """A worker's trigram vectors, found by sorted key."""
+    """A worker's trigram vectors, found by sorted key; a set bit is +1.  Rows stay
+    where they were put first."""
 
     def __init__(self):
-        self.keys, self.rows = np.zeros(0, np.int64), np.zeros((0, DIM), np.int8)
+        self.keys, self.places = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.bits = np.zeros((0, DIM // 8), np.uint8)
 
     def of(self, keys: np.ndarray) -> np.ndarray:
         """Vectors of sorted distinct keys."""
@@ -85,11 +88,21 @@ class _Vectors:
             if len(self.keys) + len(new) > _KEPT:
                 self.__init__()
                 new = keys
-            added = np.array([trigram_vector(k) for k in new.tolist()], np.int8)
+            held = len(self.keys)
+            if held + len(new) > len(self.bits):
+                room = np.zeros((max(held + len(new), _KEPT), DIM // 8), np.uint8)
+                room[:held] = self.bits[:held]
+                self.bits = room
+            for k, key in enumerate(new.tolist(), held):
+                self.bits[k] = np.packbits(trigram_vector(key) > 0)
             place = np.searchsorted(self.keys, new)
-            self.keys, self.rows = np.insert(self.keys, place, new), np.insert(self.rows, place, added, axis=0)
+            self.keys = np.insert(self.keys, place, new)
+            self.places = np.insert(self.places, place, np.arange(held, held + len(new), dtype=np.int32))
             at = np.searchsorted(self.keys, keys)
-        return self.rows[at]
+        out = np.unpackbits(self.bits.take(self.places.take(at), axis=0), axis=1).view(np.int8)
+        out += out
+        out -= 1
+        return out
 
 
 _VECTORS = _Vectors()
@@ -139,6 +152,12 @@ def trigrams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return np.unique((codes[:-2] * _CODES + codes[1:-1]) * _CODES + codes[2:], return_counts=True)
 
 
+def _together(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct trigrams of several texts (sorted keys) and their counts."""
+    keys, at = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
+    return keys, np.bincount(at, np.concatenate([c for _, c in found])).astype(np.int64)
+
+
 def size_class(n_distinct: int) -> int:
     return min(int(n_distinct).bit_length() - 1, _CLASSES - 1)
 
@@ -195,6 +214,13 @@ def _training(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> Dat
         F.col(lang_col).cast("string"), F.col(text_col).cast("string"))
 
 
+def _parts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most ``TEXTS`` rows."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, TEXTS):
+            yield batch.slice(at, TEXTS)
+
+
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Prototypes:
     """Prototypes from all rows with a language outside the held-out fold."""
     rows = _training(docs, id_col, text_col, lang_col)
@@ -203,11 +229,14 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         sums: dict = {}
         for batch in batches:
             held: dict = {}
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                held.setdefault(lang, []).append(trigrams(text))
+            for part in _parts([batch]):
+                own: dict = {}
+                for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    own.setdefault(lang, []).append(trigrams(text))
+                for lang, found in own.items():
+                    held.setdefault(lang, []).append(_together(found))
             for lang, found in held.items():
-                keys, at = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
-                counts = np.bincount(at, np.concatenate([c for _, c in found])).astype(np.int64)
+                keys, counts = _together(found)
                 got = sums.setdefault(lang, np.zeros(DIM, np.int64))
                 for i in range(0, len(keys), SLICE):
                     got += (counts[i:i + SLICE, None] * _VECTORS.of(keys[i:i + SLICE])).sum(axis=0)
@@ -238,7 +267,7 @@ def calibrate(prototypes: Prototypes, docs: DataFrame, id_col: str = "doc_id", t
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, counts = shared.value, np.zeros((_CLASSES, _BINS + 1), np.int64)
         at = {lang: k for k, lang in enumerate(known.languages)}
-        for batch in batches:
+        for batch in _parts(batches):
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 cosines, size = known.cosines(text)
                 if cosines is not None and lang in at:
@@ -269,9 +298,8 @@ def identify(docs: DataFrame, prototypes: Prototypes, text_col: str = "text", re
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = functools.partial(shared.value.judge, reject=reject)
-        for batch in batches:
-            lang, score, lead = zip(*map(judge, batch.column(at).cast(pa.string()).to_pylist())) if batch.num_rows \
-                else ((), (), ())
+        for batch in _parts(batches):
+            lang, score, lead = zip(*map(judge, batch.column(at).cast(pa.string()).to_pylist()))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(lead, pa.float64())],
                 names=[*batch.schema.names, *names])
@@ -284,6 +312,13 @@ def identify(docs: DataFrame, prototypes: Prototypes, text_col: str = "text", re
 
 def keep_identified(docs: DataFrame, prototypes: Prototypes, text_col: str = "text") -> DataFrame:
     """``docs`` without the texts that are ``und`` or below the floor of their class."""
-    rows = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("_text"))
-    judged = identify(rows, prototypes, "_text", reject=True)
-    return judged.filter(F.col("lang_pred") != UNDECIDED).select("row.*")
+    at = [c.lower() for c in docs.columns].index(text_col.lower())
+    shared = docs.sparkSession.sparkContext.broadcast(prototypes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = functools.partial(shared.value.judge, reject=True)
+        for batch in _parts(batches):
+            texts = batch.column(at).cast(pa.string()).to_pylist()
+            yield batch.filter(pa.array([judge(text)[0] != UNDECIDED for text in texts], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

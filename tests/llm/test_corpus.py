@@ -205,6 +205,33 @@ def test_language_vectors_of_varied_texts_come_in_slices(monkeypatch):
     assert np.allclose(got, want / np.sqrt((want ** 2).sum()), atol=1e-6)
 
 
+def test_language_vectors_are_kept_as_bits_within_their_bound(monkeypatch):
+    monkeypatch.setattr(language_id, "_KEPT", 40)
+    rng, vectors = np.random.default_rng(5), language_id._Vectors()
+    for n in (1, 30, 5, 39, 100, 3):
+        keys = np.unique(rng.integers(97, 117, n) * language_id._CODES + rng.integers(97, 117, n))
+        want = np.array([language_id.trigram_vector(k) for k in keys.tolist()])
+        assert (vectors.of(keys) == want).all() and (vectors.of(keys[::2]) == want[::2]).all()
+        assert vectors.bits.nbytes <= max(40, len(keys), len(vectors.keys)) * language_id.DIM // 8
+
+
+def test_language_stage_holds_few_texts_at_once(spark):
+    docs = table(spark, "documents", SF_MID).limit(2000).localCheckpoint()
+    known = language_id.calibrate(language_id.learn(docs), docs)
+    plan = language_id.keep_identified(docs, known)._jdf.queryExecution().executedPlan().toString()
+    assert "named_struct" not in plan and "struct(" not in plan       # a text goes to Python once
+    odd = spark.createDataFrame([(-1, None, "fr"), (-2, "", "en"), (None, "12 \n", None)], "doc_id long, text string, lang string")
+    rows = docs.select("doc_id", "text", "lang").union(odd).union(docs.select("doc_id", "text", "lang").limit(300))
+    want = language_id.identify(rows, known, reject=True).where("lang_pred <> 'und'").select(*rows.columns)
+    got = language_id.keep_identified(rows, known)
+    assert got.schema == rows.schema and sorted(got.collect()) == sorted(want.collect())
+    import pyarrow as pa
+    batch = pa.RecordBatch.from_pydict({"k": list(range(1000))})
+    parts = list(language_id._parts([batch, batch.slice(0, 0)]))
+    assert max(x.num_rows for x in parts) <= language_id.TEXTS and pa.Table.from_batches(parts).to_batches() \
+        and sum((x.column(0).to_pylist() for x in parts), []) == list(range(1000))
+
+
 def test_quality_learns_beside_a_bag_beyond_the_bound(spark, monkeypatch):
     monkeypatch.setattr(quality_model, "TRAIN_PASSAGES", 40)
     own = [i for i in range(1, 400) if in_training(i)][:20]
