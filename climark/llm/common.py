@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import functools
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from climark.session import scratch_path
 
 
+PART_ROWS = 256        # rows of a batch that a task works on at once
+
+
 def let(value: Column, body) -> Column:
     """``body(v)`` with ``value`` computed once per row.
 
@@ -60,6 +65,15 @@ def share_join(rows: DataFrame, facts: DataFrame, on: list[tuple[str, str]], wei
     return found if not least else found.unionByName(rows.join(facts.filter(F.col(weight) < least), same))
 
 
+def in_parts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most ``PART_ROWS`` rows; at the end, Arrow's spare memory
+    goes back, as idle workers stay beside those of later stages."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, PART_ROWS):
+            yield batch.slice(at, PART_ROWS)
+    pa.default_memory_pool().release_unused()
+
+
 def held_out(doc_id: Column, folds: int = 5) -> Column:
     """True for the fold kept from training: crc32(doc_id as text) mod folds = 0.
     A null id counts as the empty string (crc32 0), so it is held out."""

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from climark.llm.common import fresh, stored
+from climark.llm.common import fresh, in_parts, stored
 
 WINDOW = 10
 SLICE_WINDOWS = 500_000   # windows in one broadcast: about 100 MB in a worker at 10 words
@@ -154,7 +154,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, id_col: st
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             g = grams.value
             number = g.vocabulary.get
-            for batch in batches:
+            for batch in in_parts(batches):
                 out = {"doc_id": [], "n_words": [], "items": [], "spans": []}
                 texts = batch.column(1).cast(pa.binary()).to_pylist()
                 for doc_id, text in zip(batch.column(0).to_pylist(), texts):
@@ -205,7 +205,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, id_col: st
 
 def _with_text_key(docs: DataFrame, run, schema: str) -> DataFrame:
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches):
             keys = [None if t is None else hashlib.blake2b(t, digest_size=16).digest()
                     for t in batch.column(1).cast(pa.binary()).to_pylist()]
             for out in run([batch]):
@@ -245,7 +245,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, mode: str = "documents", n: int
         def run(batches: Iterator[pa.RecordBatch], grams=grams, first=first, last=last) -> Iterator[pa.RecordBatch]:
             g = grams.value
             number = g.vocabulary.get
-            for batch in batches:
+            for batch in in_parts(batches):
                 before = [[]] * batch.num_rows if first or not spans else batch.column(len(schema)).to_pylist()
                 if spans and not first:
                     batch = batch.select(range(len(schema)))

@@ -33,7 +33,7 @@ from __future__ import annotations
 
 import functools
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from climark.llm.common import held_out
+from climark.llm.common import held_out, in_parts
 
 DIM = 1024
 UNDECIDED = "und"
@@ -54,7 +54,6 @@ _CLASSES, _BINS = 32, 200
 _CODES = 1 << 16
 _UNUSED, _N_UNUSED = 0xD800, 0x2100   # surrogates and private use: codes of the letters above U+FFFF
 SLICE = 1024           # trigrams bundled at once, however many a text has
-TEXTS = 256            # texts of a batch held as trigrams at once
 _KEPT = 60_000         # trigram vectors that a worker keeps (one bit per dimension)
 
 
@@ -214,13 +213,6 @@ def _training(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> Dat
         F.col(lang_col).cast("string"), F.col(text_col).cast("string"))
 
 
-def _parts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The batches in parts of at most ``TEXTS`` rows."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, TEXTS):
-            yield batch.slice(at, TEXTS)
-
-
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Prototypes:
     """Prototypes from all rows with a language outside the held-out fold."""
     rows = _training(docs, id_col, text_col, lang_col)
@@ -229,7 +221,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         sums: dict = {}
         for batch in batches:
             held: dict = {}
-            for part in _parts([batch]):
+            for part in in_parts([batch]):
                 own: dict = {}
                 for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                     own.setdefault(lang, []).append(trigrams(text))
@@ -267,7 +259,7 @@ def calibrate(prototypes: Prototypes, docs: DataFrame, id_col: str = "doc_id", t
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, counts = shared.value, np.zeros((_CLASSES, _BINS + 1), np.int64)
         at = {lang: k for k, lang in enumerate(known.languages)}
-        for batch in _parts(batches):
+        for batch in in_parts(batches):
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 cosines, size = known.cosines(text)
                 if cosines is not None and lang in at:
@@ -298,7 +290,7 @@ def identify(docs: DataFrame, prototypes: Prototypes, text_col: str = "text", re
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = functools.partial(shared.value.judge, reject=reject)
-        for batch in _parts(batches):
+        for batch in in_parts(batches):
             lang, score, lead = zip(*map(judge, batch.column(at).cast(pa.string()).to_pylist()))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(lead, pa.float64())],
@@ -317,7 +309,7 @@ def keep_identified(docs: DataFrame, prototypes: Prototypes, text_col: str = "te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = functools.partial(shared.value.judge, reject=True)
-        for batch in _parts(batches):
+        for batch in in_parts(batches):
             texts = batch.column(at).cast(pa.string()).to_pylist()
             yield batch.filter(pa.array([judge(text)[0] != UNDECIDED for text in texts], pa.bool_()))
 

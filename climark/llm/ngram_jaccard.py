@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from climark.llm.common import fresh, small_side, stored
+from climark.llm.common import fresh, in_parts, small_side, stored
 from climark.llm.components import components
 
 WORDS = 5
@@ -53,7 +53,7 @@ SCAN_COST = 1.0               # of a member met in a list, against a listed row
 LEADER_TURNS = 2              # further leaders of lists with several components, before pairs across them
 HOT = 5000                    # rows of a list from which it is salted
 BROADCAST_IDS = 1_000_000     # document ids that may be broadcast (8 MB)
-CHUNK = 1 << 20               # bytes of text hashed at once (one text at least)
+CHUNK = 1 << 18               # bytes of text hashed at once (one text at least)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _SPACE = np.isin(np.arange(256), [0x20, 9, 10, 11, 12, 13])
@@ -169,7 +169,7 @@ def _facts(docs: DataFrame) -> DataFrame:
     """Per document its node, size and signature; per task its counts in the sketch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = np.zeros(SKETCH, np.int64), set()
-        for batch in batches:
+        for batch in in_parts(batches):
             ns, nodes, signs, new = [], [], [], []
             for own in shingle_sets(batch.column(1)):
                 node = node_of(own)

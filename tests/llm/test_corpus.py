@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from climark.llm import chat_format, decontaminate, language_id, ngram_jaccard, quality_model, queries
+from climark.llm import chat_format, common, decontaminate, language_id, ngram_jaccard, quality_model, queries
 from climark.llm.common import held_out
 from climark.llm.components import components
 from tests.conftest import SF_MID, SF_SMALL
@@ -227,8 +227,8 @@ def test_language_stage_holds_few_texts_at_once(spark):
     assert got.schema == rows.schema and sorted(got.collect()) == sorted(want.collect())
     import pyarrow as pa
     batch = pa.RecordBatch.from_pydict({"k": list(range(1000))})
-    parts = list(language_id._parts([batch, batch.slice(0, 0)]))
-    assert max(x.num_rows for x in parts) <= language_id.TEXTS and pa.Table.from_batches(parts).to_batches() \
+    parts = list(common.in_parts([batch, batch.slice(0, 0)]))
+    assert max(x.num_rows for x in parts) <= common.PART_ROWS and pa.Table.from_batches(parts).to_batches() \
         and sum((x.column(0).to_pylist() for x in parts), []) == list(range(1000))
 
 
