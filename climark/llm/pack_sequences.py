@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
 from climark.llm.bin_completion import MAX_NODES, Pattern, pack
-from climark.llm.common import stored
-from climark.llm.vocab_encode import encoder
+from climark.llm.common import in_parts, stored
+from climark.llm.vocab_encode import Encoder, with_encoder
 
 CAPACITY = 2048
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, nth long"
@@ -40,10 +40,10 @@ PLACED = "doc_id long, piece int, start long, length long, ids_crc32 long, seque
 def cut_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0, with_ids: bool = False,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pieces of all documents; ``with_ids`` adds their ids as little-endian u32."""
-    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, task, seen = encoder(tokenizer), TaskContext.get().partitionId(), Counter()
+    def pieces(enc: Encoder, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, seen = TaskContext.get().partitionId(), Counter()
         end = np.array([end_id], "<u4").tobytes()
-        for batch in batches:
+        for batch in in_parts(batches):
             out: list[list] = [[] for _ in range(8)]
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = enc.encode(text or "") + end
@@ -59,7 +59,7 @@ def cut_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out[:m], kinds)], names=names[:m])
 
     rows = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    return rows.mapInArrow(pieces, PIECE + ", ids binary" * with_ids)
+    return rows.mapInArrow(with_encoder(tokenizer, pieces), PIECE + ", ids binary" * with_ids)
 
 
 def places(patterns: list[Pattern]) -> dict[str, np.ndarray]:

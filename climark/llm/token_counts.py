@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from climark.llm.vocab_encode import encoder
+from climark.llm.vocab_encode import Encoder, with_encoder
 
 RULES = ("most", "first", "last", "split")
 ROW = "doc_id long, section int, start long, end long, n_tokens double, n_crossing long"
@@ -81,8 +81,7 @@ def section_counts(docs: DataFrame, tokenizer: str, fields: list[str] | None = N
     if rule not in RULES:
         raise ValueError(f"unknown rule {rule!r}")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer)
+    def run(enc: Encoder, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[] for _ in range(6)]
             for doc_id, *values in zip(*(c.to_pylist() for c in batch.columns)):
@@ -99,4 +98,5 @@ def section_counts(docs: DataFrame, tokenizer: str, fields: list[str] | None = N
                 "doc_id", "section", "start", "end", "n_tokens", "n_crossing"])
 
     columns = [F.col(c).cast("string").alias(f"_f{k}") for k, c in enumerate(fields or [text_col])]
-    return docs.select(F.col(id_col).cast("long").alias("_id"), *columns).mapInArrow(run, ROW)
+    return docs.select(F.col(id_col).cast("long").alias("_id"), *columns).mapInArrow(
+        with_encoder(tokenizer, run), ROW)

@@ -33,9 +33,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from climark.llm.range_coder import BLOCK, decode_blocks, encode_blocks
-from climark.llm.vocab_encode import encoder
+from climark.llm.vocab_encode import Encoder, with_encoder
 
-FRAME_IDS = 4096 * BLOCK
+FRAME_IDS = 2048 * BLOCK
 FRAME = "part int, frame int, n_docs long, n_ids long, ids_before long, data binary"
 _HEAD = struct.Struct("<4sII")
 
@@ -69,8 +69,8 @@ def read_frame(data: bytes) -> tuple[list, np.ndarray, np.ndarray]:
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0,
                       id_col: str = "doc_id", text_col: str = "text") -> None:
     """Write ``docs`` as token-id files below ``path``."""
-    def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, part = encoder(tokenizer), TaskContext.get().partitionId()
+    def frames(enc: Encoder, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
         end = np.array([end_id], "<u4").tobytes()
         directory, chunks, held, before, frame = [], [], 0, 0, 0
 
@@ -81,7 +81,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
                 "ids_before": pa.array([before], pa.int64()), "data": pa.array([_frame(directory, chunks)], pa.binary())})
 
         for batch in batches:
-            for doc_id, coded in zip(batch.column(0).to_pylist(), enc.encode_all(batch.column(1))):
+            for doc_id, coded in zip(batch.column(0).to_pylist(), enc.encode_each(batch.column(1))):
                 coded += end
                 n = len(coded) // 4
                 if directory and held + n > FRAME_IDS:
@@ -97,7 +97,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
     (rows.repartitionByRange(F.col("_id").asc_nulls_first(), tie)
      .sortWithinPartitions(F.col("_id").asc_nulls_first(), tie, "_text")
-     .mapInArrow(frames, FRAME).write.parquet(path))
+     .mapInArrow(with_encoder(tokenizer, frames), FRAME).write.parquet(path))
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
@@ -108,8 +108,9 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, before, data in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                doc_ids, lengths, ids = read_frame(data)
+            for part, before, data in zip(*batch.columns):
+                part, before = part.as_py(), before.as_py()
+                doc_ids, lengths, ids = read_frame(data.as_py())
                 ends = np.cumsum(lengths)
                 raw = ids.astype("<u4").tobytes()
                 crcs = [zlib.crc32(raw[4 * (e - n):4 * e]) for n, e in zip(lengths.tolist(), ends.tolist())]

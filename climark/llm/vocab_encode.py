@@ -19,13 +19,14 @@ from __future__ import annotations
 import re
 import struct
 import threading
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 8 << 20  # text whose pieces are looked up together
-MEMO_WORDS = 400_000  # words in one of the two halves of a worker's memo
+SLICE_BYTES = 4 << 20  # text whose pieces are looked up together
+MEMO_WORDS = 400_000  # words in one of the two halves of a task's memo
 
 _LETTER = "A-Za-zªµºÀ-ÖØ-öø-ÿŒœ"
 _DIGIT = "0-9²³¹¼-¾"
@@ -73,6 +74,10 @@ class _Memo(dict):
         self._old = dict(self)
         self.clear()
 
+    def forget(self):
+        self._old = {}
+        self.clear()
+
 
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit integers."""
@@ -118,16 +123,21 @@ class Encoder:
 
     def encode_all(self, texts: pa.Array) -> list[bytes]:
         """``encode`` of every text of a string column (null: empty)."""
+        return list(self.encode_each(texts))
+
+    def encode_each(self, texts: pa.Array) -> Iterator[bytes]:
+        """``encode_all``, holding the ids of one slice of texts at a time."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         if self.words is None or self.lower:
-            return list(map(self.encode, texts.to_pylist()))
-        out: list[bytes] = []
-        while len(out) < len(texts):
+            for text in texts:
+                yield self.encode(text.as_py())
+            return
+        at = 0
+        while at < len(texts):
             ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:][:len(texts) + 1]
-            at = len(out)
             to = max(at + 1, int(np.searchsorted(ends, ends[at] + SLICE_BYTES, side="right")) - 1)
-            out += self._slice(texts.slice(at, to - at), ends[at:to + 1])
-        return out
+            yield from self._slice(texts.slice(at, to - at), ends[at:to + 1])
+            at = to
 
     def _by_pieces(self, texts: pa.Array, ends: np.ndarray) -> np.ndarray:
         """Whether a text may be cut at its spaces, for every text."""
@@ -177,7 +187,9 @@ class Encoder:
         flat, place = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size) - size
         n = size.take(codes)
         stop = np.cumsum(n)
-        raw = flat.take(np.repeat(place.take(codes) - (stop - n), n) + np.arange(stop[-1])).tobytes()
+        index = np.repeat(place.take(codes) - (stop - n), n)
+        index += np.arange(stop[-1])
+        raw = flat.take(index).tobytes()
         at = np.append((stop - n)[begin], stop[-1]) * 4
         return [raw[a:z] for a, z in zip(at.tolist(), at[1:].tolist())]
 
@@ -205,3 +217,18 @@ def encoder(path: str) -> Encoder:
         if path not in _ENCODERS:
             _ENCODERS[path] = Encoder(path)
         return _ENCODERS[path]
+
+
+def with_encoder(path: str, run: Callable) -> Callable:
+    """``run(encoder, batches)`` as a function of batches.  The words met are let go when the
+    task ends: idle workers stay beside those of later stages and would keep theirs."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(path)
+        try:
+            yield from run(enc, batches)
+        finally:
+            enc.memo.forget()
+            enc.span_memo.forget()
+            pa.default_memory_pool().release_unused()
+
+    return task

@@ -72,6 +72,30 @@ def test_columns_of_texts_equal_whole_texts(path, monkeypatch):
             assert np.frombuffer(ids, "<u4").tolist() == whole(path, text).ids, repr(text)
 
 
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_texts_are_encoded_slice_by_slice_and_words_let_go_after_a_task(path, monkeypatch):
+    import pyarrow as pa
+    from climark.llm import vocab_encode
+    monkeypatch.setattr(vocab_encode, "_ENCODERS", {})
+    monkeypatch.setattr(vocab_encode, "SLICE_BYTES", 400)
+    enc = vocab_encode.encoder(path)
+    texts = pa.array([f"word{chr(97 + k % 26)}{chr(97 + k // 26)} of text {k}" for k in range(600)])
+    each = enc.encode_each(texts)
+    first, met = next(each), len(enc.memo)
+    assert met < 100                                 # only the first slice's words yet
+    assert [first, *each] == enc.encode_all(texts) and len(enc.memo) > 600
+    held = []
+
+    def run(own, batches):
+        for batch in batches:
+            yield own.encode_all(batch) + [own.spans("a b")]
+            held.append(len(own.memo))
+
+    assert vocab_encode.with_encoder(path, run)([texts]) is not None and held == []
+    assert len(list(vocab_encode.with_encoder(path, run)([texts]))) == 1
+    assert held[0] > 600 and not enc.memo and not enc.memo._old and not enc.span_memo
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.one_of(st.integers(0, 3), st.integers(0, 65535)), max_size=2500))
 def test_range_coder_round_trip(ids):
